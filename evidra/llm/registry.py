@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("quality",)
+MODULES = ("quality", "bpe")
 
 
 def _merged(attribute: str) -> dict:
