@@ -23,7 +23,7 @@ from itertools import chain
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from .common import replacing, table
+from .common import arrow_column, table
 
 #: Entries that a worker's memo of pieces, or of token pairs, holds before it starts afresh.
 MEMO = 300_000
@@ -174,22 +174,6 @@ def vocabulary(name: str = "byte_bpe_multi_50k.tiktoken") -> tuple[str, str]:
     return public_tokenizers.path(name), public_tokenizers.PATTERN
 
 
-def _with(df: DataFrame, column: str, name: str, kind: str, convert) -> DataFrame:
-    """``df`` with one more column, ``convert`` of a list of values giving an Arrow array; batches stream through."""
-    import pyarrow as pa
-
-    base = replacing(df, name)
-    source = f"__in_{column}"
-    both = base.withColumn(source, df[column])
-
-    def add(batches: Iterator) -> Iterator:
-        for batch in batches:
-            made = convert(batch.column(batch.num_columns - 1).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], made], names=[*batch.schema.names[:-1], name])
-
-    return both.mapInArrow(add, T.StructType([*base.schema.fields, T.StructField(name, T._parse_datatype_string(kind))]))
-
-
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` with the token ids of each text."""
 
@@ -204,7 +188,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
         flat = np.fromiter(chain.from_iterable(found), np.int32, offsets[-1])
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
-    return _with(df, text, ids, "array<int>", convert)
+    return arrow_column(df, text, ids, "array<int>", convert)
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", data: str = "data") -> DataFrame:
@@ -216,7 +200,7 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", data: str =
         make = codec(path, pattern)
         return pa.array([make.decode(v or ()) for v in values], pa.binary())
 
-    return _with(df, ids, data, "binary", convert)
+    return arrow_column(df, ids, data, "binary", convert)
 
 
 def digests(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Words are runs of anything but these characters.
 SPACE_CLASS = r"\x20\x09-\x0D"
@@ -62,3 +63,19 @@ def replacing(df: DataFrame, *names: str) -> DataFrame:
 def held_out(doc_id: str = "doc_id") -> Column:
     """Rows kept away from training: crc32 of the id as text, modulo 4, is 2.  A null id is not held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def arrow_column(df: DataFrame, column: str, name: str, kind: str, convert) -> DataFrame:
+    """``df`` with one more column, ``convert`` of a list of values giving an Arrow array; batches stream through."""
+    import pyarrow as pa
+
+    base = replacing(df, name)
+    source = f"__in_{column}"
+    both = base.withColumn(source, df[column])
+
+    def add(batches: Iterator) -> Iterator:
+        for batch in batches:
+            made = convert(batch.column(batch.num_columns - 1).to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], made], names=[*batch.schema.names[:-1], name])
+
+    return both.mapInArrow(add, T.StructType([*base.schema.fields, T.StructField(name, T._parse_datatype_string(kind))]))

@@ -165,9 +165,9 @@ def thresholds(sketch: DataFrame) -> DataFrame:
     """One row per (language, source): the fences to use there."""
     own = _fences(sketch, ["lang", "source"]).withColumnsRenamed({"fences": "own", "rows": "own_rows"})
     by_lang = _fences(sketch, ["lang"]).select(F.col("lang").alias("l"), F.col("fences").alias("of_lang"), F.col("rows").alias("lang_rows"))
-    overall = _fences(sketch.withColumn("all", F.lit(1)), ["all"]).select("all", F.col("fences").alias("of_all"))
-    joined = own.join(by_lang, own.lang.eqNullSafe(by_lang.l)).withColumn("all", F.lit(1)).join(overall, "all")
-    chosen = F.when(F.col("own_rows") >= LEAST_ROWS, F.col("own")).when(F.col("lang_rows") >= LEAST_ROWS, F.col("of_lang")).otherwise(F.col("of_all"))
+    overall = _fences(sketch, []).select("fences").scalar()
+    joined = own.join(by_lang, own.lang.eqNullSafe(by_lang.l))
+    chosen = F.when(F.col("own_rows") >= LEAST_ROWS, F.col("own")).when(F.col("lang_rows") >= LEAST_ROWS, F.col("of_lang")).otherwise(overall)
     return joined.select(F.col("lang").alias("__lang"), F.col("source").alias("__source"), chosen.alias("__fences"))
 
 

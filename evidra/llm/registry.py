@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("quality", "bpe")
+MODULES = ("quality", "bpe", "pii")
 
 
 def _merged(attribute: str) -> dict:
