@@ -29,10 +29,10 @@ def test_repeats_against_brute_force(spark):
 
 def test_nulls_empties_repeats_and_clashes(spark):
     text = " ".join(f"word{i}" for i in range(80))
-    rows = [(None, None, None, None, "x"), (1, "", "en", None, "x"), (2, text, None, "s", "x"), (2, text, None, "s", "x"), (3, text + " $$$$$$$$$$" * 60, None, "s", "x")]
+    rows = [(None, None, None, None, "x"), (1, "", "en", None, "x"), (2, text, None, "s", "x"), (2, text, None, "s", "x"), (3, text + " $$$$$$$$$$" * 100, None, "s", "x")]
     df = spark.createDataFrame(rows, SCHEMA)
     out = sorted((str(r.doc_id), r.n_words, r.base_failed, r.kept) for r in quality.judged(df).collect())
-    assert out == [("1", 0, True, False), ("2", 80, False, True), ("2", 80, False, True), ("3", 140, True, False), ("None", 0, True, False)]
+    assert out == [("1", 0, True, False), ("2", 80, False, True), ("2", 80, False, True), ("3", 180, True, False), ("None", 0, True, False)]
     kept = quality.quality_filter(df)
     assert kept.columns == df.columns and kept.count() == 2
     assert quality.judged(df.limit(0)).count() == 0
