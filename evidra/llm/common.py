@@ -65,13 +65,15 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def arrow_column(df: DataFrame, column: str, name: str, kind: str, convert) -> DataFrame:
-    """``df`` with one more column, ``convert`` of a list of values giving an Arrow array; batches stream through."""
+def arrow_column(df: DataFrame, column: str, name: str, kind: str, convert, drop: bool = False) -> DataFrame:
+    """``df`` with one more column, ``convert`` of a list of values giving an Arrow array; batches stream through.
+
+    ``drop`` leaves out the column read, which then does not travel back.
+    """
     import pyarrow as pa
 
-    base = replacing(df, name)
-    source = f"__in_{column}"
-    both = base.withColumn(source, df[column])
+    base = replacing(df, name, *[column] * drop)
+    both = df.select(*[F.col(f"`{c}`") for c in base.columns], F.col(f"`{column}`").alias("__in"))
 
     def add(batches: Iterator) -> Iterator:
         for batch in batches:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("quality", "bpe", "pii")
+MODULES = ("quality", "bpe", "simhash", "pii")
 
 
 def _merged(attribute: str) -> dict:
