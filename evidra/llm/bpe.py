@@ -21,9 +21,10 @@ from collections.abc import Iterator
 from itertools import chain
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_column, table
+from .common import arrow_column, replacing, table
 
 #: Entries that a worker's memo of pieces, or of token pairs, holds before it starts afresh.
 MEMO = 300_000
@@ -174,8 +175,8 @@ def vocabulary(name: str = "byte_bpe_multi_50k.tiktoken") -> tuple[str, str]:
     return public_tokenizers.path(name), public_tokenizers.PATTERN
 
 
-def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``df`` with the token ids of each text."""
+def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", checked: str | None = None) -> DataFrame:
+    """``df`` with the token ids of each text; ``checked`` names a further column, whether they decode to the text."""
 
     def convert(values: list):
         import numpy as np
@@ -186,9 +187,16 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
         offsets = np.zeros(len(found) + 1, np.int32)
         np.cumsum([len(x) for x in found], out=offsets[1:])
         flat = np.fromiter(chain.from_iterable(found), np.int32, offsets[-1])
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-
-    return arrow_column(df, text, ids, "array<int>", convert)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+        if not checked:
+            return lists
+        good = [make.decode(x) == (v or "").encode() for x, v in zip(found, values, strict=True)]
+        return pa.StructArray.from_arrays([lists, pa.array(good, pa.bool_())], ["ids", "ok"])
+
+    if not checked:
+        return arrow_column(df, text, ids, "array<int>", convert)
+    both = arrow_column(replacing(df, ids, checked), text, "__coded", "struct<ids:array<int>,ok:boolean>", convert)
+    return both.select(*[F.col(f"`{c}`") for c in both.columns[:-1]], F.col("__coded.ids").alias(ids), F.col("__coded.ok").alias(checked))
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", data: str = "data") -> DataFrame:
