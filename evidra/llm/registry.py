@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("quality", "bpe", "simhash", "pii", "mixing")
+MODULES = ("quality", "chat", "bpe", "simhash", "pii", "mixing")
 
 
 def _merged(attribute: str) -> dict:
