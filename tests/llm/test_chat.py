@@ -41,10 +41,10 @@ def test_round_trip_masks_and_segments(spark):
         assert [tuple(x) for x in r.loss_runs] == runs
         at, masked = 0, []
         for n, loss in r.loss_runs:
-            masked += [r.formatted[at : at + n]] * loss
+            masked += [r.formatted[at : at + n].replace("<||", "<|")] * loss
             at += n
         assert at == len(r.formatted)
-        assert "".join(masked).replace("<||", "<|") == "".join(t for role, t in want[r.conv_id] if role == "assistant")
+        assert "".join(masked) == "".join(t for role, t in want[r.conv_id] if role == "assistant")
         seen += 1
     assert seen == 60
 
