@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("quality", "chat", "bpe", "simhash", "pii", "warc", "mixing")
+MODULES = ("quality", "chat", "bpe", "simhash", "pii", "warc", "mixing", "langid")
 
 
 def _merged(attribute: str) -> dict:
