@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("quality", "chat", "toxicity", "bpe", "simhash", "pii", "warc", "mixing", "langid")
+MODULES = ("quality", "chat", "toxicity", "bpe", "simhash", "topk", "pii", "warc", "mixing", "langid")
 
 
 def _merged(attribute: str) -> dict:
