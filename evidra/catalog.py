@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES: tuple[str, ...] = ()
+MODULES: tuple[str, ...] = ("plans.text_queries",)
 
 
 def _merged(attribute: str) -> dict:
