@@ -46,6 +46,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a small table (a few hundred bytes each) that may go to every task.
+BROADCAST_ROWS = 20_000
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """``df`` computed, and marked for broadcast if it has at most ``BROADCAST_ROWS`` rows; else it joins by shuffle."""
+    df = cut(df)
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once per row, however often ``body`` names it.
 

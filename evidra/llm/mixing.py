@@ -6,8 +6,8 @@ draw depends on nothing but the row, whatever the partitioning or a retry.  Docu
 put into a global order by another hash.  Means above one step are split into equal Poisson steps, whose sum has the
 same distribution, so there is no largest rate.
 
-Everything is DataFrame expressions.  The rates (a row per source) join back on the source: adaptive execution
-broadcasts them if small enough, else splits a hot source.  The order is a range exchange on hashes of id and copy, even
+Everything is DataFrame expressions.  The rates (a row per source) are computed first and join back on the source: by
+broadcast if they are few, so that no text moves; else by a shuffle in which adaptive execution splits a hot source.  The order is a range exchange on hashes of id and copy, even
 where one source, or one id, holds most rows.
 
 Defined results: a null source is a source of its own; a null text has size 0; a source whose texts are all empty, or that
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import replacing, table
+from .common import replacing, sized, table
 
 SEED = 17
 #: Largest mean inverted in one step, and the largest count that a step can give (beyond it lies less than 2**-52).
@@ -78,7 +78,7 @@ def copies(key: Column, seed: int = SEED) -> Column:
 def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, size: float | None = None, seed: int = SEED, key: str = "doc_id", text: str = "text", source: str = "source", ordered: bool = True) -> DataFrame:
     """``docs`` with each row as often as drawn, its ``copy`` number from 1, and the ``shuffle_key`` that orders the mix."""
     base = replacing(docs, *OUTPUTS)
-    rate = rates(docs, weights, size, text, source)
+    rate = sized(rates(docs, weights, size, text, source))
     drawn = base.join(rate, F.col(f"`{source}`").eqNullSafe(F.col("__source")), "left").withColumn("__n", copies(F.col(f"`{key}`"), seed)).where("__n > 0")
     each = drawn.select(*[F.col(f"`{c}`") for c in base.columns], F.explode(F.sequence(F.lit(1), F.col("__n"))).alias("copy"))
     tag = F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("null"))
