@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -39,6 +37,7 @@ def _cells(left: DataFrame, right: DataFrame, blocks_l: int, blocks_r: int, same
     lefts = left.withColumn("bl", F.pmod(F.xxhash64("id"), F.lit(blocks_l)).cast("int")).withColumn("br", F.explode(F.sequence(first, F.lit(blocks_r - 1)))).withColumn("br", F.col("br").cast("int"))
     last = F.col("br") if same else F.lit(blocks_l - 1)
     rights = right.withColumn("br", F.pmod(F.xxhash64("id"), F.lit(blocks_r)).cast("int")).withColumn("bl", F.explode(F.sequence(F.lit(0), last))).withColumn("bl", F.col("bl").cast("int"))
+    rights = rights.select(*[F.col(c).alias(c) for c in rights.columns])  # of a self-join, columns of its own
     return lefts.groupBy("bl", "br").cogroup(rights.groupBy("bl", "br")).applyInArrow(run, schema)
 
 

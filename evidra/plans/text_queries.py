@@ -19,6 +19,11 @@ e AS (SELECT doc_id, lang, source, unnest(ss) AS s, generate_subscripts(ss, 1) -
 r AS (SELECT *, {_REASON} AS claim, CASE WHEN regexp_matches(s, {_FIRST}) THEN 'lower' ELSE {_REASON} END AS reason FROM t)"""
 
 
+def claim_rows() -> str:
+    """DuckDB CTEs that end in ``r``: a row per sentence of documents with its reason."""
+    return _ROWS
+
+
 def claim_funnel_by_lang(spark, sf_dir):
     """Sentences per language through the claim filters, in their order, and what the cap keeps."""
     judged = C.judged_claims(C.sentence_rows(table(spark, sf_dir, "documents").select("doc_id", "lang", "text")))
