@@ -174,8 +174,8 @@ def seconds_short(stamp: Column) -> Column:
 
 
 def seconds_clock(stamp: Column) -> Column:
-    """``[H:]MM:SS``."""
-    pattern = r"^(?:(\d+):)?(\d+):(\d+)$"
+    """The first ``[H:]MM:SS``."""
+    pattern = r"(?:(\d+):)?(\d+):(\d+)"
     return _int(stamp, pattern, 1) * 3600 + _int(stamp, pattern, 2) * 60 + _int(stamp, pattern, 3)
 
 
