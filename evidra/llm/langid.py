@@ -22,11 +22,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import held_out, table
+from .common import held_out, sized, table
 
 DIMS = 4096
 #: Training rows per language that the centroids are fitted on.
 SAMPLE = 500
+#: Parts of a language that are ranked on their own before the sample is cut.
+PARTS = 256
 CLUSTERS = 4
 ROUNDS = 12
 #: Share of a centroid's training texts that lie beyond its rejection distance.
@@ -102,9 +104,11 @@ def frequencies(texts: DataFrame, text: str):
 
 def _sample(train: DataFrame, key: str, text: str, lang: str) -> list:
     """(lang, counts) of at most ``SAMPLE`` training rows per language, chosen by a hash of the id."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key")
-    ids = train.select(F.col(key).alias("key"), F.col(lang).alias("lang")).distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE)
-    picked = train.select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.col(text).alias("text")).join(ids.select("key", "lang"), ["key", "lang"], "left_semi")
+    mixed = F.xxhash64("key")
+    ids = train.select(F.col(key).alias("key"), F.col(lang).alias("lang")).distinct().withColumn("part", F.pmod(F.xxhash64(mixed), F.lit(PARTS)))
+    for keys in (["lang", "part"], ["lang"]):  # first in parts of a language, so that a frequent one is not ranked in one task
+        ids = ids.withColumn("n", F.row_number().over(Window.partitionBy(*keys).orderBy(mixed, "key"))).where(F.col("n") <= SAMPLE).drop("n")
+    picked = train.select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.col(text).alias("text")).join(sized(ids.select("key", "lang")), ["key", "lang"], "left_semi")
 
     def convert(batches: Iterator) -> Iterator:
         import numpy as np
