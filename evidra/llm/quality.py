@@ -6,8 +6,9 @@ counts, the quantiles are exact to one part in 32, and neither partitioning nor
 groups borrow the merged sketch of their language, and that of everything after it.  A document is rejected if a signal
 lies beyond ``median + reach * max(upper quartile - median, slack)`` of its group.
 
-Everything is DataFrame expressions; the only shuffle carries pre-aggregated bucket counts, and the thresholds join
-back on (language, source), where adaptive execution splits a hot source or broadcasts thresholds that are small enough.
+Everything is DataFrame expressions; the only shuffle carries pre-aggregated bucket counts.  The thresholds are computed
+first and join back on (language, source): by broadcast if they are few, so that no text moves; else by a shuffle in
+which adaptive execution splits a hot source.
 
 Defined results: a null text has no words; a null language or source is a group of its own; an empty table gives an
 empty result; repeated rows are judged alike, each on its own; input columns named like an output are replaced.
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import SPACE_CLASS, let, replacing, stored, table
+from .common import SPACE_CLASS, let, replacing, sized, stored, table
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 OUTPUTS = (*COUNTS, "base_failed", "kept")
@@ -176,7 +177,7 @@ def judged(docs: DataFrame, text: str = "text", lang: str = "lang", source: str
     counted = text_counts(replacing(docs, *OUTPUTS), text).withColumn("base_failed", base_failed())
     scored = counted.withColumn("__s", F.struct(*[c.alias(n) for n, c in _signals().items()])).drop("__lines", "__upper")
     scored = stored(scored.drop(text) if drop_text else scored, "quality")
-    limits = thresholds(sketches(scored, lang, source))
+    limits = sized(thresholds(sketches(scored, lang, source)))
     joined = scored.join(limits, F.col(lang).eqNullSafe(limits["__lang"]) & F.col(source).eqNullSafe(limits["__source"]), "left")
     beyond = [F.coalesce(F.col(f"__s.{name}") > F.col("__fences")[name], F.lit(False)) for name in SIGNALS]
     rejected = F.col("base_failed")
