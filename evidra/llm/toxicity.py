@@ -29,7 +29,7 @@ from .common import held_out, replacing, table
 #: Labelled, and unlabelled, training rows used to fit.
 SAMPLE = 10_000
 #: Terms looked at, and terms that become voters.
-CANDIDATES, VOTERS = 400, 64
+CANDIDATES, VOTERS = 600, 160
 STEMS = (4, 5, 6, 7)
 THRESHOLD = 0.3
 #: Distinct words a worker remembers.
@@ -118,7 +118,7 @@ class Voters:
 
 
 def _chosen(votes, toxic) -> list[int]:
-    """Columns of the voters (``toxic``: 1, 0, or -1 for unknown): each next term is the one that marks most toxic texts marked less than twice so far, few others."""
+    """Columns of the voters (``toxic``: 1, 0, or -1 for unknown): each next term is the one that marks most toxic texts marked less than four times so far, few others."""
     import numpy as np
 
     terms_only = votes[:, : votes.shape[1] - len(PATTERNS)]
@@ -128,7 +128,7 @@ def _chosen(votes, toxic) -> list[int]:
     left_out = np.zeros(terms_only.shape[1], bool)
     picked: list[int] = []
     while len(picked) < VOTERS:
-        gain = bad[seen < 2].sum(axis=0) - cost
+        gain = bad[seen < 4].sum(axis=0) - cost
         gain[left_out] = -1
         best = int(gain.argmax()) if len(gain) else 0
         if not len(gain) or gain[best] < 2:
