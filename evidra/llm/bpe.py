@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from .common import arrow_column, replacing, table
 
 #: Entries that a worker's memo of pieces, or of token pairs, holds before it starts afresh.
-MEMO = 300_000
+MEMO = 100_000
 #: Longer pieces are encoded each time.
 MEMO_CHARS = 128
 
@@ -183,14 +183,16 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
         import pyarrow as pa
 
         make = codec(path, pattern)
-        found = [make.encode(v) if v else [] for v in values]
+        found, good = [], []
+        for v in values:
+            ids = make.encode(v) if v else []
+            found.append(np.array(ids, np.int32))
+            good.append(not checked or make.decode(ids) == (v or "").encode())
         offsets = np.zeros(len(found) + 1, np.int32)
         np.cumsum([len(x) for x in found], out=offsets[1:])
-        flat = np.fromiter(chain.from_iterable(found), np.int32, offsets[-1])
-        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *found])))
         if not checked:
             return lists
-        good = [make.decode(x) == (v or "").encode() for x, v in zip(found, values, strict=True)]
         return pa.StructArray.from_arrays([lists, pa.array(good, pa.bool_())], ["ids", "ok"])
 
     if not checked:

@@ -46,6 +46,9 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows that a Python worker holds as objects.
+ROWS_AT_ONCE = 256
+
 #: Rows of a small table (a few hundred bytes each) that may go to every task.
 BROADCAST_ROWS = 20_000
 
@@ -87,7 +90,9 @@ def arrow_column(df: DataFrame, column: str, name: str, kind: str, convert, drop
 
     def add(batches: Iterator) -> Iterator:
         for batch in batches:
-            made = convert(batch.column(batch.num_columns - 1).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], made], names=[*batch.schema.names[:-1], name])
+            for at in range(0, max(batch.num_rows, 1), ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                made = convert(part.column(part.num_columns - 1).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], made], names=[*part.schema.names[:-1], name])
 
     return both.mapInArrow(add, T.StructType([*base.schema.fields, T.StructField(name, T._parse_datatype_string(kind))]))
