@@ -139,14 +139,15 @@ def hex_fingerprint(fp: str):
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: key, fingerprint (16 hex digits) and component_id."""
     rows = stored(with_fingerprint(docs.select(key, text), text, "fp", drop=True), "simhash")
-    return rows.join(grouped(rows, key), "fp").select(key, hex_fingerprint("fp").alias("fingerprint"), "component_id")
+    # stored, the groups bring no partitioning to the join, so that it can split a fingerprint with very many rows
+    return rows.join(stored(grouped(rows, key), "groups"), "fp").select(key, hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of ``docs`` per group of near-duplicates: that of the smallest key; same columns."""
     whole = stored(with_fingerprint(docs, text, "__fp").withColumn("__row", F.monotonically_increasing_id()), "simhash")
     rows = whole.select(F.col(key).alias("key"), F.col("__fp").alias("fp"), "__row")
-    first = rows.join(grouped(rows, "key").select("fp", "root"), "fp").groupBy("root").agg(F.min(F.struct(F.col("key").isNull(), "key", "__row")).alias("first"))
+    first = rows.join(stored(grouped(rows, "key").select("fp", "root"), "groups"), "fp").groupBy("root").agg(F.min(F.struct(F.col("key").isNull(), "key", "__row")).alias("first"))
     return whole.join(first.select("first.__row"), "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
