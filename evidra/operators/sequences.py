@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 from ..functions import text as X
 
 _ENDING = re.compile(r"[.!?]\s+")
-MOST_CHUNKS = 1000
 
 
 def exploded(df: DataFrame, column: str, schema: str, walk: Callable[[str | None], list[dict]]) -> DataFrame:
@@ -42,6 +41,7 @@ def chunk_spans(text: str | None, size: int = 16_000, overlap: int = 1000, margi
 
     A boundary is looked for on both sides, so a chunk may be longer than ``size`` by the margin.  After the end of the
     text one more chunk, contained in the one before, follows where that is longer than the overlap.
+    A text of any length is covered: a chunk ends after it begins (``size`` is positive), so the walk always advances.
     """
     if not text or not text.strip():
         return []
@@ -50,14 +50,14 @@ def chunk_spans(text: str | None, size: int = 16_000, overlap: int = 1000, margi
         return [(0, n)]
     spans: list[tuple[int, int]] = []
     at = 0
-    while at < n and len(spans) <= MOST_CHUNKS:
+    while at < n:
         goal = at + size
         if goal >= n:
             end = n
         else:
             low = max(0, goal - margin)
             ends = [low + m.end() for m in _ENDING.finditer(text[low : min(n, goal + margin)])]
-            end = min(ends, key=lambda e: (abs(e - goal), e), default=goal)
+            end = min((e for e in ends if e > at), key=lambda e: (abs(e - goal), e), default=goal)
         spans.append((at, end))
         at = end - overlap if end - overlap > at else end
     if drop_contained_tail and len(spans) > 1 and spans[-1][1] <= spans[-2][1]:
