@@ -12,9 +12,11 @@ from ..functions import text as X
 def jaccard_join(df: DataFrame, key: str, text: str, threshold: float, block: str | None = None) -> DataFrame:
     """(left_id, right_id, jaccard) of all pairs of rows, in a block, at or above ``threshold``.
 
-    A pair at the threshold shares a token among the rarest few of each row, so only those are joined on.
+    A pair at the threshold shares a token among the rarest few of each row, so only those are joined on.  A null block
+    is a block of its own.
     """
-    sets = df.select(key, (F.col(block) if block else F.lit(0)).alias("__block"), X.token_set(F.col(text)).alias("set")).where(F.size("set") > 0)
+    blocks = F.struct(F.col(block).isNull().alias("none"), F.col(block).alias("value")) if block else F.lit(0)
+    sets = df.select(key, blocks.alias("__block"), X.token_set(F.col(text)).alias("set")).where(F.size("set") > 0)
     each = sets.select(key, "__block", F.size("set").alias("n"), F.explode("set").alias("token"))
     common = each.groupBy("__block", "token").agg(F.count("*").alias("df"))
     rarest = Window.partitionBy(key).orderBy("df", "token")

@@ -1,6 +1,6 @@
 """Cases in which an operator once did less than its whole job."""
 
-from evidra.operators import sequences
+from evidra.operators import sequences, similarity
 
 
 def test_chunks_cover_a_very_long_text():
@@ -9,3 +9,8 @@ def test_chunks_cover_a_very_long_text():
     assert len(spans) > 1001 and spans[-1][1] == len(text)
     assert all(a < c <= b for (a, b), (c, _) in zip(spans, spans[1:], strict=False))
     assert sequences.chunk_spans("a. " * 10, 5, 0, 20)[-1][1] == 30  # a margin beyond the size
+
+
+def test_null_blocks_are_one_block(spark):
+    df = spark.createDataFrame([(1, "a b c", None), (2, "a b c", None), (3, "a b c", "x"), (4, "a b c", "x"), (5, "a b c", "")], "id long, text string, source string")
+    assert sorted((r.left_id, r.right_id) for r in similarity.jaccard_join(df, "id", "text", 0.8, "source").collect()) == [(1, 2), (3, 4)]
