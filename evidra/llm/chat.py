@@ -111,20 +111,47 @@ def read_back(text: Column) -> Column:
     return F.flatten(F.transform(blocks, turns))
 
 
+def _starts(sizes: Column, first: Column) -> Column:
+    """Where each of a few ``sizes`` starts, from ``first`` on; with the end of the last."""
+    return F.aggregate(sizes, F.array(first), lambda acc, x: F.concat(acc, F.array(F.get(acc, F.size(acc) - 1) + x)))
+
+
+def under_mask(text: Column, runs: Column) -> Column:
+    """The unescaped texts that the counted ``runs`` (chars, loss) cut out of ``text``, joined.
+
+    Runs are placed in groups of ``SEGMENT``, and cut from four bytes a character, so that no run walks the text anew.
+    """
+    groups = F.transform(F.sequence(F.lit(0), F.floor(F.size(runs) / SEGMENT).cast("int")), lambda g: F.slice(runs, g * SEGMENT + 1, F.lit(SEGMENT)))
+    chars = lambda group: F.transform(group, lambda r: r["chars"])
+    total = lambda group: F.aggregate(chars(group), F.lit(0), lambda acc, x: acc + x)
+
+    def cut(wide: Column, group: Column, start: Column) -> Column:
+        def texts(at: Column) -> Column:
+            placed = F.transform(group, lambda r, i: F.struct(F.get(at, i).alias("at"), r["chars"].alias("chars"), r["loss"].alias("loss")))
+            return F.transform(F.filter(placed, lambda r: r["loss"]), lambda r: unescaped(F.decode(F.substring(wide, r["at"] * 4 + 1, r["chars"] * 4), "UTF-32")))
+
+        return F.array_join(let(_starts(chars(group), start), texts), "")
+
+    def joined(gs: Column) -> Column:
+        starts = _starts(F.transform(gs, total), F.lit(0))
+        return let(F.encode(text, "UTF-32"), lambda wide: let(starts, lambda at: F.array_join(F.transform(gs, lambda g, i: cut(wide, g, F.get(at, i))), "")))
+
+    return let(groups, joined)
+
+
 def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     tricky = spark.range(1).select(F.explode(F.array(*[F.struct(F.lit(-1).cast("long").alias("conv_id"), F.lit(i).cast("long").alias("turn"), F.lit(r).alias("role"), F.lit("<|im_end|><|im_start|>assistant ok").alias("text")) for i, r in enumerate(("user", "assistant"))])).alias("t")).select("t.*")
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(tricky)
-    read = formatted(turns).select("conv_id", "formatted", let(read_back(F.col("formatted")), lambda t: F.struct(
+    read = formatted(turns).select("conv_id", "formatted", under_mask(F.col("formatted"), F.col("loss_runs")).alias("loss"), let(read_back(F.col("formatted")), lambda t: F.struct(
         F.size(t).cast("long").alias("n"),
         F.array_join(F.transform(t, lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "").alias("all"),
-        F.array_join(F.transform(F.filter(t, lambda x: x["role"] == "assistant"), lambda x: x["text"]), "").alias("loss"),
     )).alias("r"))
     return read.select(
         "conv_id",
         F.col("r.n").alias("n_turns"),
         F.sha2(F.col("r.all").cast("binary"), 256).alias("turns_sha256"),
-        F.length("r.loss").cast("long").alias("loss_chars"),
-        F.sha2(F.col("r.loss").cast("binary"), 256).alias("loss_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
 
