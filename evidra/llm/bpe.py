@@ -1,15 +1,18 @@
 """Byte-level BPE encoding and decoding that reproduces exact merges in linear time.
 
 Bytes are read as Latin-1 characters, so one pyahocorasick automaton over the vocabulary finds every token at every
-position of a piece.  The encoder takes the longest token, and steps back to shorter ones when two neighbours are not
+position of a piece.  The encoder takes the longest tokens, and steps back to shorter ones when two neighbours are not
 what merging would leave side by side.  A sequence in which every adjacent pair is compatible *is* the merge result,
 and compatibility depends on two tokens only, so it is memoised; a position from which nothing fits is marked once and
 never tried again, which keeps the work linear.
 
-The operators stream Arrow batches and hold one bounded memo per Python worker; a lost executor only repeats its tasks.
+The operators stream Arrow batches and hold two memos of bounded bytes per Python worker; a lost executor only repeats
+its tasks.
 
-Defined results: a null text encodes as an empty one; an empty text gives no ids; an id outside the vocabulary, or a
-null in an id list, is an error in ``decode``; null id lists decode to empty bytes; repeated rows stay repeated.
+Defined results: a null text encodes as an empty one; an empty text gives no ids; a text of any length is encoded whole,
+in time linear in it; an id outside the vocabulary, or a null in an id list, is an error in ``decode``; null id lists
+decode to empty bytes; repeated rows stay repeated; an empty table gives an empty result; input columns named like an
+output are replaced, all others are kept.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -26,35 +30,42 @@ from pyspark.sql import types as T
 
 from .common import arrow_column, replacing, table
 
-#: Entries that a worker's memo of pieces, or of token pairs, holds before it starts afresh.
-MEMO = 100_000
-#: Longer pieces are encoded each time.
+#: Bytes that a generation of a worker's memo of stretches, and of token pairs, may hold; each keeps two generations.
+MEMO = 48 << 20
+#: Longer stretches are encoded each time.
 MEMO_CHARS = 128
+#: What an entry of a memo takes besides its key and value.
+ENTRY_BYTES = 80
 
-
-#: Unicode white space.  No piece runs from another character into one of these, so a text falls into stretches (white
-#: space, then the rest) that can be cut into pieces one by one, and a stretch seen before need not be cut again.
+#: Unicode white space.  No piece runs from another character into one of these, nor from a letter or digit into a mark of
+#: ASCII, so a text falls into stretches (white space, then a word or the rest) that can be cut into pieces one by one, and
+#: a stretch seen before need not be cut again.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-STRETCH = f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+"
+ASCII_MARKS = r"!-/:-@\[-`{-~"
+STRETCH = f"[{SPACE}]*+(?:[^\\W_]++(?:(?=[{ASCII_MARKS}])|[^{SPACE}]*+)|[^{SPACE}]++)|[{SPACE}]+"
 
 
 class _Memo(dict):
-    """Ids of a string, encoded on first use; of older ones, those asked for again survive."""
-
-    def __init__(self, encode):
-        self.encode = encode
-        self.older: dict[str, tuple[int, ...]] = {}
-
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = self.older.get(piece)
-        if ids is None:
-            ids = self.encode(piece)
-        if len(piece) <= MEMO_CHARS:
-            if len(self) >= MEMO:
+    """Values made on first use, up to so many bytes; of the generation before, those asked for again survive."""
+
+    def __init__(self, make, size_of):
+        self.make, self.size_of = make, size_of
+        self.older: dict = {}
+        self.held = 0
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        size = self.size_of(key, value)
+        if size:
+            if self.held + size > MEMO:
                 self.older = self.copy()
                 self.clear()
-            self[piece] = ids
-        return ids
+                self.held = 0
+            self.held += size
+            self[key] = value
+        return value
 
 
 class Codec:
@@ -69,17 +80,26 @@ class Codec:
         self.stretches = re.compile(STRETCH).findall
         self.token = {i: b for b, i in ranks.items()}
         self.text = {i: str(i) for i in self.token}
-        self.length = [0] * (max(self.token, default=0) + 1)
-        self.byte = [ranks.get(bytes([i])) for i in range(256)]
+        self.ids = max(self.token, default=0) + 1
+        self.whole = {b.decode("latin-1"): i for b, i in ranks.items()}  # by the Latin-1 characters of the bytes
+        self.length = [0] * self.ids
+        self.halves = {i: self._halves(b, i) for b, i in ranks.items()}
+        self.joined = {pair[0] * self.ids + pair[1]: i for i, pair in self.halves.items() if pair and pair[0] >= 0}
+        self.byte = {chr(x): ranks.get(bytes([x]), -1) for x in range(256)}
         self.automaton = ahocorasick.Automaton()
-        for b, i in ranks.items():
-            self.length[i] = len(b)
-            if len(b) > 1 and self.merged(b) == [i]:  # a token that merging never arrives at can only be a whole piece
-                self.automaton.add_word(b.decode("latin-1"), (i, len(b) - 1))
+        merging = set()
+        for text, i in self.whole.items():
+            self.length[i] = len(text)
+            if self.halves[i]:  # a token that merging never arrives at can only be a whole piece
+                merging.add(text)
+                if len(text) > 1:
+                    self.automaton.add_word(text, i)
         self.automaton.make_automaton()
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.pieces = _Memo(self._piece)
-        self.known = _Memo(self._stretch)
+        self.shorter = [-1] * self.ids  # the longest token that a token begins with
+        for text in merging:
+            self.shorter[self.whole[text]] = next((self.whole[text[:k]] for k in range(len(text) - 1, 0, -1) if text[:k] in merging), -1)
+        self.pairs = _Memo(self._adjacent, lambda key, value: ENTRY_BYTES + 32)
+        self.known = _Memo(self._stretch, lambda key, value: ENTRY_BYTES + 100 + len(key) + len(value) if len(key) <= MEMO_CHARS else 0)
 
     @classmethod
     def load(cls, path: str, pattern: str) -> Codec:
@@ -87,72 +107,77 @@ class Codec:
             ranks = {base64.b64decode(b): int(i) for b, i in map(bytes.split, filter(None, file))}
         return cls(ranks, pattern)
 
-    def merged(self, data: bytes) -> list[int]:
-        """Ids by the definition: merge the neighbours of lowest rank, leftmost first, until none merge.
-
-        Only for pairs of tokens; whole pieces go through ``_piece``.
-        """
+    def _halves(self, data: bytes, rank: int) -> tuple[int, int] | None:
+        """The two tokens whose merge makes a token: a byte has none (-1, -1); None if merging never arrives at it."""
+        if len(data) == 1:
+            return -1, -1
         parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            rank, at = min((self.ranks.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1))
-            if rank == 1 << 60:
-                break
+        while len(parts) > 2:  # merge the neighbours of lowest rank, leftmost first
+            least, at = min((self.ranks.get(parts[i] + parts[i + 1], rank), i) for i in range(len(parts) - 1))
+            if least >= rank:
+                return None
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [self.ranks[p] for p in parts]
-
-    def _adjacent(self, key: tuple[int, int]) -> bool:
-        """Whether merging leaves these two tokens side by side."""
-        known = self.merged(self.token[key[0]] + self.token[key[1]]) == [*key]
-        if len(self.pairs) >= MEMO:
-            self.pairs.clear()
-        self.pairs[key] = known
-        return known
-
-    def _piece(self, piece: str) -> tuple[int, ...]:
-        data = piece.encode()
-        whole = self.ranks.get(data)
+        return self.ranks[parts[0]], self.ranks[parts[1]]
+
+    def _adjacent(self, key: int) -> bool:
+        """Whether merging leaves these two tokens, packed into one number, side by side.
+
+        Undoes the later merge of the tokens at their border, again and again: they stay apart unless the two that then
+        touch there would have merged before that.
+        """
+        left, right = divmod(key, self.ids)
+        halves, joined, ids = self.halves, self.joined, self.ids
+        until = ids  # ranks that the merges undone so far came before
+        while True:
+            if joined.get(left * ids + right, ids) < until:
+                return False
+            a, b = halves[left][1], halves[right][0]
+            if a < 0 and b < 0:
+                return True
+            if b < 0 or (a >= 0 and left > right):
+                left, until = a, left
+            else:  # of equal ranks, the left one was merged first
+                right, until = b, right + 1
+
+    def _piece(self, piece: str) -> list[int]:
+        data = piece if piece.isascii() else piece.encode().decode("latin-1")
+        whole = self.whole.get(data)
         if whole is not None:
-            return (whole,)
-        n, length, pairs = len(data), self.length, self.pairs
-        starting = [[self.byte[x]] for x in data]  # tokens by start, the longest last
-        for end, (one, before) in self.automaton.iter(data.decode("latin-1")):
-            starting[end - before].append(one)
-        dead = bytearray(n + 1)
+            return [whole]
+        n, length, pairs, ids, shorter = len(data), self.length, self.pairs, self.ids, self.shorter
+        longest = list(map(self.byte.__getitem__, data))
+        for end, one in self.automaton.iter(data):  # longer tokens end later
+            longest[end + 1 - length[one]] = one
         taken: list[int] = []
-        tried: list[int] = []  # the place of each taken token in its list
-        at, last, here = 0, -1, starting[0]
-        k = len(here) - 1
+        dead: set[int] = set()
+        at, last, one = 0, -1, longest[0]
         while True:
-            while k >= 0:
-                one = here[k]
-                if not dead[at + length[one]]:
-                    if last < 0:
-                        break
-                    fits = pairs.get(key := (last, one))
-                    if self._adjacent(key) if fits is None else fits:
-                        break
-                k -= 1
-            if k >= 0:
-                taken.append(one)
-                tried.append(k)
-                at += length[one]
-                if at == n:
-                    return tuple(taken)
-                last, here = one, starting[at]
-                k = len(here) - 1
-            else:
+            if one < 0:
                 if not taken:
                     raise ValueError(f"the vocabulary has no tokens for {piece[:40]!r}")
-                dead[at] = 1
-                at -= length[taken.pop()]
-                k = tried.pop() - 1
-                last, here = taken[-1] if taken else -1, starting[at]
+                dead.add(at)
+                one = taken.pop()
+                at -= length[one]
+                last = taken[-1] if taken else -1
+            elif (end := at + length[one]) not in dead and (last < 0 or pairs[last * ids + one]):
+                taken.append(one)
+                if end == n:
+                    return taken
+                at, last, one = end, one, longest[end]
+                continue
+            one = shorter[one]
+
+    def _stretch(self, text: str) -> bytes:
+        """The ids as four bytes each, which join to those of a text."""
+        pieces = self.find(text)
+        return array("i", self._piece(pieces[0]) if len(pieces) == 1 else chain.from_iterable(map(self._piece, pieces))).tobytes()
 
-    def _stretch(self, text: str) -> tuple[int, ...]:
-        return tuple(chain.from_iterable(map(self.pieces.__getitem__, self.find(text))))
+    def packed(self, text: str) -> bytes:
+        """The ids of ``text`` as four bytes each."""
+        return b"".join(map(self.known.__getitem__, self.stretches(text)))
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.known.__getitem__, self.stretches(text))))
+        return array("i", self.packed(text)).tolist()
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
@@ -185,9 +210,9 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
         make = codec(path, pattern)
         found, good = [], []
         for v in values:
-            ids = make.encode(v) if v else []
-            found.append(np.array(ids, np.int32))
-            good.append(not checked or make.decode(ids) == (v or "").encode())
+            ids = np.frombuffer(make.packed(v or ""), np.int32)
+            found.append(ids)
+            good.append(not checked or make.decode(ids.tolist()) == (v or "").encode())
         offsets = np.zeros(len(found) + 1, np.int32)
         np.cumsum([len(x) for x in found], out=offsets[1:])
         lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *found])))
@@ -227,7 +252,7 @@ def digests(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: s
         for batch in batches:
             rows: list[list] = [[], [], []]
             for value in batch.column(1).to_pylist():
-                ids = make.encode(value) if value else []
+                ids = make.encode(value or "")
                 rows[0].append(len(ids))
                 rows[1].append(hashlib.sha256(",".join(map(make.text.__getitem__, ids)).encode()).hexdigest())
                 rows[2].append(hashlib.sha256(make.decode(ids)).hexdigest())
