@@ -1,8 +1,8 @@
 """WARC archives as a Spark Python data source: ``spark.read.format("warc")`` and ``df.write.format("warc")``.
 
 Writing: each task streams its rows into gzip files of bounded size, one member per record, whose gzip header carries the
-standard skip lengths.  Names are unique and the commit lists what succeeded tasks wrote in a manifest, so files left by
-lost or repeated tasks are never read.
+standard skip lengths.  Names are unique and each commit adds a manifest of what succeeded tasks wrote, so files left by
+lost or repeated tasks are never read, appended archives add up, and an overwrite replaces what older manifests list.
 
 Reading: a partition per file.  Of each record the headers are inflated and parsed first; equality, membership, prefix
 and null predicates on record type and header columns are pushed down and decide from them, and the payload of a record
@@ -11,7 +11,8 @@ lengths are read too.
 
 Storage goes through pyarrow file systems (local, HDFS, object stores); the folder must be one that all executors share.
 
-Defined results: a null payload is an empty one; a null url or id leaves its header out and reads back as null; repeated
+Defined results: a payload of any length is written whole; columns other than page_id, url and html take no part; a null
+payload is an empty one; a null url or id leaves its header out and reads back as null; repeated
 rows are records each, and of equal payloads with equal ids exactly one is the response; an empty table gives an archive
 without records.
 """
@@ -21,13 +22,14 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import re
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualNullSafe, EqualTo, In, InputPartition, IsNotNull, IsNull, StringStartsWith, WriterCommitMessage
 
@@ -42,7 +44,8 @@ FILE_BYTES = 256 << 20
 WINDOW = 1 << 20
 #: Records and payload bytes in an Arrow batch.
 BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
-MANIFEST = "_manifest.json"
+#: A commit writes one of these; readers take the files of all that no other one replaces.
+MANIFEST = re.compile(r"_manifest-[0-9a-f]{32}\.json")
 
 
 def base32_sha1(data: bytes) -> str:
@@ -55,6 +58,19 @@ def _fs(path: str):
     return fs.FileSystem.from_uri(path)
 
 
+def _manifests(system, folder: str) -> dict[str, list[str]]:
+    """The valid manifests of a folder by name, with the files that each lists."""
+    from pyarrow import fs
+
+    told = {}
+    for info in system.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
+        if MANIFEST.fullmatch(info.base_name):
+            with system.open_input_file(info.path) as file:
+                told[info.base_name] = json.loads(file.read())
+    gone = {name for x in told.values() for name in x["replaces"]}
+    return {name: x["files"] for name, x in told.items() if name not in gone}
+
+
 def _header_text(value) -> str:
     """A value as it may stand in a header line: control characters are percent-encoded."""
     return "".join(f"%{ord(c):02X}" if ord(c) < 32 or ord(c) == 127 else c for c in str(value))
@@ -89,8 +105,8 @@ class Written(WriterCommitMessage):
 class WarcWriter(DataSourceWriter):
     """Takes rows (page_id, url, payload or null, payload_bytes, sha1_hex, record_type, refers_to)."""
 
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, overwrite: bool = False):
+        self.path, self.overwrite = path, overwrite
 
     def write(self, rows: Iterator) -> Written:
         system, folder = _fs(self.path)
@@ -113,10 +129,17 @@ class WarcWriter(DataSourceWriter):
         return Written(files)
 
     def commit(self, messages: list) -> None:
+        """One new manifest makes all files visible; of an overwrite, it replaces the older ones, whose files then go."""
         system, folder = _fs(self.path)
         system.create_dir(folder, recursive=True)
-        with system.open_output_stream(f"{folder}/{MANIFEST}", compression=None) as out:
-            out.write(json.dumps(sorted(f for m in messages if m for f in m.files)).encode())
+        older = _manifests(system, folder) if self.overwrite else {}
+        told = {"files": sorted(f for m in messages if m for f in m.files), "replaces": sorted(older)}
+        name = f"{folder}/_manifest-{uuid.uuid4().hex}.json"
+        with system.open_output_stream(f"{name}.new", compression=None) as out:
+            out.write(json.dumps(told).encode())
+        system.move(f"{name}.new", name)
+        for path in (x for files in older.values() for x in files):
+            system.delete_file(f"{folder}/{path}")
 
     def abort(self, messages: list) -> None:
         system, folder = _fs(self.path)
@@ -227,9 +250,8 @@ class WarcReader(DataSourceReader):
         from pyarrow import fs
 
         system, folder = _fs(self.path)
-        if system.get_file_info(f"{folder}/{MANIFEST}").type == fs.FileType.File:
-            with system.open_input_file(f"{folder}/{MANIFEST}") as file:
-                names = [f"{folder}/{x}" for x in json.loads(file.read())]
+        if told := _manifests(system, folder):
+            names = [f"{folder}/{x}" for files in told.values() for x in files]
         else:
             names = [x.path for x in system.get_file_info(fs.FileSelector(folder)) if x.path.endswith((".warc", ".warc.gz"))]
         parts = [FilePart(x.path, x.size) for x in system.get_file_info(names)]
@@ -279,7 +301,7 @@ class WarcSource(DataSource):
         return WarcReader(self.options["path"], self.options.get("payloads", "all"), self.options.get("verify", "true") == "true")
 
     def writer(self, schema, overwrite: bool) -> WarcWriter:
-        return WarcWriter(self.options["path"])
+        return WarcWriter(self.options["path"], overwrite)
 
 
 def register(spark: SparkSession) -> None:
@@ -288,25 +310,43 @@ def register(spark: SparkSession) -> None:
 
 
 def revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """The rows to write: of equal payloads of at least ``least_bytes``, the smallest page_id is the response."""
+    """The rows to write: of equal payloads of at least ``least_bytes``, the smallest page_id is the response.
+
+    All is decided by content, so a retry that meets its rows in another order decides alike.  Rows that repeat a
+    response in everything are put together and written as one response and its revisits.
+    """
     data = F.coalesce(F.col("html"), F.lit(""))
-    each = pages.select("page_id", "url", data.alias("payload"), F.octet_length(data).cast("long").alias("payload_bytes"), F.sha1(data.cast("binary")).alias("sha1_hex"), F.monotonically_increasing_id().alias("row"))
-    first = each.groupBy("sha1_hex", "payload_bytes").agg(F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "row")).alias("first"))
-    joined = each.join(first, ["sha1_hex", "payload_bytes"])
-    again = (F.col("payload_bytes") >= least_bytes) & (F.col("row") != F.col("first.row"))
-    return joined.select(
-        "page_id", "url",
-        F.when(~again, F.col("payload")).alias("payload"),
-        "payload_bytes", "sha1_hex",
-        F.when(again, F.lit("revisit")).otherwise("response").alias("record_type"),
-        F.when(again, F.col("first.page_id")).alias("refers_to"),
-    )
-
-
-def write_pages(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
-    """One record per row of ``pages`` (page_id, url, html)."""
+    each = pages.select("page_id", "url", data.alias("payload"), F.octet_length(data).cast("long").alias("payload_bytes"), F.sha1(data.cast("binary")).alias("sha1_hex"))
+    same = ["sha1_hex", "payload_bytes"]
+    counted = each.groupBy(*same, "page_id", "url").agg(F.count("*").alias("n"))
+    order = F.struct(F.col("page_id").isNull().alias("none"), "page_id", F.col("url").isNull().alias("bare"), "url")
+    first = counted.groupBy(*same).agg(F.min(order).alias("first"), F.min_by("n", order).alias("n"))
+    joined = each.join(first, same)
+    is_first = F.col("page_id").eqNullSafe(F.col("first.page_id")) & F.col("url").eqNullSafe(F.col("first.url"))
+    small = F.col("payload_bytes") < least_bytes
+
+    def rows(df: DataFrame, response: Column) -> DataFrame:
+        return df.select(
+            "page_id", "url",
+            F.when(response, F.col("payload")).alias("payload"),
+            "payload_bytes", "sha1_hex",
+            F.when(response, F.lit("response")).otherwise("revisit").alias("record_type"),
+            F.when(~response, F.col("first.page_id")).alias("refers_to"),
+        )
+
+    repeated = is_first & (F.col("n") > 1) & ~small
+    written = rows(joined.where(~repeated), small | is_first)
+    again = first.where((F.col("n") > 1) & ~small)
+    if again.isEmpty():
+        return written
+    kept = each.join(again, same).where(is_first).groupBy(*same, "page_id", "url").agg(F.first("payload").alias("payload"), F.first("first").alias("first"), F.first("n").alias("n"))
+    return written.unionByName(rows(kept.withColumn("k", F.explode(F.sequence(F.lit(1), "n"))), F.col("k") == 1))
+
+
+def write_pages(pages: DataFrame, path: str, least_bytes: int = 0, mode: str = "append") -> None:
+    """One record per row of ``pages`` (page_id, url, html); ``mode``: append or overwrite."""
     register(pages.sparkSession)
-    revisits(pages, least_bytes).write.format("warc").mode("append").save(path)
+    revisits(pages, least_bytes).write.format("warc").mode(mode).save(path)
 
 
 def read_archive(spark: SparkSession, path: str, payloads: str = "all") -> DataFrame:
@@ -322,4 +362,12 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op8_warc": op8_warc}
-ORACLE_SQL: dict[str, str] = {}
+_BITS = "array_to_string(list_transform(string_split(hex, ''), lambda x: lpad(bin(strpos('0123456789abcdef', x) - 1), 4, '0')), '')"
+_BASE32 = "array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + list_sum(list_transform(range(0, 5), lambda j: CAST(substr(bits, CAST(5 * k + j + 1 AS BIGINT), 1) AS INTEGER) * (16 >> j))) AS BIGINT), 1)), '')"
+ORACLE = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+h AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha1(html) AS hex FROM p),
+b AS (SELECT *, {_BITS} AS bits, min(page_id) OVER (PARTITION BY hex, payload_bytes) AS first FROM h)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM b"""
+ORACLE_SQL = {"op8_warc": ORACLE}

@@ -7,6 +7,8 @@ from pyspark.sql.datasource import EqualTo, StringContains
 
 from evidra.llm import warc
 
+from .helpers import same
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -79,3 +81,30 @@ def test_unwanted_payloads_are_not_inflated():
     finally:
         warc.WINDOW = warc_window
     assert sum(fetched) < len(data) / 3
+
+
+def test_oracle(spark):
+    same(warc.op8_warc(spark, SF), warc.ORACLE_SQL["op8_warc"], SF)
+
+
+def test_appends_add_up_and_an_overwrite_replaces(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"http://a/{i}", f"text {i}") for i in range(6)], "page_id long, url string, html string")
+    path = f"file://{tmp_path}/w"
+    warc.write_pages(pages.where("page_id < 3"), path)
+    warc.write_pages(pages.where("page_id >= 3"), path)
+    assert sorted(r.page_id for r in warc.read_archive(spark, path).collect()) == [0, 1, 2, 3, 4, 5]
+    warc.write_pages(pages.where("page_id = 4"), path, mode="overwrite")
+    assert [r.page_id for r in warc.read_archive(spark, path).collect()] == [4]
+    assert sum(x.endswith(".gz") for x in os.listdir(tmp_path / "w")) == 1
+    warc.write_pages(pages.where("page_id = 5"), path)
+    assert sorted(r.page_id for r in warc.read_archive(spark, path).collect()) == [4, 5]
+
+
+def test_many_repeats_of_one_page_give_one_response(spark, tmp_path):
+    rows = [(7, "u", "same")] * 400 + [(7, None, "same"), (9, "v", "same"), (None, "u", "same")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    path = f"file://{tmp_path}/w"
+    warc.write_pages(pages, path)
+    back = warc.read_archive(spark, path).collect()
+    assert len(back) == len(rows) and [(r.page_id, r.target_uri) for r in back if r.record_type == "response"] == [(7, "u")]
+    assert {r.refers_to for r in back if r.record_type == "revisit"} == {7}
