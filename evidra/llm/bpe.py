@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_column, replacing, table
+from .common import arrow_column, replacing, table, unused
 
 #: Bytes that a generation of a worker's memo of stretches, and of token pairs, may hold; each keeps two generations.
 MEMO = 48 << 20
@@ -222,8 +222,10 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
 
     if not checked:
         return arrow_column(df, text, ids, "array<int>", convert)
-    both = arrow_column(replacing(df, ids, checked), text, "__coded", "struct<ids:array<int>,ok:boolean>", convert)
-    return both.select(*[F.col(f"`{c}`") for c in both.columns[:-1]], F.col("__coded.ids").alias(ids), F.col("__coded.ok").alias(checked))
+    rest = replacing(df, ids, checked)
+    (coded,) = unused(df, "coded")
+    both = arrow_column(df, text, coded, "struct<ids:array<int>,ok:boolean>", convert)
+    return both.select(*[F.col(f"`{c}`") for c in rest.columns], F.col(coded)["ids"].alias(ids), F.col(coded)["ok"].alias(checked))
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", data: str = "data") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -21,10 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share (``spark.checkpoint.dir``).
 
-    Only where the session names none, as in local tests, one is made.
+    Only where the session names none and runs on one machine, as in local tests, one is made.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="evidra-")
         spark.conf.set("spark.checkpoint.dir", named)
     if not spark.sparkContext.getCheckpointDir():
@@ -73,6 +76,36 @@ def replacing(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with underscores added until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        found.append(name)
+    return found
+
+
+def guarded(operator):
+    """An operator that may use columns beginning with two underscores, though its input has such columns too.
+
+    These bear other names meanwhile, and their own again in the result.
+    """
+
+    @functools.wraps(operator)
+    def run(df: DataFrame, *args, **named):
+        own = [c for c in df.columns if c.startswith("__")]
+        if not own:
+            return operator(df, *args, **named)
+        away = dict(zip(own, unused(df, *[f"in{c}" for c in own]), strict=True))
+        moved = [away.get(x, x) if isinstance(x, str) else x for x in args]
+        out = operator(df.withColumnsRenamed(away), *moved, **{k: away.get(x, x) if isinstance(x, str) else x for k, x in named.items()})
+        return out.withColumnsRenamed({v: k for k, v in away.items()})
+
+    return run
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Rows kept away from training: crc32 of the id as text, modulo 4, is 2.  A null id is not held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -86,7 +119,7 @@ def arrow_column(df: DataFrame, column: str, name: str, kind: str, convert, drop
     import pyarrow as pa
 
     base = replacing(df, name, *[column] * drop)
-    both = df.select(*[F.col(f"`{c}`") for c in base.columns], F.col(f"`{column}`").alias("__in"))
+    both = df.select(*[F.col(f"`{c}`") for c in base.columns], F.col(f"`{column}`").alias(unused(base, "in")[0]))
 
     def add(batches: Iterator) -> Iterator:
         for batch in batches:

@@ -1,13 +1,16 @@
 """Personal data: anchors found by one Aho-Corasick pass, boundaries expanded and validated by local parsers.
 
 One automaton holds all anchors: at-signs, plus signs, digits, address schemes and identifier cues.  Each hit hands its
-position to a deterministic parser that looks only around it, so the cost is linear in the text.  Email, ip, card and
+position to a deterministic parser that looks only around it, or remembers the stretch that it walked, so the cost is
+linear in the text.  Email, ip, card and
 phone spans equal those of a left-to-right scan with their patterns; urls, accounts and secrets are added.
 
 Rows are independent: batches stream through and a lost executor only repeats its tasks.
 
-Defined results: a null text has no spans (and stays null when redacted); offsets are code points, end exclusive;
-overlapping spans of different kinds are all listed and redacted as one; repeated rows are treated alike.
+Defined results: a null or empty text has no spans (and stays as it is when redacted); a text of any length is read
+whole; offsets are code points, end exclusive; overlapping spans of different kinds are all listed, ties by the order of
+the kinds, and redacted as one; repeated rows are treated alike; an empty table gives an empty result; an input column
+named like an output is replaced, all others are kept.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_column, replacing, table
+from .common import arrow_column, replacing, table, unused
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "url", "account", "secret")
@@ -36,9 +39,12 @@ _IP = re.compile(r"([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _URL = re.compile(r"[^\s<>\"'`{}|\\^]+")
+_HOST = re.compile(r"[^/?#:]*")
 _IBAN = re.compile(r"[\s:#=.\"'-]{0,6}([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30})")
 _NUMBER = re.compile(r"(?:\x20?(?:number|no|nr))?[\s:#=.\"']{0,6}([0-9](?:[\x20-]?[0-9]){5,16})(?![0-9])", re.IGNORECASE)
-_SECRET = re.compile(r"[\"']?(?:\s{0,3}[:=]\s{0,3}|\x20)[\"']?([A-Za-z0-9_\-./+=]{12,})")
+_SECRET = re.compile(r"[\"']?(?:\s{0,3}[:=]\s{0,3}|\x20)[\"']?([A-Za-z0-9_\-./+=]{12})")
+_VALUE = re.compile(r"[A-Za-z0-9_\-./+=]+")
+_DIGIT = re.compile("[0-9]")
 
 
 def _luhn(digits: str) -> bool:
@@ -74,6 +80,36 @@ def _account(text: str, at: int) -> tuple[int, int] | None:
     return None
 
 
+class _Runs:
+    """The stretch of characters of one class that a position lies in, and where it ends without trailing marks.
+
+    Each stretch is walked once, however many cues ask for it from left to right.
+    """
+
+    def __init__(self, text: str, pattern: re.Pattern, trailing: str):
+        self.text, self.pattern, self.trailing = text, pattern, trailing
+        self.begin = self.end = self.stop = self.digit = -1
+
+    def at(self, start: int) -> int | None:
+        """Where the stretch ends without trailing marks; None if none starts here."""
+        if not self.begin <= start < self.end:
+            found = self.pattern.match(self.text, start)
+            if not found:
+                return None
+            self.begin, self.end = found.span()
+            self.stop = self.end
+            while self.stop > start and self.text[self.stop - 1] in self.trailing:
+                self.stop -= 1
+        return max(self.stop, start)
+
+    def has_digit(self, start: int, stop: int) -> bool:
+        """Whether [start, stop) of the stretch last asked for has a digit."""
+        if self.digit < start:
+            found = _DIGIT.search(self.text, start, self.end)
+            self.digit = found.start() if found else self.end
+        return self.digit < stop
+
+
 _AUTOMATON = None
 
 
@@ -101,6 +137,7 @@ def find_spans(text: str) -> list[tuple[int, str, int]]:
     until = dict.fromkeys(KINDS, 0)  # where the next match of a kind may start
     ip_end = card_end = 0
     digit = -2
+    urls, values = _Runs(text, _URL, ".,;:!?)]"), _Runs(text, _VALUE, ".")
     for end, (kind, size) in _anchors().iter(text):
         if kind == "0":
             if end != digit + 1 and end >= ip_end and (m := _IP.match(text, end)):  # only the first digit of a run can start one
@@ -127,9 +164,8 @@ def find_spans(text: str) -> list[tuple[int, str, int]]:
                     found.append((end, "phone", m.end()))
         elif kind == "url":
             start = end + 1 - size
-            if start >= until["url"] and (m := _URL.match(text, end + 1)):
-                stop = end + 1 + len(m[0].rstrip(".,;:!?)]"))
-                host = re.split(r"[/?#:]", text[end + 1 : stop], maxsplit=1)[0]
+            if start >= until["url"] and (stop := urls.at(end + 1)) is not None:
+                host = _HOST.match(text, end + 1, stop)[0]
                 if "." in host.strip(".") or host == "localhost":
                     until["url"] = stop
                     found.append((start, "url", stop))
@@ -138,10 +174,10 @@ def find_spans(text: str) -> list[tuple[int, str, int]]:
                 until["account"] = span[1]
                 found.append((span[0], "account", span[1]))
         elif end >= until["secret"] and (m := _SECRET.match(text, end + 1)):
-            value = m[1].rstrip(".")
-            if len(value) >= 12 and any(map(str.isdigit, value)):
-                until["secret"] = m.start(1) + len(value)
-                found.append((m.start(1), "secret", until["secret"]))
+            stop = values.at(m.start(1))
+            if stop - m.start(1) >= 12 and values.has_digit(m.start(1), stop):
+                until["secret"] = stop
+                found.append((m.start(1), "secret", stop))
     found.sort(key=lambda x: (x[0], ORDER[x[1]]))
     return found
 
@@ -190,10 +226,11 @@ def redact(df: DataFrame, text: str = "text", n_chars: str | None = "n_chars") -
 
         return pa.array([redacted(v) if v else v for v in values], pa.string())
 
-    changed = arrow_column(df, text, "__redacted", "string", convert)
-    clean = {text: F.col("__redacted")}
+    (made,) = unused(df, "redacted")
+    changed = arrow_column(df, text, made, "string", convert)
+    clean = {text: F.col(made)}
     if n_chars and n_chars in df.columns:
-        clean[n_chars] = F.length("__redacted").cast(df.schema[n_chars].dataType)
+        clean[n_chars] = F.length(made).cast(df.schema[n_chars].dataType)
     return changed.select(*[clean.get(c, F.col(f"`{c}`")).alias(c) for c in df.columns])
 
 

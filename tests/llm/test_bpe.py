@@ -55,3 +55,19 @@ def test_query(spark):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_clashing_columns_stay(spark):
+    path, pattern = bpe.vocabulary()
+    df = spark.createDataFrame([(1, "a b", "x", "y", "z", "old")], "doc_id long, text string, __coded string, coded string, __in string, ids string")
+    row = bpe.encode(df, path, pattern, checked="ok").first()
+    assert row.asDict() == {"doc_id": 1, "text": "a b", "__coded": "x", "coded": "y", "__in": "z", "ids": bpe.codec(path, pattern).encode("a b"), "ok": True}
+
+
+def test_pairs_are_decided_as_merging_decides():
+    codec, ref = reference()
+    rng = random.Random(2)
+    tokens = [i for i in codec.token if codec.halves[i]]
+    for _ in range(3000):
+        a, b = rng.choice(tokens), rng.choice(tokens)
+        assert codec.pairs[a * codec.ids + b] == (ref._core_bpe.encode_single_piece(codec.token[a] + codec.token[b]) == [a, b])

@@ -80,3 +80,23 @@ def test_query_against_patterns(spark):
         want = brute(texts[r.doc_id])
         assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{s}:{e}" for s, k, e in want).encode()).hexdigest()
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(x[1] == k for x in want) for k in pii.BASE]
+
+
+def test_cues_without_an_end_take_no_longer_than_their_length():
+    import time
+
+    cues = [*pii.SCHEMES, *pii.ACCOUNT_CUES, *pii.SECRET_CUES, "token=", "secret: ", "http://a", "a@", "+1 ", "1.", "12-", "a.b@c.", "token=1", "password=."]
+    for cue in cues:
+        began = time.process_time()
+        pii.find_spans(cue * (1_000_000 // len(cue)))
+        assert time.process_time() - began < 5, cue
+
+
+def test_clashing_columns_and_long_rows(spark):
+    long = "x " * 300_000 + "ann@x.example.com"
+    rows = [(1, long, len(long), "a", "b", "c"), (2, None, 0, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, __redacted string, __in string, redacted string")
+    out = {r.doc_id: r for r in pii.redact(df).collect()}
+    assert pii.redact(df).columns == df.columns
+    assert out[1].text == "x " * 300_000 + "<EMAIL>" and tuple(out[1])[3:] == ("a", "b", "c") and out[2].text is None
+    assert pii.digests(df.withColumnRenamed("__in", "spans")).where("doc_id = 1").first().spans == f"email:600000:{len(long)}"
