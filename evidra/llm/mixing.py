@@ -4,13 +4,14 @@ A source gets a target repetition rate: its target weight times the size of the
 draws its number of copies by inverting the Poisson distribution of that mean at a number hashed from seed and id, so a
 draw depends on nothing but the row, whatever the partitioning or a retry.  Documents are exploded by their counts and
 put into a global order by another hash.  Means above one step are split into equal Poisson steps, whose sum has the
-same distribution, so there is no largest rate.
+same distribution.  A rate above ``MOST_RATE`` copies of each document is an error that names the source.
 
 Everything is DataFrame expressions.  The rates (a row per source) are computed first and join back on the source: by
 broadcast if they are few, so that no text moves; else by a shuffle in which adaptive execution splits a hot source.  The order is a range exchange on hashes of id and copy, even
 where one source, or one id, holds most rows.
 
-Defined results: a null source is a source of its own; a null text has size 0; a source whose texts are all empty, or that
+Defined results: an empty table gives an empty mix; a text of any length counts with all its characters; equal shuffle
+keys, which only rows of one id have, go by ``copy``; a null source is a source of its own; a null text has size 0; a source whose texts are all empty, or that
 the weights leave out, gets rate 0; null ids draw alike, and so do rows that repeat an id; input columns named like an
 output are replaced.
 """
@@ -20,11 +21,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import replacing, sized, table
+from .common import guarded, replacing, sized, table
 
 SEED = 17
 #: Largest mean inverted in one step, and the largest count that a step can give (beyond it lies less than 2**-52).
 STEP_MEAN, STEP_COUNTS = 4, 40
+#: Largest rate; the steps and copies of one row then fit in an array.
+MOST_RATE = 1_000_000
 OUTPUTS = ("copy", "shuffle_key")
 
 
@@ -60,7 +63,9 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None = None, size:
     totals = weighted.agg(F.sum("chars").cast("double").alias("chars"), F.sum(F.when(F.col("chars") > 0, F.col("w"))).alias("w"))
     total = F.lit(float(size)) if size is not None else totals.select("chars").scalar()
     mean = F.when((F.col("chars") > 0) & (F.col("w") > 0), F.col("w") / totals.select("w").scalar() * total / F.col("chars")).otherwise(F.lit(0.0))
-    stepped = weighted.select("__source", mean.alias("__mean")).withColumn("__steps", F.greatest(F.ceil(F.col("__mean") / STEP_MEAN), F.lit(1)).cast("int"))
+    told = F.concat(F.lit("the rate of source "), F.coalesce("__source", F.lit("null")), F.lit(" is "), F.col("__rate").cast("string"), F.lit(f", above {MOST_RATE} copies of each document"))
+    within = F.when(F.col("__rate") > MOST_RATE, F.raise_error(told).cast("double")).otherwise(F.col("__rate"))
+    stepped = weighted.select("__source", mean.alias("__rate")).select("__source", within.alias("__mean")).withColumn("__steps", F.greatest(F.ceil(F.col("__mean") / STEP_MEAN), F.lit(1)).cast("int"))
     return stepped.withColumn("__upto", distribution(F.col("__mean") / F.col("__steps")))
 
 
@@ -75,6 +80,7 @@ def copies(key: Column, seed: int = SEED) -> Column:
     return F.aggregate(F.transform(F.sequence(F.lit(1), F.col("__steps")), draw), F.lit(0), lambda a, b: a + b)
 
 
+@guarded
 def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, size: float | None = None, seed: int = SEED, key: str = "doc_id", text: str = "text", source: str = "source", ordered: bool = True) -> DataFrame:
     """``docs`` with each row as often as drawn, its ``copy`` number from 1, and the ``shuffle_key`` that orders the mix."""
     base = replacing(docs, *OUTPUTS)

@@ -36,3 +36,18 @@ def test_nulls_empties_repeats(spark):
     assert {r.source for r in out.collect()} <= {None, "d"}
     assert mixing.mixed(df.limit(0)).count() == 0
     assert mixing.mixed(df, {"zzz": 1.0}).count() == 0
+
+
+def test_a_rate_beyond_the_largest_is_an_error_and_the_largest_is_met(spark):
+    df = spark.createDataFrame([(1, "abc", "tiny", "c"), (2, "x" * 3000, "big", "c")], SCHEMA)
+    with pytest.raises(Exception, match="the rate of source tiny is .* copies of each document"):
+        mixing.mixed(df, size=1e12).count()
+    n = mixing.mixed(df, {"tiny": 1.0}, size=2_700_000).count()  # 900,000 copies
+    assert n == pytest.approx(900_000, rel=0.01)
+
+
+def test_clashing_columns_stay(spark):
+    df = spark.createDataFrame([(i, "text", "s", "kept") for i in range(50)], "doc_id long, text string, source string, __n string").withColumn("__source", mixing.F.lit("own"))
+    out = mixing.mixed(df)
+    assert out.columns == ["doc_id", "text", "source", "__n", "__source", "copy", "shuffle_key"]
+    assert {(r["__n"], r["__source"]) for r in out.collect()} == {("kept", "own")}
