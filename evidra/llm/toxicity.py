@@ -1,17 +1,21 @@
 """Toxicity by weak supervision.
 
 Voters are lexicon terms (words, and stems: the first letters of inflected words) and text patterns.  A generative label
-model, fitted by expectation maximisation to labelled and unlabelled texts, estimates how often each voter is right when
-it votes, and how voters correlate within a class; a voter that echoes others counts for less, one that abstains says
-nothing.  A
-linear classifier is then trained on the posterior labels and scores whole texts.
+model, fitted by expectation maximisation to labelled and unlabelled texts, estimates together how often each voter is
+right when it votes, and how voters correlate within a class; a voter that echoes others counts for less, one that abstains
+says nothing.  A linear classifier is then trained on the posterior labels and scores whole texts.
 
 Labels serve to find the lexicon, set the class balance and anchor the label model, and come only from rows that are not
-held out; at most ``SAMPLE`` labelled and as many unlabelled rows, chosen by a hash of the id, are used to fit.  Everything that the fit
-gathers is bounded by ``SAMPLE``, ``CANDIDATES`` and ``VOTERS``; scoring streams over all documents.
-
-Defined results: a null or empty text scores as one in which no voter votes; without labelled rows of both classes all
-scores are 0; repeated rows score alike; labels of unknown documents and null labels are ignored.
+held out.  Terms are counted over all labelled rows, and the label model is fitted to all rows that are not held out:
+every document's votes are taken once and stored, equal ones are counted together, and each round of the model passes
+over these counts and brings back one sum per voter.  Sums are integers, so no order of rows changes a score.  Only the
+choice of voters among the candidates and the linear classifier use a sample, of at most ``SAMPLE`` labelled rows.
+
+Defined results: a null or empty text scores as one in which no voter votes; a text of any length is read whole; without
+labelled rows of both classes all scores are 0; where no term marks toxic texts, the patterns alone vote; terms and sampled
+rows that tie go by their text and hash; repeated rows score alike; labels of unknown documents and null labels are
+ignored, and of several labels of one document the highest counts; an empty table gives an empty result; further input
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,13 +24,13 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held_out, replacing, table
+from .common import held_out, sized, stored, table
 
-#: Labelled, and unlabelled, training rows used to fit.
+#: Labelled training rows on which voters are chosen and the classifier is fitted.
 SAMPLE = 10_000
 #: Terms looked at, and terms that become voters.
 CANDIDATES, VOTERS = 600, 160
@@ -34,7 +38,14 @@ STEMS = (4, 5, 6, 7)
 THRESHOLD = 0.3
 #: Distinct words a worker remembers.
 MEMO = 500_000
-ROUNDS = 60
+#: Rounds of the label model at most; it rests when no accuracy moves by more than ``REST``.
+ROUNDS, REST = 30, 1e-4
+#: Correlation within a class up to which voters are no echo of each other.
+ECHO = 0.5
+#: What a posterior is counted in, and the certainty of a label.
+UNITS, SURE = 1 << 16, 0.98
+#: Rows turned into a matrix at once.
+ROWS = 2048
 
 #: Patterns that vote besides the lexicon: calls of names at the reader, shouting, runs of marks, masked words.
 PATTERNS = (
@@ -51,35 +62,31 @@ def terms(word: str) -> list[str]:
     return [word, *[f"{word[:k]}*" for k in STEMS if len(word) >= k]]
 
 
-def sample_rows(docs: DataFrame, labels: DataFrame, key: str, text: str) -> DataFrame:
-    """(text, toxic) of the training rows that fit uses: labelled ones, and ones without a label (toxic is null)."""
-    known = labels.where(F.col("toxic").isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.max("toxic").alias("toxic"))
-    own = docs.select(key).where(F.col(key).isNotNull() & ~held_out(key)).distinct().join(known, key, "left")
-    order = (F.xxhash64(key), F.col(key))
-    ids = own.where("toxic is not null").orderBy(*order).limit(SAMPLE).unionAll(own.where("toxic is null").orderBy(*order).limit(SAMPLE))
-    return docs.select(key, text).join(ids, key).select(F.col(text).alias("text"), "toxic")
-
+def candidates(labelled: DataFrame) -> tuple[list[str], int, int]:
+    """Terms that mark toxic texts most, by log-likelihood ratio; with the numbers of toxic and other texts.
 
-def candidates(sample: DataFrame) -> tuple[list[str], int, int]:
-    """Terms that mark toxic texts most, by log-likelihood ratio; with the numbers of toxic and other texts."""
+    ``labelled`` has ``text`` and ``toxic``.  Only terms in enough toxic texts are counted in the others.
+    """
+    n = {r.toxic: r["count"] for r in labelled.groupBy("toxic").count().collect()}
+    bad, good = n.get(1, 0), n.get(0, 0)
+    if not bad or not good:
+        return [], bad, good
     words = F.array_remove(F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+")), "")
 
     def stems(k: int):
         return F.transform(F.filter(F.col("w"), lambda x: F.length(x) >= k), lambda x: F.concat(F.substring(x, 1, k), F.lit("*")))
 
-    each = sample.where("toxic is not null").select("toxic", words.alias("w")).select("toxic", F.explode(F.array_distinct(F.concat("w", *map(stems, STEMS)))).alias("term"))
-    counted = each.groupBy("term").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
-    n = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
-    bad, good = n.get(1, 0), n.get(0, 0)
-    if not bad or not good:
-        return [], bad, good
+    def counted(toxic: int, name: str) -> DataFrame:
+        each = labelled.where(F.col("toxic") == toxic).select(words.alias("w")).select(F.explode(F.array_distinct(F.concat("w", *map(stems, STEMS)))).alias("term"))
+        return each.groupBy("term").agg(F.count("*").alias(name))
 
     def part(x, total):
         return F.when(x > 0, x * F.log(x / (F.col("a") + F.col("b")) / (total / (bad + good)))).otherwise(0.0)
 
-    strong = counted.where((F.col("a") >= max(3, bad // 400)) & (F.col("a") >= 4 * F.col("b")))
+    often = sized(counted(1, "a").where(F.col("a") >= max(3, bad // 400)))
+    both = often.join(counted(0, "b"), "term", "left").select("term", "a", F.coalesce("b", F.lit(0)).alias("b"))
     gain = part(F.col("a"), bad) + part(F.col("b"), good)
-    return [r.term for r in strong.orderBy(gain.desc(), "term").limit(CANDIDATES).collect()], bad, good
+    return [r.term for r in both.where(F.col("a") >= 4 * F.col("b")).orderBy(gain.desc(), "term").limit(CANDIDATES).collect()], bad, good
 
 
 class Voters:
@@ -142,17 +149,20 @@ def _chosen(votes, toxic) -> list[int]:
 
 @dataclass
 class LabelModel:
-    """Log-odds that a voter is right when it votes, its weight after correlations, and the share of toxic texts."""
+    """How often each voter is right when it votes, its weight after correlations, and the share of toxic texts."""
 
     accuracy: object
     weight: object
     prior: float
 
-    def posterior(self, votes):
+    def posterior(self, votes, toxic=None):
+        """Of signed ``votes``; a label (``toxic``: 1 or 0) speaks as one more voter, of accuracy ``SURE``."""
         import numpy as np
 
         a = np.clip(self.accuracy, 0.02, 0.995)
         z = np.log(self.prior / (1 - self.prior)) + votes @ (self.weight * np.log(a / (1 - a)))
+        if toxic is not None:
+            z = z + (2 * toxic - 1) * np.log(SURE / (1 - SURE))
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
@@ -164,30 +174,116 @@ def signed(votes):
     return np.hstack([votes, -1.0 * ~lexicon.any(axis=1, keepdims=True)])
 
 
-def fit_label_model(votes, known, prior: float) -> LabelModel:
-    """Accuracies (no voter is worse than a coin) and correlations from signed votes; not voting says nothing.
+@dataclass
+class Moments:
+    """What the label model gathers of signed votes, per class of label (clean, toxic, none): the rows, the votes of each
+    voter, and how often two voters vote together."""
+
+    rows: object  # 3
+    votes: object  # 3 x voters
+    together: object  # 3 x voters x voters
+
+    @classmethod
+    def of(cls, cast, toxic, count) -> Moments:
+        """``cast``: rows of signed votes, each ``count`` times; ``toxic``: 0, 1, or -1 for none."""
+        import numpy as np
+
+        cast = np.abs(cast)
+        groups = [np.where(toxic == g, count, 0).astype(np.float64) for g in (0, 1, -1)]
+        return cls(np.array([g.sum() for g in groups]), np.stack([g @ cast for g in groups]), np.stack([(cast * g[:, None]).T @ cast for g in groups]))
 
-    ``known``: 1 or 0 where a label anchors the estimate, -1 where the model has only the votes.
+
+def fit_label_model(moments: Moments, prior: float, expected) -> LabelModel:
+    """Accuracies (no voter is worse than a coin) and correlations, estimated in turn until both rest.
+
+    ``expected(model)``: over the rows without a label, the sum of the posteriors, and of the posteriors of each voter's
+    rows.  Labels anchor the estimate with certainty ``SURE``, and give the first one alone, so that sparse voters start on
+    the right side.
     """
     import numpy as np
 
-    n, m = votes.shape
-    cast = np.abs(votes)
-    model = LabelModel(np.append(np.full(m - 1 - len(PATTERNS), 0.9), [*[0.5] * len(PATTERNS), 0.95]), np.ones(m), prior)
+    m = len(moments.votes[0])
+    sign = np.append(np.ones(m - 1), -1)
+    clean, toxic, unknown = moments.votes
+    anchored = SURE * toxic + (1 - SURE) * clean
+    anchored_rows = SURE * moments.rows[1] + (1 - SURE) * moments.rows[0]
+    model = None
     for step in range(ROUNDS):
-        p = np.where(known < 0, model.posterior(votes), np.where(known > 0, 0.98, 0.02))
-        heard = (known >= 0) | (step > 0)  # labels give the first estimate, so that sparse voters start on the right side
-        right = np.where(votes > 0, p[:, None], np.where(votes < 0, 1 - p[:, None], 0.0))
-        accuracy = (right[heard].sum(axis=0) + 0.5) / (cast[heard].sum(axis=0) + 1)
-        model = LabelModel(np.maximum(accuracy, 0.5), np.ones(m), prior)
-    share = np.stack([1 - p, p])  # correlations within the classes: a voter that echoes others weighs less
-    means = (share @ cast) / np.maximum(share.sum(axis=1, keepdims=True), 1e-9)
-    centred = cast - share.T @ means
-    spread = centred.T @ centred / n
-    scale = np.sqrt(np.maximum(np.diag(spread), 1e-9))
-    echo = np.clip(spread / np.outer(scale, scale) - 0.2, 0, None)
-    np.fill_diagonal(echo, 0)
-    return LabelModel(model.accuracy, 1 / (1 + echo.sum(axis=1)), prior)
+        if step == 0:
+            cast, bad, bad_rows, known = clean + toxic, anchored, anchored_rows, 2
+        else:
+            more_rows, more = expected(model)
+            cast, bad, bad_rows, known = clean + toxic + unknown, anchored + more, anchored_rows + more_rows, 3
+        accuracy = np.maximum((np.where(sign > 0, bad, cast - bad) + 0.5) / (cast + 1), 0.5)
+        rows = max(moments.rows[:known].sum(), 1.0)
+        share = np.array([rows - bad_rows, bad_rows]) / rows  # of the classes, and how often a voter votes in each
+        means = np.stack([cast - bad, bad]) / np.maximum(np.array([[rows - bad_rows], [bad_rows]]), 1e-9)
+        spread = moments.together[:known].sum(axis=0) / rows - (means.T * share) @ means
+        scale = np.sqrt(np.maximum(np.diag(spread), 1e-9))
+        echo = np.clip(spread / np.outer(scale, scale) - ECHO, 0, None) / (1 - ECHO)
+        np.fill_diagonal(echo, 0)
+        new = LabelModel(accuracy, 1 / (1 + echo.sum(axis=1)), prior)
+        if model is not None and max(np.abs(new.accuracy - model.accuracy).max(), np.abs(new.weight - model.weight).max()) < REST:
+            return new
+        model = new
+    return model
+
+
+def matrix(votes: list, width: int):
+    import numpy as np
+
+    out = np.zeros((len(votes), width))
+    for i, found in enumerate(votes):
+        out[i, found] = 1
+    return out
+
+
+def summed(patterns: DataFrame, width: int, used: list[int], cells) -> dict[int, int]:
+    """Integers by cell, added up over all ``patterns`` (votes, toxic, n); ``cells(cast, toxic, n)`` gives (cell, value) arrays."""
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                toxic = np.array([-1 if x is None else x for x in part.column(1).to_pylist()])
+                where, value = cells(signed(matrix(part.column(0).to_pylist(), width)[:, used]), toxic, np.array(part.column(2), np.float64))
+                yield pa.RecordBatch.from_arrays([pa.array(where.astype(np.int32)), pa.array(np.rint(value).astype(np.int64))], names=["cell", "value"])
+
+    return {r.cell: r.value for r in patterns.mapInArrow(run, "cell int, value long").groupBy("cell").agg(F.sum("value").alias("value")).collect()}
+
+
+def moments_of(patterns: DataFrame, width: int, used: list[int]) -> Moments:
+    import numpy as np
+
+    m = len(used) + 1
+
+    def cells(cast, toxic, n):
+        found = Moments.of(cast, toxic, n)
+        flat = np.concatenate([found.rows, found.votes.ravel(), found.together.ravel()])
+        return np.flatnonzero(flat), flat[flat != 0]
+
+    flat = np.zeros(3 + 3 * m + 3 * m * m)
+    for cell, value in summed(patterns, width, used, cells).items():
+        flat[cell] = value
+    return Moments(flat[:3], flat[3 : 3 + 3 * m].reshape(3, m), flat[3 + 3 * m :].reshape(3, m, m))
+
+
+def expectation(patterns: DataFrame, width: int, used: list[int]):
+    """``expected`` of ``fit_label_model`` over the patterns without a label; posteriors count in ``UNITS``."""
+    import numpy as np
+
+    def expected(model: LabelModel):
+        def cells(cast, toxic, n):
+            weight = np.rint(model.posterior(cast) * UNITS) * n
+            return np.arange(cast.shape[1] + 1), np.concatenate([[weight.sum()], weight @ np.abs(cast)])
+
+        found = summed(patterns, width, used, cells)
+        return found.get(0, 0) / UNITS, np.array([found.get(i + 1, 0) / UNITS for i in range(len(used) + 1)])
+
+    return expected
 
 
 def fit_linear(x, p, ridge: float = 1e-5, steps: int = 400):
@@ -211,68 +307,69 @@ def fit_linear(x, p, ridge: float = 1e-5, steps: int = 400):
 @dataclass
 class Model:
     voters: Voters
-    weights: object
+    weights: list[float]
     bias: float | None
 
-    def score(self, texts: list[str | None]) -> list[float]:
-        import math
-
+    def score(self, votes: Column) -> Column:
+        """The score of a column of votes."""
         if self.bias is None:
-            return [0.0] * len(texts)
-        weights = self.weights
-        return [1 / (1 + math.exp(-max(-30.0, min(30.0, self.bias + sum(weights[i] for i in self.voters.votes(t)))))) for t in texts]
+            return F.lit(0.0)
+        each = F.array(*map(F.lit, self.weights))
+        z = F.aggregate(votes, F.lit(self.bias), lambda total, i: total + F.get(each, i))
+        return 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))
 
 
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
-    import numpy as np
-
-    sample = sample_rows(docs, labels, key, text).persist()
-    try:
-        lexicon, bad, good = candidates(sample)
-        if not lexicon:
-            return Model(Voters([]), [], None)
-        voters = Voters(lexicon)
-
-        def vote(batches: Iterator) -> Iterator:
-            import pyarrow as pa
-
-            for batch in batches:
-                found = [voters.votes(v) for v in batch.column(0).to_pylist()]
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column(1).cast(pa.int32())], names=["votes", "toxic"])
-
-        rows = sample.mapInArrow(vote, "votes array<int>, toxic int").collect()
-    finally:
-        sample.unpersist()
-    rows = sorted((-1 if r.toxic is None else r.toxic, r.votes) for r in rows)
-    votes = np.zeros((len(rows), len(voters)), np.float64)
-    for i, (_, found) in enumerate(rows):
-        votes[i, found] = 1
-    toxic = np.array([t for t, _ in rows])
-    used = _chosen(votes, toxic)
-    cast = signed(votes[:, used])
-    weights, bias = fit_linear(votes, fit_label_model(cast, toxic, bad / (bad + good)).posterior(cast))
-    return Model(voters, weights.tolist(), bias)
-
-
-def scored(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, held_out, score, predicted for each row of ``docs``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def voted(docs: DataFrame, voters: Voters, key: str, text: str) -> DataFrame:
+    """(key, held_out, votes) of each row, in this order of columns."""
 
-    def run(batches: Iterator) -> Iterator:
+    def vote(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            made = shared.value.score(batch.column(2).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.float64())], names=[key, "held_out", "score"])
+            found = [voters.votes(v) for v in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))], names=[key, "held_out", "votes"])
+
+    schema = T.StructType([docs.schema[key], T.StructField("held_out", T.BooleanType()), T.StructField("votes", T.ArrayType(T.IntegerType()))])
+    return docs.select(F.col(key).alias("key"), held_out(key).alias("held_out"), F.col(text).alias("text")).mapInArrow(vote, schema)
+
+
+def fitted(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Model, DataFrame | None]:
+    """A model, and the stored votes of all ``docs`` that it was fitted to (none without labels of both classes)."""
+    import numpy as np
+
+    known = labels.where(F.col("toxic").isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg((F.max("toxic") > 0).cast("int").alias("toxic"))
+    train = known.where(~held_out("key"))
+    lexicon, bad, good = candidates(stored(docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(train, "key").select("text", "toxic"), "labelled"))
+    if not bad or not good:
+        return Model(Voters([]), [], None), None
+    voters = Voters(lexicon)
+    width = len(voters)
+    votes = stored(voted(docs, voters, key, text), "votes")
+    narrow = votes.where("not held_out").select(F.col(key).alias("key"), "votes").join(train, "key", "left")
+    patterns = stored(narrow.groupBy("votes", "toxic").agg(F.count("*").alias("n")), "patterns")
+    sample = narrow.where("toxic is not null").orderBy(F.xxhash64("key"), "key", F.xxhash64("votes")).limit(SAMPLE).collect()
+    toxic = np.array([r.toxic for r in sample])
+    x = matrix([r.votes for r in sample], width)
+    used = _chosen(x, toxic)
+    model = fit_label_model(moments_of(patterns, width, used), bad / (bad + good), expectation(patterns.where("toxic is null"), width, used))
+    weights, bias = fit_linear(x, model.posterior(signed(x[:, used]), toxic))
+    return Model(voters, weights.tolist(), bias), votes
+
+
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
+    return fitted(docs, labels, key, text)[0]
+
 
-    schema = T.StructType([docs.schema[key], T.StructField("held_out", T.BooleanType()), T.StructField("score", T.DoubleType())])
-    rows = replacing(docs.select(key, text), "held_out").select(key, held_out(key).alias("held_out"), text)
-    return rows.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+def scored(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", votes: DataFrame | None = None) -> DataFrame:
+    """key, held_out, score, predicted for each row of ``docs``; ``votes``: those taken of ``docs`` already."""
+    votes = voted(docs, model.voters, key, text) if votes is None else votes
+    return votes.select(votes.columns[0], "held_out", model.score(F.col("votes")).alias("score")).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return scored(docs, fit(docs, table(spark, sf_dir, "labels")))
+    model, votes = fitted(docs, table(spark, sf_dir, "labels"))
+    return scored(docs, model, votes=votes)
 
 
 QUERIES = {"op3_toxicity": op3_toxicity}
