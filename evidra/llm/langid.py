@@ -5,11 +5,14 @@ frequencies come from all training rows; the centroids, several per language by
 sample of ``SAMPLE`` training rows per language.  A text takes the language of the centroid of highest cosine, and
 counts as rejected where it lies farther from it than nearly all the training texts of that centroid did.
 
-Features are made in Arrow batches on the executors; the model (a vector per centroid) goes to every task as a
-broadcast, bounded by languages times ``CLUSTERS`` times ``DIMS``.  Held-out rows never reach training.
-
-Defined results: ``und`` with score 0 for a null text, one without a letter, or without training rows; ties go to the
-language that sorts first; null languages are not learned; repeated rows are predicted alike.
+Features are made in Arrow batches on the executors, and each language's centroids in one task from its sample.  Rows of a
+sample are thinned by a hash before they are ranked, so a frequent language brings few to that task.  The model (a vector
+per centroid) goes to the driver and to every task as a broadcast, bounded by languages times ``CLUSTERS`` times ``DIMS``.
+Held-out rows never reach training.
+
+Defined results: ``und`` with score 0 for a null or empty text, one without a letter, or without training rows (as of an
+empty table); a text of any length counts whole; ties go to the language that sorts first; null languages are not learned;
+repeated rows are predicted alike, and each may be in the sample; further input columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,8 +30,8 @@ from .common import held_out, sized, table
 DIMS = 4096
 #: Training rows per language that the centroids are fitted on.
 SAMPLE = 500
-#: Parts of a language that are ranked on their own before the sample is cut.
-PARTS = 256
+#: How many times the sample a language keeps before it is ranked.
+THINNED = 2
 CLUSTERS = 4
 ROUNDS = 12
 #: Share of a centroid's training texts that lie beyond its rejection distance.
@@ -102,13 +105,14 @@ def frequencies(texts: DataFrame, text: str):
     return by_dim.get(-1, 0), np.array([by_dim.get(i, 0) for i in range(DIMS)], np.float64)
 
 
-def _sample(train: DataFrame, key: str, text: str, lang: str) -> list:
-    """(lang, counts) of at most ``SAMPLE`` training rows per language, chosen by a hash of the id."""
-    mixed = F.xxhash64("key")
-    ids = train.select(F.col(key).alias("key"), F.col(lang).alias("lang")).distinct().withColumn("part", F.pmod(F.xxhash64(mixed), F.lit(PARTS)))
-    for keys in (["lang", "part"], ["lang"]):  # first in parts of a language, so that a frequent one is not ranked in one task
-        ids = ids.withColumn("n", F.row_number().over(Window.partitionBy(*keys).orderBy(mixed, "key"))).where(F.col("n") <= SAMPLE).drop("n")
-    picked = train.select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.col(text).alias("text")).join(sized(ids.select("key", "lang")), ["key", "lang"], "left_semi")
+def _sample(train: DataFrame, key: str, text: str, lang: str) -> DataFrame:
+    """(lang, counts) of at most ``SAMPLE`` training rows per language, chosen by a hash of id and text."""
+    rows = train.select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.col(text).alias("text"))
+    sizes = sized(rows.groupBy("lang").agg(F.count("*").alias("rows")))
+    drawn = F.xxhash64("key", F.xxhash64("text"))
+    thin = rows.join(sizes, "lang").withColumn("drawn", drawn).where(F.pmod("drawn", F.lit(1 << 30)) * F.col("rows") < F.lit(THINNED * SAMPLE * (1 << 30)))
+    order = Window.partitionBy("lang").orderBy("drawn", "key", "text")
+    picked = thin.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE)
 
     def convert(batches: Iterator) -> Iterator:
         import numpy as np
@@ -118,7 +122,7 @@ def _sample(train: DataFrame, key: str, text: str, lang: str) -> list:
             made = [grams(v) if v else None for v in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([None if c is None else np.minimum(c, 65535).astype("<u2").tobytes() for c in made], pa.binary())], names=["lang", "counts"])
 
-    return picked.select("lang", "text").mapInArrow(convert, "lang string, counts binary").where("counts is not null").collect()
+    return picked.select("lang", "text").mapInArrow(convert, "lang string, counts binary").where("counts is not null")
 
 
 @dataclass
@@ -166,18 +170,22 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     train = docs.where(~held_out(key) & F.col(lang).isNotNull() & F.col(text).isNotNull())
     rows, df = frequencies(train, text)
     idf = (np.log((1 + rows) / (1 + df)) + 0.05).astype(np.float32)
-    by_lang: dict[str, list] = {}
-    for r in _sample(train, key, text, lang):
-        by_lang.setdefault(r.lang, []).append(bytes(r.counts))
-    langs = sorted(by_lang)
-    parts, of, least = [], [], []
-    for i, name in enumerate(langs):
-        x = _vectors(np.stack([np.frombuffer(b, "<u2") for b in sorted(by_lang[name])]).astype(np.float32), idf)
+
+    def clustered(table):
+        import numpy as np
+        import pyarrow as pa
+
+        rows = sorted(table["counts"].to_pylist())
+        x = _vectors(np.stack([np.frombuffer(b, "<u2") for b in rows]).astype(np.float32), idf)
         c, mine, near = _clusters(x)
-        parts.append(c)
-        of += [i] * len(c)
-        least += [float(np.quantile(near[mine == k], REJECTED)) if (mine == k).any() else 0.0 for k in range(len(c))]
-    return Model(langs, idf, np.concatenate(parts) if parts else np.zeros((0, DIMS), np.float32), of, least)
+        least = [float(np.quantile(near[mine == k], REJECTED)) if (mine == k).any() else 0.0 for k in range(len(c))]
+        return pa.table({"lang": pa.array([table["lang"][0].as_py()] * len(c), pa.string()), "k": pa.array(range(len(c)), pa.int32()), "centroid": pa.array([row.astype("<f4").tobytes() for row in c], pa.binary()), "least": pa.array(least, pa.float64())})
+
+    found = _sample(train, key, text, lang).groupBy("lang").applyInArrow(clustered, "lang string, k int, centroid binary, least double").collect()
+    found = sorted(found, key=lambda r: (r.lang, r.k))
+    langs = sorted({r.lang for r in found})
+    centroids = np.stack([np.frombuffer(bytes(r.centroid), "<f4") for r in found]) if found else np.zeros((0, DIMS), np.float32)
+    return Model(langs, idf, centroids, [langs.index(r.lang) for r in found], [r.least for r in found])
 
 
 def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -193,7 +201,7 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=[key, "held_out", "lang_pred", "score", "rejected"])
 
     schema = T.StructType([docs.schema[key], T.StructField("held_out", T.BooleanType()), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
-    return docs.select(key, held_out(key).alias("held_out"), text).mapInArrow(run, schema)
+    return docs.select(F.col(key).alias("key"), held_out(key).alias("held_out"), F.col(text).alias("text")).mapInArrow(run, schema)
 
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
