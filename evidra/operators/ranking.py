@@ -18,3 +18,16 @@ def hashed_rank(df: DataFrame, hashed: Column, keys: list[str], name: str) -> Da
     before = counts.select("__p", (F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).alias("__before"))
     rank = F.row_number().over(Window.partitionBy("__p").orderBy("__h", *keys))
     return marked.join(F.broadcast(before), "__p").withColumn(name, F.col("__before") + rank).drop("__h", "__p", "__before")  # at most 4096 prefixes
+
+
+def ordered_rank(df: DataFrame, key: str, order: list[str], name: str, width: int = 1024) -> DataFrame:
+    """``name``: the rank of each row, from 1, by the whole number ``key``, then ``order``; null keys last.
+
+    Rows are ranked within ranges of ``width`` keys, and the counts of the ranges before are added; only these counts pass
+    through one task.  One key's rows are ranked in one task.
+    """
+    marked = df.withColumn("__p", F.coalesce(F.floor(F.col(key) / width), F.lit((1 << 63) - 1)))
+    counts = marked.groupBy("__p").agg(F.count("*").alias("__n"))
+    before = counts.select("__p", (F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).alias("__before"))
+    rank = F.row_number().over(Window.partitionBy("__p").orderBy(F.col(key).asc_nulls_last(), *order))
+    return marked.join(before, "__p").withColumn(name, F.col("__before") + rank).drop("__p", "__before")

@@ -29,6 +29,28 @@ def jaccard_join(df: DataFrame, key: str, text: str, threshold: float, block: st
     return scored.where(F.col("jaccard") >= threshold)
 
 
+def cross_match(left: DataFrame, right: DataFrame, threshold: float, k: int, relevance: float) -> DataFrame:
+    """(left_id, right_id, jaccard, relevance): for each row of ``left`` (id, text), the first of its ``k`` nearest in ``right``
+    that covers at least ``relevance`` of its tokens.
+
+    Rows meet on the rarest tokens of the left one, as many as the threshold allows; nearness is token Jaccard similarity.
+    """
+    a = left.select(F.col("id").alias("left_id"), X.token_set(F.col("text")).alias("a")).where(F.size("a") > 0)
+    b = right.select(F.col("id").alias("right_id"), X.token_set(F.col("text")).alias("b")).where(F.size("b") > 0)
+    listed = b.select("right_id", F.explode("b").alias("token"))
+    common = listed.groupBy("token").agg(F.count("*").alias("df"))
+    each = a.select("left_id", F.size("a").alias("n"), F.explode("a").alias("token")).join(common, "token", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+    rarest = Window.partitionBy("left_id").orderBy("df", "token")
+    prefix = each.withColumn("k", F.row_number().over(rarest)).where((F.col("k") <= F.col("n") - F.ceil(F.col("n") * threshold) + 1) & (F.col("df") > 0))
+    pairs = prefix.join(listed, "token").select("left_id", "right_id").distinct()
+    both = pairs.join(a, "left_id").join(b, "right_id")
+    scored = both.select("left_id", "right_id", X.jaccard(F.col("a"), F.col("b")).alias("jaccard"), (F.size(F.array_intersect("a", "b")) / F.size("a")).alias("relevance")).where(F.col("jaccard") >= threshold)
+    nearest_first = Window.partitionBy("left_id").orderBy(F.desc("jaccard"), "right_id")
+    top = scored.withColumn("rank", F.row_number().over(nearest_first)).where((F.col("rank") <= k) & (F.col("relevance") >= relevance))
+    best = F.min_by(F.struct("right_id", "jaccard", "relevance"), "rank")
+    return top.groupBy("left_id").agg(best.alias("m")).select("left_id", "m.right_id", "m.jaccard", "m.relevance")
+
+
 #: Rows of a block, which bounds what a cell holds.
 BLOCK = 4096
 
@@ -123,9 +145,12 @@ def link_components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     every round is checkpointed, so the plan does not grow and a lost executor repeats one round."""
     spark = nodes.sparkSession
     if not spark.sparkContext.getCheckpointDir():
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         import tempfile
 
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp())
     both = links.select("u", "v").unionAll(links.select(F.col("v"), F.col("u"))).distinct().checkpoint()
     now = nodes.select("node", F.col("node").alias("label")).checkpoint()
     while True:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,8 +57,20 @@ def log_blocks(spark: SparkSession, path: str, start: str, end: str, most: int =
     return spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.slice(blocks, 1, most)).alias("n", "block"))
 
 
+def write_result(spark: SparkSession, result: dict, path: str) -> None:
+    """One training result as a JSON file in the folder ``path``."""
+    spark.createDataFrame([(json.dumps(result),)], "value string").coalesce(1).write.mode("append").text(path)
+
+
 def snapshot(df: DataFrame, path: str) -> str:
-    """Writes a new version beside the older ones; readers of the versions list see it once it is complete."""
+    """Writes a new version beside the older ones; the list of versions names it once it is complete."""
+    spark = df.sparkSession
     target = f"{path}/version={uuid.uuid4().hex}"
     df.write.parquet(target)
+    spark.range(1).coalesce(1).select(F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at"), F.lit(target).alias("target")).write.mode("append").parquet(f"{path}/_versions")
     return target
+
+
+def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The last complete version."""
+    return spark.read.parquet(spark.read.parquet(f"{path}/_versions").orderBy(F.desc("at")).first()["target"])
