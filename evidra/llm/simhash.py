@@ -10,8 +10,10 @@ its groups, never all pairs.
 The trees stay in the tasks that own the shards: sent to every task, as trees of all fingerprints they would grow with
 the corpus and have no size bound.
 
-Defined results: a null or wordless text has fingerprint zero and links like any other; a null id gets a component but
-never names one (null where no member has an id); repeated rows are members each; ties go to the smallest id.
+Defined results: a null or wordless text has fingerprint zero and links like any other; a text of any length counts whole;
+a null id gets a component but never names one (null where no member has an id); repeated rows are members each; ties go to
+the smallest id; an empty table gives an empty result; columns of any name are kept by ``deduplicated`` and ignored by
+``near_duplicates``.
 """
 
 from __future__ import annotations
@@ -22,7 +24,8 @@ from itertools import accumulate, combinations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_column, stored, table
+from . import near
+from .common import arrow_column, guarded, stored, table
 from .components import components
 
 RADIUS = 2
@@ -143,11 +146,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return rows.join(stored(grouped(rows, key), "groups"), "fp").select(key, hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
-def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of ``docs`` per group of near-duplicates: that of the smallest key; same columns."""
+@guarded
+def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float | None = None) -> DataFrame:
+    """One row of ``docs`` per group of near-duplicates: that of the smallest key; same columns.
+
+    By default texts group within ``RADIUS`` bits of their fingerprints of three words; with a ``similarity``, by that
+    Jaccard similarity of their five-word shingles (see ``near``).
+    """
+    if similarity is not None:
+        return near.deduplicated(docs, key, text, similarity)
     whole = stored(with_fingerprint(docs, text, "__fp").withColumn("__row", F.monotonically_increasing_id()), "simhash")
-    rows = whole.select(F.col(key).alias("key"), F.col("__fp").alias("fp"), "__row")
-    first = rows.join(stored(grouped(rows, "key").select("fp", "root"), "groups"), "fp").groupBy("root").agg(F.min(F.struct(F.col("key").isNull(), "key", "__row")).alias("first"))
+    rows = whole.select(F.col(f"`{key}`").alias("key"), F.col("__fp").alias("fp"), "__row")
+    one = stored(rows.groupBy("fp").agg(F.min(F.struct(F.col("key").isNull(), "key", "__row")).alias("first")), "least")  # before the join, so that a frequent fingerprint is one row
+    first = one.join(stored(grouped(rows, "key").select("fp", "root"), "groups"), "fp").groupBy("root").agg(F.min("first").alias("first"))
     return whole.join(first.select("first.__row"), "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
