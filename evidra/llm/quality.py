@@ -2,16 +2,19 @@
 
 Every text is reduced to a few counts.  Each derived signal is summarised per (language, source) by a mergeable
 quantile sketch: a histogram over log-spaced buckets (the six leading bits of an integer), so sketches merge by adding
-counts, the quantiles are exact to one part in 32, and neither partitioning nor retries change the outcome.  Small
-groups borrow the merged sketch of their language, and that of everything after it.  A document is rejected if a signal
-lies beyond ``median + reach * max(upper quartile - median, slack)`` of its group.
+counts, the quantiles are exact to one part in 32, and neither partitioning nor retries change the outcome.  To the sketch
+of a group, that of its language is added with the weight of ``PRIOR`` documents, and to that of a language the sketch of
+everything in the same way: what few documents say moves a threshold little, what many say decides it, and no size of a
+group is a limit.  A document is rejected if a signal lies beyond ``median + reach * max(upper quartile - median, slack)``
+of its group.
 
 Everything is DataFrame expressions; the only shuffle carries pre-aggregated bucket counts.  The thresholds are computed
 first and join back on (language, source): by broadcast if they are few, so that no text moves; else by a shuffle in
 which adaptive execution splits a hot source.
 
-Defined results: a null text has no words; a null language or source is a group of its own; an empty table gives an
-empty result; repeated rows are judged alike, each on its own; input columns named like an output are replaced.
+Defined results: a null or empty text has no words; a text of any length counts whole; a value at its threshold is kept; a
+null language or source is a group of its own; an empty table gives an empty result; repeated rows are judged alike, each
+on its own; input columns named like an output are replaced, all others kept.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import SPACE_CLASS, let, replacing, sized, stored, table
+from .common import SPACE_CLASS, guarded, let, replacing, sized, stored, table
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 OUTPUTS = (*COUNTS, "base_failed", "kept")
@@ -28,8 +31,8 @@ OUTPUTS = (*COUNTS, "base_failed", "kept")
 #: Signals in units of 1/10000 (word length: 1/100), with the least spread that counts as one.
 SIGNALS = {"symbols": 40, "dup_lines": 500, "repeats": 600, "upper": 400, "long_words": 60}
 REACH = 8
-#: A (language, source) or language with fewer judged documents borrows from the next larger group.
-LEAST_ROWS = 200
+#: Documents that the larger group's sketch counts for in a smaller one's, and the units that a document is counted in.
+PRIOR, UNITS = 200, 1 << 20
 
 
 def _repeat_words(words: Column) -> Column:
@@ -140,11 +143,22 @@ def sketches(scored: DataFrame, lang: str, source: str) -> DataFrame:
     return long.groupBy("lang", "source", F.col("e.signal").alias("signal"), F.col("e.bucket").alias("bucket")).agg(F.count("*").alias("n"))
 
 
+def _shrunk(own: DataFrame, larger: DataFrame, keys: list[str]) -> DataFrame:
+    """The sketch of each group of ``keys`` in ``UNITS``, with the ``larger`` one (of all but the last key) as ``PRIOR`` more documents."""
+    over = keys[:-1]
+    share = F.col("n").cast("double") / F.sum("n").over(Window.partitionBy(*over, "signal")).cast("double")
+    prior = larger.select(*[F.col(k).alias(f"of_{k}") for k in over], F.col("signal").alias("of"), "bucket", F.floor(share * (PRIOR * UNITS)).cast("long").alias("n"))
+    same = F.col("signal") == F.col("of")
+    for k in over:
+        same = same & F.col(k).eqNullSafe(F.col(f"of_{k}"))
+    each = own.select(*keys, "signal").distinct().join(prior, same).select(*keys, "signal", "bucket", "n")
+    return each.unionByName(own.select(*keys, "signal", "bucket", (F.col("n") * UNITS).alias("n"))).groupBy(*keys, "signal", "bucket").agg(F.sum("n").alias("n"))
+
+
 def _fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """The fence of every signal for each group of ``keys``, as a map, with the group's row count."""
-    merged = sketch.groupBy(*keys, "signal", "bucket").agg(F.sum("n").alias("n"))
+    """The fence of every signal for each group of ``keys``, as a map."""
     group = Window.partitionBy(*keys, "signal")
-    ranked = merged.select(
+    ranked = sketch.select(
         *keys, "signal", "bucket",
         F.sum("n").over(group.orderBy("bucket")).alias("upto"),
         F.sum("n").over(group).alias("rows"),
@@ -152,26 +166,24 @@ def _fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
     quartiles = ranked.groupBy(*keys, "signal").agg(
         F.min(F.when(2 * F.col("upto") >= F.col("rows"), F.col("bucket"))).alias("mid"),
         F.min(F.when(4 * F.col("upto") >= 3 * F.col("rows"), F.col("bucket"))).alias("high"),
-        F.max("rows").alias("rows"),
     )
     slack = F.create_map(*[F.lit(x) for pair in SIGNALS.items() for x in pair])
     fence = F.col("mid") + REACH * F.greatest(F.col("high") - F.col("mid"), slack[F.col("signal")])
-    return quartiles.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct("signal", fence.alias("fence")))).alias("fences"),
-        F.max("rows").alias("rows"),
-    )
+    return quartiles.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("signal", fence.alias("fence")))).alias("fences"))
 
 
 def thresholds(sketch: DataFrame) -> DataFrame:
     """One row per (language, source): the fences to use there."""
-    own = _fences(sketch, ["lang", "source"]).withColumnsRenamed({"fences": "own", "rows": "own_rows"})
-    by_lang = _fences(sketch, ["lang"]).select(F.col("lang").alias("l"), F.col("fences").alias("of_lang"), F.col("rows").alias("lang_rows"))
-    overall = _fences(sketch, []).select("fences").scalar()
-    joined = own.join(by_lang, own.lang.eqNullSafe(by_lang.l))
-    chosen = F.when(F.col("own_rows") >= LEAST_ROWS, F.col("own")).when(F.col("lang_rows") >= LEAST_ROWS, F.col("of_lang")).otherwise(overall)
-    return joined.select(F.col("lang").alias("__lang"), F.col("source").alias("__source"), chosen.alias("__fences"))
 
+    def merged(*keys: str) -> DataFrame:
+        return sketch.groupBy(*keys, "signal", "bucket").agg(F.sum("n").alias("n"))
+
+    of_lang = _shrunk(merged("lang"), merged(), ["lang"])
+    fences = _fences(_shrunk(sketch, of_lang, ["lang", "source"]), ["lang", "source"])
+    return fences.select(F.col("lang").alias("__lang"), F.col("source").alias("__source"), F.col("fences").alias("__fences"))
 
+
+@guarded
 def judged(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", drop_text: bool = False) -> DataFrame:
     """``docs`` with the counts, ``base_failed`` and ``kept``; without the text if ``drop_text``."""
     counted = text_counts(replacing(docs, *OUTPUTS), text).withColumn("base_failed", base_failed())
@@ -210,17 +222,26 @@ def _oracle() -> str:
         f"SELECT doc_id, lang, source, base_failed, '{n}' AS signal, {SIGNALS[n]} AS slack, coalesce(CAST(trunc({e}) AS BIGINT), 0) AS v FROM f" for n, e in _SIGNAL_SQL.items()
     )
 
-    def fence(keys: str) -> str:
-        over = f"PARTITION BY {keys}signal, slack"
+    def shrunk(own: str, larger: str, keys: list[str]) -> str:
+        listed = "".join(f"g.{k}, " for k in keys)
+        over = ", ".join([*keys[:-1], "signal"])
+        same = " AND ".join(["g.signal = p.signal", *[f"g.{k} IS NOT DISTINCT FROM p.{k}" for k in keys[:-1]]])
+        prior = f"SELECT *, CAST(floor((CAST(n AS DOUBLE) / CAST(sum(n) OVER (PARTITION BY {over}) AS DOUBLE)) * {PRIOR * UNITS}) AS BIGINT) AS m FROM {larger}"
         return (
-            f"SELECT {keys}signal, max(rows) AS rows, min(b) FILTER (2 * upto >= rows) + {REACH} * greatest(min(b) FILTER (4 * upto >= 3 * rows) - min(b) FILTER (2 * upto >= rows), slack) AS fence "
-            f"FROM (SELECT {keys}signal, slack, b, sum(sum(n)) OVER ({over} ORDER BY b) AS upto, sum(sum(n)) OVER ({over}) AS rows FROM k GROUP BY {keys}signal, slack, b) GROUP BY {keys}signal, slack"
+            f"SELECT {', '.join(keys)}, signal, slack, b, CAST(sum(n) AS BIGINT) AS n FROM (SELECT {', '.join(keys)}, signal, slack, b, n * {UNITS} AS n FROM {own} "
+            f"UNION ALL SELECT {listed}g.signal, g.slack, p.b, p.m FROM (SELECT DISTINCT {', '.join(keys)}, signal, slack FROM {own}) g JOIN ({prior}) p ON {same}) GROUP BY ALL"
         )
 
+    over = "PARTITION BY lang, source, signal, slack"
+    fence = (
+        f"SELECT lang, source, signal, min(b) FILTER (2 * upto >= rows) + {REACH} * greatest(min(b) FILTER (4 * upto >= 3 * rows) - min(b) FILTER (2 * upto >= rows), slack) AS fence "
+        f"FROM (SELECT *, sum(n) OVER ({over} ORDER BY b) AS upto, sum(n) OVER ({over}) AS rows FROM w) GROUP BY lang, source, signal, slack"
+    )
+
     return rf"""
 WITH t AS (SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents),
-w AS (SELECT *, regexp_extract_all(text, '[^ \t-\r]+') AS words, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ \t-\r]')) AS lines FROM t),
-g AS (SELECT *, row_number() OVER () AS rid, [words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] FOR i IN range(1, len(words) - 1)] AS grams FROM w),
+t1 AS (SELECT *, regexp_extract_all(text, '[^ \t-\r]+') AS words, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ \t-\r]')) AS lines FROM t),
+g AS (SELECT *, row_number() OVER () AS rid, [words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] FOR i IN range(1, len(words) - 1)] AS grams FROM t1),
 x AS (SELECT rid, unnest(grams) AS gram, generate_subscripts(grams, 1) AS i FROM g),
 hit AS (SELECT rid, i FROM x QUALIFY count(*) OVER (PARTITION BY rid, gram) > 1),
 rep AS (SELECT rid, count(DISTINCT i + o) AS n_repeat_words FROM hit, (VALUES (0), (1), (2)) v(o) GROUP BY rid),
@@ -230,9 +251,8 @@ f AS (SELECT doc_id, lang, source, len(words) AS n_words, length(array_to_string
   len(words) < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * len(words) AS base_failed FROM g LEFT JOIN rep USING (rid)),
 s AS ({unpivot}),
 k AS (SELECT lang, source, signal, slack, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) AS b, count(*) AS n FROM s WHERE NOT base_failed GROUP BY ALL),
-own AS ({fence("lang, source, ")}), byl AS ({fence("lang, ")}), al AS ({fence("")}),
-lim AS (SELECT own.lang, own.source, own.signal, CASE WHEN own.rows >= {LEAST_ROWS} THEN own.fence WHEN byl.rows >= {LEAST_ROWS} THEN byl.fence ELSE al.fence END AS fence
-  FROM own JOIN byl ON own.lang IS NOT DISTINCT FROM byl.lang AND own.signal = byl.signal JOIN al ON own.signal = al.signal),
+ka AS (SELECT signal, slack, b, sum(n) AS n FROM k GROUP BY ALL), kl AS (SELECT lang, signal, slack, b, sum(n) AS n FROM k GROUP BY ALL),
+lw AS ({shrunk("kl", "ka", ["lang"])}), w AS ({shrunk("k", "lw", ["lang", "source"])}), lim AS ({fence}),
 bad AS (SELECT DISTINCT s.doc_id FROM s JOIN lim ON s.lang IS NOT DISTINCT FROM lim.lang AND s.source IS NOT DISTINCT FROM lim.source AND s.signal = lim.signal WHERE v > fence)
 SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND bad.doc_id IS NULL AS kept
 FROM f LEFT JOIN bad ON f.doc_id = bad.doc_id"""
