@@ -10,7 +10,7 @@ Template: ``<|im_start|>role\\ntext<|im_end|>\\n``; merged turns are set apart b
 ``read_back`` restores every turn exactly.  The loss mask is a list of runs (length, counted or not) that cover the
 formatted text from its start: counted are the texts of the assistant, not what stands between.
 
-Defined results: a null text or role is an empty one; turns go by (turn, role, text), null turns first, and repeated
+Defined results: a null text or role is an empty one, and a text of any length is kept whole; turns go by (turn, role, text), null turns first, and repeated
 rows are turns each; a null conversation id is one conversation; an empty table gives an empty result; further columns
 are ignored.
 """
@@ -38,14 +38,21 @@ def unescaped(text: Column) -> Column:
 def _merged_turns(turns: Column) -> Column:
     """Sorted (turn, role, text) as blocks (role, texts): adjacent turns of one role share a block."""
 
-    def add(acc: Column, t: Column) -> Column:
-        last = F.get(acc, F.size(acc) - 1)
-        grown = F.struct(t["role"].alias("role"), F.concat(last["texts"], F.array(t["text"])).alias("texts"))
-        fresh = F.struct(t["role"].alias("role"), F.array(t["text"]).alias("texts"))
-        same = F.coalesce(last["role"] == t["role"], F.lit(False))
-        return F.when(same, F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(grown))).otherwise(F.concat(acc, F.array(fresh)))
 
-    return F.aggregate(turns, F.expr("cast(array() as array<struct<role:string,texts:array<string>>>)"), add)
+    def merged(all_turns: Column) -> Column:
+        role = lambda i: F.get(all_turns, i)["role"]
+        firsts = F.filter(F.sequence(F.lit(0), F.size(all_turns) - 1), lambda i: (i == 0) | (role(i) != role(i - 1)))
+
+        def blocks(starts: Column) -> Column:
+            def block(start: Column, k: Column) -> Column:
+                end = F.coalesce(F.get(starts, k + 1), F.size(all_turns))
+                return F.struct(role(start).alias("role"), F.transform(F.slice(all_turns, start + 1, end - start), lambda t: t["text"]).alias("texts"))
+
+            return F.transform(starts, block)
+
+        return let(firsts, blocks)
+
+    return let(turns, merged)
 
 
 def _runs(blocks: Column, roles_loss: str) -> Column:
