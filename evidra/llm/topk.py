@@ -1,19 +1,20 @@
 """Exact top-k by integer inner product with no-random-access aggregation.
 
-Every dimension is a list of candidates sorted by their component.  A query reads all lists from its profitable end, the
-same share of each at a time.  What was read of a candidate adds up; what was not lies between the list's tail and its
-current level, which gives a lower and an upper bound for every candidate and, for one never seen, the threshold.  A
-query stops where no candidate outside the k best lower bounds can still reach them; the scores of those that remain are
-then resolved exactly.
+Every dimension is a list of candidates sorted by their component.  A query reads all lists side by side from their
+profitable ends, a stretch of each at a time.  What it has read of a candidate adds up to a lower bound, with the worst end
+of the lists that have not shown it yet; with their current levels, to an upper bound.  Candidates whose upper bound lies
+below the k-th lower one are left, and a query stops where few remain; their scores are then resolved exactly.
 
 Queries and candidates meet in cells of bounded size: rows are dealt to blocks, query rows to chunks, by their position
-in a stored table, so that every (chunk, block) pair is one group of a co-grouped map and nothing is broadcast.  In a
-cell the bounds of all its queries advance together as matrix products.  Each cell keeps k per query; a window with its
-partial group limit merges the cells.
-
-Defined results: vectors that are null or hold a null or non-finite component take no part, short vectors are padded with
-zeros, components whose scores could leave 53 bits are an error; repeated rows are candidates each, and only the query's
-own row is left out; ties go to the smaller id; a null id comes last and is no query.
+in a stored table, so that every (chunk, block) pair is one group of a co-grouped map and nothing is broadcast.  A query
+first searches the block that it lies in; the k-th score found there goes along to all other cells, which give up on what
+cannot reach it, or at once if no candidate of the block can.  Each cell keeps k per query; a window with its partial group
+limit merges the cells.
+
+Defined results: vectors that are null or hold a null or non-finite component take no part, short (and empty) vectors are
+padded with zeros, components whose scores could leave 53 bits are an error; repeated rows are candidates each, and only the
+query's own row is left out; ties go to the smaller id; a null id comes last and is no query; an empty table gives an empty
+result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,63 +32,81 @@ EVERY = 20
 SCALE = 64
 #: Candidates in a block and queries in a chunk, at most about.
 BLOCK, CHUNK = 8192, 4096
-#: Queries whose bounds advance together.
-TOGETHER = 256
 #: Share of each list read after each round.
-DEPTHS = (0.15, 0.4, 0.7, 0.9)
+DEPTHS = (1 / 16, 1 / 4, 1 / 2, 3 / 4, 7 / 8, 1)
+#: Candidates that may remain when a query stops: so many times k, or such a share of all.
+FEW, FEW_SHARE = 4, 1 / 64
+
+
+class Lists:
+    """The sorted lists of the dimensions of some candidates, and where each candidate stands in them."""
+
+    def __init__(self, candidates):
+        import numpy as np
 
+        self.order = np.ascontiguousarray(np.argsort(candidates, axis=0, kind="stable").T)  # a row per dimension
+        self.values = np.take_along_axis(np.ascontiguousarray(candidates.T), self.order, axis=1)
+        place = np.empty(self.order.shape, np.int32)
+        np.put_along_axis(place, self.order, np.arange(len(candidates), dtype=np.int32)[None, :], axis=1)
+        self.place = np.ascontiguousarray(place.T)
+
+
+def qualified(lists: Lists, query, own: int, k: int, bar: float):
+    """Candidates of which the ``k`` best are some, and how many entries were read; none lies below ``bar`` for certain.
+
+    The bounds of a candidate are ``lower`` and, with the gaps between level and worst end of the lists that it has not
+    come up in, the upper one.
+    """
+    import numpy as np
 
-def search(queries, candidates, own, ids, k: int = K):
+    dims, n = lists.values.shape
+    rising, falling = np.flatnonzero(query < 0), np.flatnonzero(query > 0)  # read from the smallest, or the largest component
+    worst, best = (np.where(query < 0, query * lists.values[:, at], query * lists.values[:, -1 - at]) for at in (-1, 0))
+    alive = np.delete(np.arange(n), own) if own >= 0 else np.arange(n)
+    if not len(rising) + len(falling) or best.sum() < bar:
+        return (alive if best.sum() >= bar else alive[:0]), 0
+    lower = np.full(n, worst.sum())
+    done = read = 0
+    for depth in DEPTHS:
+        upto = min(n, max(done + 1, int(np.ceil(depth * n))))
+        for side, stretch in ((rising, slice(done, upto)), (falling, slice(n - upto, n - done))):
+            seen, value = lists.order[side, stretch], lists.values[side, stretch]
+            lower += np.bincount(seen.ravel(), (value * query[side, None] - worst[side, None]).ravel(), n)
+            read += seen.size
+        done = upto
+        level = np.where(query < 0, query * lists.values[:, done - 1], query * lists.values[:, n - done])
+        if len(alive) >= k:
+            bar = max(bar, np.partition(lower[alive], len(alive) - k)[len(alive) - k])
+        alive = alive[lower[alive] + (level - worst).sum() >= bar]  # even with every list unread
+        place = lists.place[alive]
+        unread = np.where(query < 0, place >= done, place < n - done)
+        alive = alive[lower[alive] + unread @ (level - worst) >= bar]
+        if done == n or len(alive) <= max(FEW * k, n * FEW_SHARE):
+            break
+    return alive, read
+
+
+def search(queries, candidates, own, ids, k: int = K, bars=None):
     """(query, candidate, score) positions of the ``k`` best candidates of each query; ``own`` is not a candidate.
 
     ``queries``, ``candidates``: rows of integers as doubles; ``own``: the query's own row among the candidates or -1;
-    ``ids`` break ties.
+    ``ids`` break ties; ``bars``: a score that the k-th best of each query is known to reach.
     """
     import numpy as np
 
-    n, dims = candidates.shape
-    k_here = min(k, n)
-    lists = np.sort(candidates, axis=0)  # each dimension's components in order
-    low, high = lists[0], lists[-1]
     out: list[tuple] = []
+    lists = Lists(candidates)
     rank = np.argsort(np.argsort(ids, kind="stable"), kind="stable")
-    for at in range(0, len(queries), TOGETHER):
-        q = queries[at : at + TOGETHER]
-        mine = own[at : at + TOGETHER]
-        up, down = np.maximum(q, 0), np.minimum(q, 0)  # lists read from the top, and from the bottom
-        alive = [None] * len(q)  # candidates that can still qualify
-        todo = np.arange(len(q))
-        for depth in DEPTHS:
-            if not len(todo):
-                break
-            level_up = lists[n - max(1, math.ceil(depth * n))]  # what was read is at or beyond the level
-            level_down = lists[max(1, math.ceil(depth * n)) - 1]
-            read_up, read_down = candidates >= level_up, candidates <= level_down
-            u, d = up[todo], down[todo]
-            read = u @ np.where(read_up, candidates, 0).T + d @ np.where(read_down, candidates, 0).T
-            lower = read + u @ np.where(read_up, 0, low).T + d @ np.where(read_down, 0, high).T
-            upper = read + u @ np.where(read_up, 0, level_up).T + d @ np.where(read_down, 0, level_down).T
-            rows = np.flatnonzero(mine[todo] >= 0)
-            lower[rows, mine[todo][rows]] = upper[rows, mine[todo][rows]] = -np.inf
-            bar = np.partition(lower, n - k_here, axis=1)[:, n - k_here]
-            can = upper >= bar[:, None]
-            left = can.sum(axis=1)
-            done = left <= max(4 * k_here, n // 16)
-            for i in np.flatnonzero(done):
-                alive[todo[i]] = np.flatnonzero(can[i])
-            todo = todo[~done]
-        for i, one in enumerate(q):
-            rest = alive[i] if alive[i] is not None else np.arange(n)  # lists read to the end
-            score = candidates[rest] @ one
-            if mine[i] >= 0:
-                keep = rest != mine[i]
-                rest, score = rest[keep], score[keep]
-            if len(rest) > k:
-                bar = np.partition(score, len(score) - k)[len(score) - k]
-                keep = score >= bar
-                rest, score = rest[keep], score[keep]
-            best = np.lexsort((rank[rest], -score))[:k]
-            out += [(at + i, int(rest[b]), int(score[b])) for b in best]
+    for i, one in enumerate(queries):
+        bar = -np.inf if bars is None else bars[i]
+        rest, _ = qualified(lists, one, int(own[i]), k, bar)
+        score = candidates[rest] @ one
+        keep = score >= bar
+        if keep.sum() > k:
+            keep &= score >= np.partition(score, len(score) - k)[len(score) - k]
+        rest, score = rest[keep], score[keep]
+        top = np.lexsort((rank[rest], -score))[:k]
+        out += [(i, int(rest[b]), int(score[b])) for b in top]
     return out
 
 
@@ -117,7 +136,8 @@ def _cell(k: int):
         place = {row: i for i, row in enumerate(candidates["row"].to_pylist())}
         own = np.array([place.get(row, -1) for row in queries["row"].to_pylist()], np.int64)
         ids = np.array([np.inf if x is None else x for x in candidates["id"].to_pylist()], object)
-        found = search(q, c, own, ids, k) if len(q) and len(c) else []
+        bars = np.array([-np.inf if x is None else x for x in queries["bar"].to_pylist()])
+        found = search(q, c, own, ids, k, bars) if len(q) and len(c) else []
         rows, names, cid = queries["row"].to_pylist(), queries["id"].to_pylist(), candidates["id"].to_pylist()
         return pa.table(
             {
@@ -148,13 +168,22 @@ def top_k(vectors: DataFrame, k: int = K, key: str = "vec_id", vector: str = "em
     chunks = max(1, math.ceil(asked / CHUNK))
     # row numbers start anew in each input partition, at multiples of 2**33; their hash deals evenly
     dealt = F.xxhash64("row")
-    q = rows.where(is_query).select("row", "id", "v", F.pmod(dealt, F.lit(chunks)).alias("chunk"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    c = rows.select("row", "id", "v", F.pmod(dealt, F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
-    keys = [F.col("chunk").cast("int"), F.col("block").cast("int")]
-    q, c = (x.select("row", "id", "v", keys[0].alias("chunk"), keys[1].alias("block")) for x in (q, c))
-    cells = q.groupBy("chunk", "block").cogroup(c.groupBy("chunk", "block")).applyInArrow(_cell(k), "row long, query_id long, vec_id long, score long")
+    home, chunk = F.pmod(dealt, F.lit(blocks)).cast("int"), F.pmod(dealt, F.lit(chunks)).cast("int")
+    asking = rows.where(is_query).select("row", "id", "v", chunk.alias("chunk"), home.alias("home"))
+    c = rows.select("row", "id", "v", home.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
+
+    def cells(q: DataFrame) -> DataFrame:
+        each = q.select(*[F.col(x).alias(x) for x in ("row", "id", "v", "bar", "chunk", "block")]).groupBy("chunk", "block")  # columns of its own
+        return each.cogroup(c.groupBy("chunk", "block")).applyInArrow(_cell(k), "row long, query_id long, vec_id long, score long")
+
+    found = cells(asking.select("*", F.lit(None).cast("long").alias("bar"), F.col("home").alias("block")))
+    if blocks > 1:
+        found = stored(found, "home")
+        bars = found.groupBy("row").agg(F.when(F.count("*") >= k, F.min("score")).alias("bar"))
+        others = F.explode(F.filter(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda b: b != F.col("home"))).alias("block")
+        found = found.unionByName(cells(asking.join(bars, "row", "left").select("row", "id", "v", "bar", "chunk", others)))
     order = Window.partitionBy("row").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last())
-    return cells.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,3 +46,17 @@ def test_cells_do_not_change_results(spark, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK", 90)
     monkeypatch.setattr(topk, "CHUNK", 9)
     assert sorted(map(tuple, topk.top_k(df).collect())) == want
+
+
+def test_lists_are_left_early_where_bounds_allow():
+    rng = np.random.default_rng(5)
+    c = np.floor(rng.normal(0, 2, (4000, 12)))
+    c[:, 0] = np.floor(rng.normal(0, 200, 4000))  # one dimension decides
+    lists = topk.Lists(c)
+    q = np.array([9.0] + [1.0] * 11)
+    alive, read = topk.qualified(lists, q, -1, 20, -np.inf)
+    best = np.argsort(-(c @ q))[:20]
+    assert set(best) <= set(alive) and len(alive) < 200 and read < c.size / 2
+    assert topk.qualified(lists, q, -1, 20, 1e9)[1] == 0  # no candidate can reach the bar: nothing is read
+    alive, read = topk.qualified(lists, q, int(best[0]), 20, float(np.sort(c @ q)[-15]))
+    assert best[0] not in alive and set(best[1:15]) <= set(alive)
