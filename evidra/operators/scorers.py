@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text as X
 
@@ -23,13 +24,27 @@ def once(df: DataFrame, inputs: list[str], scorer: Scorer) -> DataFrame:
 
 
 def embed(df: DataFrame, text: str = "text", out: str = "embedding", dims: int = 64) -> DataFrame:
-    """Hashed token counts, scaled to unit length."""
-    slot = F.transform(X.tokens(X.normalized(F.col(text))), lambda w: F.pmod(F.xxhash64(w), F.lit(dims)))
-    counts = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda i: F.size(F.filter(F.col("__slot"), lambda s: s == i)).cast("double"))
-    norm = F.sqrt(F.aggregate(F.col("__raw"), F.lit(0.0), lambda a, x: a + x * x))
-    made = df.withColumn("__slot", slot).withColumn("__raw", counts)
-    unit = F.when(norm == 0, F.col("__raw")).otherwise(F.transform("__raw", lambda x: x / norm))
-    return made.withColumn(out, unit.cast("array<float>")).drop("__slot", "__raw")
+    """Hashed token counts, scaled to unit length; zeros for a text without tokens."""
+    slots = F.transform(X.tokens(X.normalized(F.col(text))), lambda w: F.pmod(F.xxhash64(w), F.lit(dims)).cast("int"))
+    base = df.drop(out)
+    names = [*base.columns, out]
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            found = batch.column(batch.num_columns - 1)
+            sizes = np.diff(np.asarray(found.offsets)) * np.asarray(found.is_valid(), np.int64) if len(found) else np.zeros(0, np.int64)
+            rows = np.repeat(np.arange(len(found)), sizes)
+            counts = np.bincount(rows * dims + np.asarray(found.flatten(), np.int64), minlength=len(found) * dims).reshape(-1, dims).astype(np.float64)
+            norm = np.linalg.norm(counts, axis=1, keepdims=True)
+            unit = np.divide(counts, norm, out=np.zeros_like(counts), where=norm > 0).astype(np.float32)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1, dtype=np.int32) * dims), pa.array(unit.ravel()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], names=names)
+
+    schema = T.StructType([*base.schema.fields, T.StructField(out, T.ArrayType(T.FloatType()))])
+    return base.select(*[F.col(f"`{c}`") for c in base.columns], slots.alias("slots of the tokens")).mapInArrow(run, schema)
 
 
 def rerank(df: DataFrame, claim: str = "claim", quote: str = "quote", out: str = "relevance") -> DataFrame:

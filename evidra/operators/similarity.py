@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -140,10 +140,65 @@ def nearest(queries: DataFrame, vectors: DataFrame, key: str, vector: str, k: in
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
-def link_components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, component) for all ``nodes`` (node); ``links`` (u, v).  Minimum labels spread and jump until they rest;
-    every round is checkpointed, so the plan does not grow and a lost executor repeats one round."""
-    spark = nodes.sparkSession
+def _group_cells(left: DataFrame, right: DataFrame, run, schema: str) -> DataFrame:
+    """Every (left block, right block) of each group ``g`` as one co-grouped cell; blocks hold about ``BLOCK`` rows."""
+    parts = lambda df, name: df.groupBy("g").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
+    counts = parts(left, "nl").join(parts(right, "nr"), "g")
+
+    def dealt(df: DataFrame, own: str, n_own: str, other: str, n_other: str) -> DataFrame:
+        placed = df.join(counts, "g").withColumn(own, F.pmod(F.xxhash64("id"), F.col(n_own)).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), F.col(n_other) - 1)))
+        return placed.select(*[F.col(c).alias(c) for c in ("g", "id", "v", "bl", "br")])  # of a self-join, columns of its own
+
+    lefts, rights = dealt(left, "bl", "nl", "br", "nr"), dealt(right, "br", "nr", "bl", "nl")
+    return lefts.groupBy("g", "bl", "br").cogroup(rights.groupBy("g", "bl", "br")).applyInArrow(run, schema)
+
+
+def similar_in_group(vectors: DataFrame, group: str, key: str, vector: str, threshold: float) -> DataFrame:
+    """(left_id, right_id, cosine) of all pairs of a group with cosine at or above ``threshold``."""
+    rows = vectors.select(F.col(group).alias("g"), F.col(key).alias("id"), F.col(vector).alias("v"))
+
+    def run(left, right):
+        import numpy as np
+        import pyarrow as pa
+
+        ids_l, ids_r = np.array(left["id"], np.int64), np.array(right["id"], np.int64)
+        out = [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
+        if len(ids_l) and len(ids_r):
+            score = _unit(left)[1] @ _unit(right)[1].T
+            i, j = np.nonzero((score >= threshold - 1e-12) & (ids_l[:, None] < ids_r[None, :]))
+            out = [ids_l[i], ids_r[j], np.clip(score[i, j], 0, 1)]
+        return pa.table({"left_id": out[0], "right_id": out[1], "cosine": out[2]})
+
+    return _group_cells(rows, rows, run, "left_id long, right_id long, cosine double")
+
+
+def nearest_in_group(queries: DataFrame, vectors: DataFrame, group: str, key: str, query_key: str, vector: str, k: int) -> DataFrame:
+    """(query_id, vec_id, score, rank): the ``k`` of highest cosine in the query's group; ties to the smaller id."""
+
+    def shaped(df: DataFrame, name: str) -> DataFrame:
+        return df.select(F.col(group).alias("g"), F.col(name).alias("id"), F.col(vector).alias("v"))
+
+    def run(a, b):
+        import numpy as np
+        import pyarrow as pa
+
+        ids_a, ids_b = np.array(a["id"], np.int64), np.array(b["id"], np.int64)
+        out = [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
+        if len(ids_a) and len(ids_b):
+            by_id = np.argsort(ids_b)  # then a stable order by score leaves ties to the smaller id
+            score = np.round(np.clip(_unit(a)[1] @ _unit(b)[1][by_id].T, 0, 1), 9)
+            top = np.argsort(-score, axis=1, kind="stable")[:, :k]
+            i = np.repeat(np.arange(len(ids_a)), top.shape[1])
+            out = [ids_a[i], ids_b[by_id][top.ravel()], score[i, top.ravel()]]
+        return pa.table({"query_id": out[0], "vec_id": out[1], "score": out[2]})
+
+    found = _group_cells(shaped(queries, query_key), shaped(vectors, key), run, "query_id long, vec_id long, score double")
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+
+def checkpoint_folder(spark: SparkSession) -> None:
+    """Sees to a checkpoint folder: that which the session names; on one machine, as in tests, one is made where it names none."""
     if not spark.sparkContext.getCheckpointDir():
         named = spark.conf.get("spark.checkpoint.dir", None)
         if not named and spark.sparkContext.master.split("[")[0] != "local":
@@ -151,6 +206,12 @@ def link_components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         import tempfile
 
         spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp())
+
+
+def link_components(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component) for all ``nodes`` (node); ``links`` (u, v).  Minimum labels spread and jump until they rest;
+    every round is checkpointed, so the plan does not grow and a lost executor repeats one round."""
+    checkpoint_folder(nodes.sparkSession)
     both = links.select("u", "v").unionAll(links.select(F.col("v"), F.col("u"))).distinct().checkpoint()
     now = nodes.select("node", F.col("node").alias("label")).checkpoint()
     while True:

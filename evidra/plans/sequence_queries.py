@@ -41,7 +41,7 @@ def _episodes(spark, sf_dir):
 
 
 def extraction_full(spark, sf_dir):
-    settings = extraction.Settings(chunk_size=SIZE, chunk_overlap=OVERLAP, chunk_margin=MARGIN, least_relevance=0.5, least_confidence=0.0)
+    settings = extraction.Settings(chunk_size=SIZE, chunk_overlap=OVERLAP, chunk_margin=MARGIN, least_relevance=0.5)
     return extraction.full(_episodes(spark, sf_dir), "numbered", settings)["claims"].select("episode_id", "chunk_no", "claim", "quote_count", F.round("final_confidence", 6).alias("confidence"))
 
 
