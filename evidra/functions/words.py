@@ -25,8 +25,8 @@ OPINION = ["think", "believe", "feel", "seems", "appears", "looks like", "might"
 ADVERT = ["get it today", "order now", "limited time", "sign up", "subscribe", "discount code", "offers", "provides topical", "provides oral", "high-quality basics", "for a fraction", "delivers directly", "get your", "today for only", "only $"]
 NO_CONTEXT = ["disapproval is", "approval is", "approval has", "the mantra", "there was a mantra", "the new policy", "the new bill", "the policy will", "the bill will"]
 
-STRICT_OPINION = OPINION[:10]
-STRICT_ADVERT = ADVERT[:6]
+STRICT_OPINION = ["think", "believe", "feel", "seems", "appears", "looks like", "might", "could", "probably", "maybe"]
+STRICT_ADVERT = ["get it today", "order now", "limited time", "sign up", "subscribe", "discount code"]
 STRICT_CONTEXT = ["the ban", "the bill", "this policy", "the new", "the plan", "the proposal"]
 
 OBVIOUS_ADVERT = ["get it today", "order now", "limited time offer", "subscribe now", "discount code", "act now"]

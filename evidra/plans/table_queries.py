@@ -10,8 +10,6 @@ from ..operators import selection as S
 from ..operators import similarity as V
 from .common import table
 
-#: Line items that stand for claims: so that some orders have none.
-CLAIMS = "l_shipdate < date '1996-01-01'"
 LATEST = 3
 
 
@@ -20,7 +18,7 @@ def _orders(spark, sf_dir):
 
 
 def _claims(spark, sf_dir):
-    items = table(spark, sf_dir, "lineitem").where(CLAIMS)
+    items = table(spark, sf_dir, "lineitem")
     return items.select(F.col("l_orderkey").alias("episode_id"), F.col("l_linenumber").alias("line"), (F.col("l_linestatus") == "F").alias("is_verified"), (F.col("l_returnflag") == "R").alias("is_flagged"), F.col("l_discount").alias("relevance"))
 
 
@@ -201,7 +199,7 @@ def merge_representative(spark, sf_dir):
     return E.merged_groups(keyed, "group_key", "doc_id", "text", "confidence", "source").select("group_key", "representative", F.array_join("chunks", ",").alias("chunks"), "n_members")
 
 
-_EP = "ep AS (SELECT o_orderkey AS episode_id, o_custkey AS podcast_id, o_orderdate AS air_date FROM orders), cl AS (SELECT l_orderkey AS episode_id, l_linenumber AS line, l_linestatus = 'F' AS is_verified, l_returnflag = 'R' AS is_flagged, l_discount AS relevance FROM lineitem WHERE l_shipdate < DATE '1996-01-01')"
+_EP = "ep AS (SELECT o_orderkey AS episode_id, o_custkey AS podcast_id, o_orderdate AS air_date FROM orders), cl AS (SELECT l_orderkey AS episode_id, l_linenumber AS line, l_linestatus = 'F' AS is_verified, l_returnflag = 'R' AS is_flagged, l_discount AS relevance FROM lineitem)"
 _WIN = f"{_EP}, win AS (SELECT * FROM ep QUALIFY row_number() OVER (PARTITION BY podcast_id ORDER BY air_date DESC NULLS LAST, episode_id) <= {LATEST})"
 _CONF = f"{_EP}, s AS (SELECT episode_id, avg(CAST(relevance AS DOUBLE) * 10) AS a, max(CAST(relevance AS DOUBLE) * 10) AS m, count(*) AS n FROM cl GROUP BY episode_id), c AS (SELECT episode_id, round(a, 6) AS avg_relevance, round(m, 6) AS max_relevance, n AS quote_count, round(least(1.0, (n - 1) / 4.0), 6) AS count_score, round(least(1.0, greatest(0.0, 0.65 * a + 0.25 * m + 0.10 * least(1.0, (n - 1) / 4.0))), 6) AS final_confidence FROM s)"
 _MARK = "mk AS (SELECT l.*, length(regexp_replace(text, '[^#*$%&|<>!]', '', 'g')) * 50 > length(text) AS says_bad FROM labels l JOIN documents USING (doc_id))"

@@ -58,14 +58,14 @@ def quote_quality_reason(spark, sf_dir):
 
 def _scored(issue):
     def query(spark, sf_dir):
-        rows = C.sentence_rows(table(spark, sf_dir, "documents").where("lang = 'en'").select("doc_id", "text"))
+        rows = C.sentence_rows(table(spark, sf_dir, "documents").select("doc_id", "text"))
         return rows.groupBy("doc_id").agg(F.count("*").alias("n_claims"), F.round(1 - F.avg(issue(F.col("sentence")).isNotNull().cast("double")), 6).alias("score"))
 
     return query
 
 
 def obvious_issue_hist(spark, sf_dir):
-    rows = C.sentence_rows(table(spark, sf_dir, "documents").where("lang = 'en'").select("text"))
+    rows = C.sentence_rows(table(spark, sf_dir, "documents").select("text"))
     s = F.col("sentence")
     return rows.groupBy(F.coalesce(X.obvious_issue(s), F.lit("none")).alias("issue"), X.needs_judge(s).alias("needs_judge")).agg(F.count("*").alias("n"))
 
@@ -110,10 +110,10 @@ def fence_json_extract(spark, sf_dir):
 
 
 def lenient_bool_float(spark, sf_dir):
-    e = table(spark, sf_dir, "events")
-    said = F.element_at(F.array(*map(F.lit, (" Yes ", "true", "0", "maybe", "1"))), (F.col("event_id") % 5 + 1).cast("int"))
-    number = F.when(F.col("event_id") % 3 == 0, "abc").when(F.col("event_id") % 3 == 1, F.lit(None)).otherwise((F.col("event_id") % 100).cast("string"))
-    return e.select("event_id", X.lenient_bool(said).alias("flag"), X.lenient_float(number).alias("confidence"))
+    """Answers as models give them: of an event's type, and its value, now and then with words around."""
+    said = F.when(F.col("event_type") == "click", " Yes ").when(F.col("event_type") == "view", "true").when(F.col("event_type") == "signup", "1").otherwise(F.col("event_type"))
+    number = F.when(F.col("value") > 20, F.concat(F.lit("about "), F.col("value").cast("string"))).otherwise(F.concat(F.lit(" "), F.col("value").cast("string")))
+    return table(spark, sf_dir, "events").select("event_id", X.lenient_bool(said).alias("flag"), F.round(X.lenient_float(number), 6).alias("confidence"))
 
 
 def _has_word_sql(listed):
@@ -166,14 +166,19 @@ ORACLE_SQL = {
     "longest_k_per_group": f"WITH {_ROWS} SELECT doc_id, CAST(pos AS INTEGER) AS pos, s AS sentence FROM r WHERE reason = 'valid' QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length(s) DESC, pos) <= 10",
     "question_filter": f"SELECT conv_id, turn, contains(text, '?') OR ({_QUESTION_FIRST} IN ({quoted(W.QUESTION_WORDS)}) AND NOT {contains_any('lower(text)', W.NOT_QUESTIONS)}) AS is_question FROM conversations",
     "quote_quality_reason": f"SELECT {_PROMO} AS reason, count(*) AS n FROM conversations GROUP BY 1",
-    "rule_quality_score": f"WITH {_ROWS} SELECT doc_id, count(*) AS n_claims, round(1 - avg(CAST(({_ISSUE}) AS INTEGER)), 6) AS score FROM r WHERE lang = 'en' GROUP BY doc_id",
-    "strict_quality_score": f"WITH {_ROWS} SELECT doc_id, count(*) AS n_claims, round(1 - avg(CAST(({_STRICT}) AS INTEGER)), 6) AS score FROM r WHERE lang = 'en' GROUP BY doc_id",
-    "obvious_issue_hist": f"WITH {_ROWS} SELECT {_OBVIOUS} AS issue, {_OBVIOUS} = 'none' AND regexp_matches(lower(s), '(^|[^\\p{{L}}\\p{{N}}_])({'|'.join(W.JUDGED_PRONOUNS)})([^\\p{{L}}\\p{{N}}_]|$)') AS needs_judge, count(*) AS n FROM r WHERE lang = 'en' GROUP BY 1, 2",
+    "rule_quality_score": f"WITH {_ROWS} SELECT doc_id, count(*) AS n_claims, round(1 - avg(CAST(({_ISSUE}) AS INTEGER)), 6) AS score FROM r GROUP BY doc_id",
+    "strict_quality_score": f"WITH {_ROWS} SELECT doc_id, count(*) AS n_claims, round(1 - avg(CAST(({_STRICT}) AS INTEGER)), 6) AS score FROM r GROUP BY doc_id",
+    "obvious_issue_hist": f"WITH {_ROWS} SELECT {_OBVIOUS} AS issue, {_OBVIOUS} = 'none' AND regexp_matches(lower(s), '(^|[^\\p{{L}}\\p{{N}}_])({'|'.join(W.JUDGED_PRONOUNS)})([^\\p{{L}}\\p{{N}}_]|$)') AS needs_judge, count(*) AS n FROM r GROUP BY 1, 2",
     "jaccard_pairs": _pairs_sql("benchmark", "item_id", 0.1, None),
     "jaccard_near_dup_docs": _pairs_sql("documents", "doc_id", 0.8, "source"),
     "filter_samples": f"WITH {_ROWS} SELECT reason, doc_id, CAST(pos AS INTEGER) AS pos, s AS sentence FROM r WHERE reason <> 'valid' QUALIFY row_number() OVER (PARTITION BY reason ORDER BY doc_id, pos) <= 5",
     "prompt_batches": "WITH n AS (SELECT item_id // 10 AS batch, item_id, text, row_number() OVER (PARTITION BY item_id // 10 ORDER BY item_id) AS k FROM benchmark) SELECT batch, string_agg(k || '. ' || text, chr(10) ORDER BY k) AS prompt FROM n GROUP BY batch",
     "non_empty_profile": "SELECT count(*) AS n_rows, " + ", ".join(f"count(*) FILTER (trim(CAST({c} AS VARCHAR)) <> '') AS n_{c}" for c in ("doc_id", "text", "lang", "source")) + " FROM documents",
     "fence_json_extract": "SELECT event_id, trim(props) AS inner_json FROM events",
-    "lenient_bool_float": "SELECT event_id, event_id % 5 IN (0, 1, 4) AS flag, CASE WHEN event_id % 3 = 2 THEN CAST(event_id % 100 AS DOUBLE) ELSE 0.5 END AS confidence FROM events",
+    "lenient_bool_float": "SELECT event_id, coalesce(event_type IN ('click', 'view', 'signup'), false) AS flag, CASE WHEN value <= 20 THEN round(value, 6) ELSE 0.5 END AS confidence FROM events",
+    "split_repair": r"""WITH RECURSIVE p AS (SELECT conv_id, turn, list_filter(string_split(regexp_replace(text, ' ([a-z]{1,4}) ', chr(1) || 's \1 ', 'g'), chr(1)), lambda x: x <> '') AS ps FROM conversations),
+w AS (SELECT conv_id, turn, ps, CAST([] AS VARCHAR[]) AS done, 1 AS i FROM p
+  UNION ALL SELECT conv_id, turn, ps, CASE WHEN j THEN list_append(done, trim(ps[i], chr(32) || chr(9) || chr(10) || chr(13) || chr(12) || chr(11)) || chr(39) || ps[i + 1]) ELSE list_append(done, ps[i]) END, CASE WHEN j THEN i + 2 ELSE i + 1 END
+  FROM (SELECT *, i < len(ps) AND starts_with(coalesce(ps[i + 1], ''), 's ') AND length(trim(ps[i], chr(32) || chr(9) || chr(10) || chr(13) || chr(12) || chr(11))) < 30 AS j FROM w) WHERE i <= len(ps))
+SELECT conv_id, turn, CAST(len(done) AS INTEGER) AS n_items, array_to_string(done, '|') AS items FROM w WHERE i > len(ps)""",
 }
