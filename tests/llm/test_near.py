@@ -72,3 +72,34 @@ def test_nulls_and_repeats(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(str(r.doc_id) for r in near.deduplicated(df).collect()) == ["3", "8", "None"]
     assert near.deduplicated(df.limit(0)).count() == 0
+
+
+def test_clashing_columns_and_the_operator_that_calls(spark):
+    from evidra.llm import simhash
+
+    rows = [(1, "one two three four five six", "a", "b", 1.5), (2, "one two three four five six", "c", "d", 2.5), (3, "other words", "e", "f", 3.5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __row string, set_id string, bands double").withColumn("__fp", near.F.lit("own"))
+    for out in (simhash.deduplicated(df, similarity=0.8), simhash.deduplicated(df)):
+        assert out.columns == df.columns
+        assert sorted(map(tuple, out.collect())) == [(*rows[0], "own"), (*rows[2], "own")]
+
+
+def test_copies_of_one_text_need_no_pairs(spark):
+    rng = random.Random(3)
+    base = [f"b{i}" for i in range(150)]
+    rows = [(i, " ".join(edited(rng, base, rng.randrange(1, 9)))) for i in range(300)]
+    df = spark.createDataFrame([*rows, (999, " ".join(base))], "doc_id long, text string").repartition(4)
+    compared = []
+    whole = near._compared
+
+    def counting(pairs, sets):
+        compared.append(pairs.count())
+        return whole(pairs, sets)
+
+    near._compared = counting
+    try:
+        kept = sorted(r.doc_id for r in near.deduplicated(df).collect())
+    finally:
+        near._compared = whole
+    assert kept == brute_kept([*rows, (999, " ".join(base))])
+    assert sum(compared) < 301 * 20  # of 45,150 pairs
