@@ -12,17 +12,26 @@ from ..functions import text as X
 def overlapping(spans: DataFrame, group: str, key: str, start: str = "start_pos", end: str = "end_pos", least: float = 0.5) -> DataFrame:
     """(left_id, right_id, overlap) of spans in a group that share at least ``least`` of the shorter.
 
-    Spans are cut into bins of their typical length and joined on equal bins; a pair counts in the first bin that both
-    have, so none is doubled.
+    Spans fall into classes by the power of two of their length; a class has bins of twice its length, so a span lies in at
+    most two of its own bins and in at most two of any larger class.  The shorter of two spans meets the longer in the bins
+    of the longer one's class; a pair counts in the bin in which the later of them starts, so none is doubled.
     """
-    width = F.greatest(spans.agg(F.coalesce(F.ceil(F.avg(F.col(end) - F.col(start))), F.lit(1))).scalar(), F.lit(1))
-    binned = spans.select(F.col(group).alias("g"), F.col(key).alias("id"), F.col(start).alias("s"), F.col(end).alias("e"), width.alias("w")).where("e > s")
-    each = binned.withColumn("bin", F.explode(F.sequence(F.floor(F.col("s") / F.col("w")), F.floor((F.col("e") - 1) / F.col("w")))))
-    a, b = each.alias("a"), each.alias("b")
-    both = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.bin") == F.col("b.bin")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.s") < F.col("b.e")) & (F.col("b.s") < F.col("a.e")))
-    once = both.where(F.col("a.bin") == F.floor(F.greatest("a.s", "b.s") / F.col("a.w")))
+    made = spans.select(F.col(group).alias("g"), F.col(key).alias("id"), F.col(start).alias("s"), F.col(end).alias("e")).where("e > s").withColumn("c", F.length(F.bin(F.col("e") - F.col("s"))))
+    # so many classes are there that the shorter may look into: one number per group, at most 64
+    tops = made.groupBy("g").agg(F.max("c").alias("top"))
+
+    def binned(df: DataFrame, kind: str) -> DataFrame:
+        width = F.call_function("shiftleft", F.lit(1).cast("long"), F.col(kind))
+        return df.withColumn("w", width).withColumn("bin", F.explode(F.sequence(F.floor(F.col("s") / F.col("w")), F.floor((F.col("e") - 1) / F.col("w")))))
+
+    longer = binned(made.withColumn("k", F.col("c")), "k")
+    shorter = binned(made.join(tops, "g").withColumn("k", F.explode(F.sequence(F.col("c"), F.col("top")))), "k")
+    a, b = shorter.alias("a"), longer.alias("b")
+    first = (F.col("a.c") < F.col("b.c")) | (F.col("a.id") < F.col("b.id"))
+    both = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.k") == F.col("b.k")) & (F.col("a.bin") == F.col("b.bin")) & first & (F.col("a.s") < F.col("b.e")) & (F.col("b.s") < F.col("a.e")))
+    once = both.where((F.col("a.id") != F.col("b.id")) & (F.col("a.bin") == F.floor(F.greatest("a.s", "b.s") / F.col("a.w"))))
     share = X.span_overlap(F.col("a.s"), F.col("a.e"), F.col("b.s"), F.col("b.e"))
-    return once.select(F.col("a.id").alias("left_id"), F.col("b.id").alias("right_id"), share.alias("overlap")).where(F.col("overlap") >= least)
+    return once.select(F.least("a.id", "b.id").alias("left_id"), F.greatest("a.id", "b.id").alias("right_id"), share.alias("overlap")).where(F.col("overlap") >= least)
 
 
 QUOTE = "quote_id long, start_pos long, end_pos long, text string, score double, speaker string, ts long"

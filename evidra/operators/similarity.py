@@ -9,14 +9,22 @@ from pyspark.sql.window import Window
 from ..functions import text as X
 
 
-def jaccard_join(df: DataFrame, key: str, text: str, threshold: float, block: str | None = None) -> DataFrame:
+def jaccard_join(df: DataFrame, key: str, text: str, threshold: float, block: str | None = None, stars: bool = False) -> DataFrame:
     """(left_id, right_id, jaccard) of all pairs of rows, in a block, at or above ``threshold``.
 
     A pair at the threshold shares a token among the rarest few of each row, so only those are joined on.  A null block
-    is a block of its own.
+    is a block of its own.  With ``stars``, rows of equal token sets are not expanded into all pairs: the smallest key
+    stands for them in all others, and pairs with each of them (1.0).
     """
     blocks = F.struct(F.col(block).isNull().alias("none"), F.col(block).alias("value")) if block else F.lit(0)
     sets = df.select(key, blocks.alias("__block"), X.token_set(F.col(text)).alias("set")).where(F.size("set") > 0)
+    copies = None
+    if stars:
+        sorted_sets = sets.select(key, "__block", F.array_sort("set").alias("set"))
+        firsts = sorted_sets.groupBy("__block", "set").agg(F.min(key).alias("first"), F.count("*").alias("n"))
+        again = firsts.where("n > 1").select("__block", "set", "first")
+        copies = sorted_sets.join(again, ["__block", "set"]).where(F.col(key) != F.col("first")).select(F.col("first").alias("left_id"), F.col(key).alias("right_id"), F.lit(1.0).alias("jaccard"))
+        sets = firsts.select(F.col("first").alias(key), "__block", "set")
     each = sets.select(key, "__block", F.size("set").alias("n"), F.explode("set").alias("token"))
     common = each.groupBy("__block", "token").agg(F.count("*").alias("df"))
     rarest = Window.partitionBy(key).orderBy("df", "token")
@@ -26,7 +34,8 @@ def jaccard_join(df: DataFrame, key: str, text: str, threshold: float, block: st
     pairs = a.join(b, ["__block", "token"]).where((F.col("left_id") < F.col("right_id")) & (F.least("na", "nb") >= threshold * F.greatest("na", "nb"))).select("left_id", "right_id").distinct()
     left, right = (sets.select(F.col(key).alias(f"{side}_id"), F.col("set").alias(f"{side}_set")) for side in ("left", "right"))
     scored = pairs.join(left, "left_id").join(right, "right_id").select("left_id", "right_id", X.jaccard(F.col("left_set"), F.col("right_set")).alias("jaccard"))
-    return scored.where(F.col("jaccard") >= threshold)
+    found = scored.where(F.col("jaccard") >= threshold)
+    return found.unionByName(copies) if stars else found
 
 
 def cross_match(left: DataFrame, right: DataFrame, threshold: float, k: int, relevance: float) -> DataFrame:
@@ -127,10 +136,11 @@ def nearest(queries: DataFrame, vectors: DataFrame, key: str, vector: str, k: in
             if within is not None:
                 bad |= score >= within
             order = np.where(bad, np.inf, sign * score)
-            i = np.repeat(np.arange(len(ids_a)), len(ids_b)).reshape(order.shape)
-            top = np.stack([np.lexsort((ids_b, row))[:k] for row in order])
-            i = np.take_along_axis(i, top, axis=1).ravel()
-            j = top.ravel()
+            kth = min(k, len(ids_b)) - 1
+            bars = np.partition(order, kth, axis=1)[:, kth]
+            near = [np.flatnonzero(row <= bar) for row, bar in zip(order, bars, strict=True)]  # the k best and what ties with the last
+            top = [x[np.lexsort((ids_b[x], row[x]))][:k] for x, row in zip(near, order, strict=True)]
+            i, j = np.repeat(np.arange(len(ids_a)), [len(x) for x in top]), np.concatenate(top)
             good = np.isfinite(order[i, j])
             out = [ids_a[i[good]], ids_b[j[good]], score[i[good], j[good]]]
         return pa.table({"query_id": out[0], "vec_id": out[1], "score": out[2]})

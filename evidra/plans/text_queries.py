@@ -76,7 +76,8 @@ def jaccard_pairs(spark, sf_dir):
 
 
 def jaccard_near_dup_docs(spark, sf_dir):
-    out = jaccard_join(table(spark, sf_dir, "documents"), "doc_id", "text", 0.8, "source")
+    """Documents of alike token sets, whatever their source; copies pair with the first of them."""
+    out = jaccard_join(table(spark, sf_dir, "documents"), "doc_id", "text", 0.8, stars=True)
     return out.withColumn("jaccard", F.round("jaccard", 6))
 
 
@@ -128,11 +129,9 @@ _QUESTION_FIRST = r"regexp_replace(coalesce(list_filter(string_split_regex(lower
 _PROMO = "CASE WHEN length(text) < 50 THEN 'Too short' " + " ".join(f"WHEN regexp_matches(lower(text), '{p}') THEN '{r}'" for p, r in W.PROMOTIONS) + " ELSE 'valid' END"
 
 
-def _pairs_sql(source: str, key: str, threshold: float, block: str | None) -> str:
-    same = f" AND a.{block} IS NOT DISTINCT FROM b.{block}" if block else ""
-    cols = f", {block}" if block else ""
-    return f"""WITH t AS (SELECT {key}{cols}, {token_set('text')} AS s FROM {source}),
-j AS (SELECT a.{key} AS left_id, b.{key} AS right_id, len(list_intersect(a.s, b.s)) AS c, len(a.s) AS na, len(b.s) AS nb FROM t a JOIN t b ON a.{key} < b.{key}{same} WHERE len(a.s) > 0 AND len(b.s) > 0
+def _pairs_sql(source: str, key: str, threshold: float) -> str:
+    return f"""WITH t AS (SELECT {key}, {token_set('text')} AS s FROM {source}),
+j AS (SELECT a.{key} AS left_id, b.{key} AS right_id, len(list_intersect(a.s, b.s)) AS c, len(a.s) AS na, len(b.s) AS nb FROM t a JOIN t b ON a.{key} < b.{key} WHERE len(a.s) > 0 AND len(b.s) > 0
   AND least(len(a.s), len(b.s)) >= {threshold} * greatest(len(a.s), len(b.s)))
 SELECT left_id, right_id, round(c / (na + nb - c), 6) AS jaccard FROM j WHERE c / (na + nb - c) >= {threshold}"""
 
@@ -169,8 +168,10 @@ ORACLE_SQL = {
     "rule_quality_score": f"WITH {_ROWS} SELECT doc_id, count(*) AS n_claims, round(1 - avg(CAST(({_ISSUE}) AS INTEGER)), 6) AS score FROM r GROUP BY doc_id",
     "strict_quality_score": f"WITH {_ROWS} SELECT doc_id, count(*) AS n_claims, round(1 - avg(CAST(({_STRICT}) AS INTEGER)), 6) AS score FROM r GROUP BY doc_id",
     "obvious_issue_hist": f"WITH {_ROWS} SELECT {_OBVIOUS} AS issue, {_OBVIOUS} = 'none' AND regexp_matches(lower(s), '(^|[^\\p{{L}}\\p{{N}}_])({'|'.join(W.JUDGED_PRONOUNS)})([^\\p{{L}}\\p{{N}}_]|$)') AS needs_judge, count(*) AS n FROM r GROUP BY 1, 2",
-    "jaccard_pairs": _pairs_sql("benchmark", "item_id", 0.1, None),
-    "jaccard_near_dup_docs": _pairs_sql("documents", "doc_id", 0.8, "source"),
+    "jaccard_pairs": _pairs_sql("benchmark", "item_id", 0.1),
+    "jaccard_near_dup_docs": f"""WITH d AS (SELECT doc_id, list_sort({token_set('text')}) AS s FROM documents), t AS (SELECT s, min(doc_id) AS doc_id FROM d WHERE len(s) > 0 GROUP BY s),
+j AS (SELECT a.doc_id AS left_id, b.doc_id AS right_id, len(list_intersect(a.s, b.s)) AS c, len(a.s) AS na, len(b.s) AS nb FROM t a JOIN t b ON a.doc_id < b.doc_id AND least(len(a.s), len(b.s)) >= 0.8 * greatest(len(a.s), len(b.s)))
+SELECT left_id, right_id, round(c / (na + nb - c), 6) AS jaccard FROM j WHERE c / (na + nb - c) >= 0.8 UNION ALL SELECT t.doc_id, d.doc_id, 1.0::DOUBLE FROM d JOIN t ON d.s = t.s WHERE d.doc_id <> t.doc_id""",
     "filter_samples": f"WITH {_ROWS} SELECT reason, doc_id, CAST(pos AS INTEGER) AS pos, s AS sentence FROM r WHERE reason <> 'valid' QUALIFY row_number() OVER (PARTITION BY reason ORDER BY doc_id, pos) <= 5",
     "prompt_batches": "WITH n AS (SELECT item_id // 10 AS batch, item_id, text, row_number() OVER (PARTITION BY item_id // 10 ORDER BY item_id) AS k FROM benchmark) SELECT batch, string_agg(k || '. ' || text, chr(10) ORDER BY k) AS prompt FROM n GROUP BY batch",
     "non_empty_profile": "SELECT count(*) AS n_rows, " + ", ".join(f"count(*) FILTER (trim(CAST({c} AS VARCHAR)) <> '') AS n_{c}" for c in ("doc_id", "text", "lang", "source")) + " FROM documents",

@@ -1,6 +1,8 @@
 """Cases in which an operator once did less than its whole job."""
 
-from evidra.operators import sequences, similarity
+import random
+
+from evidra.operators import evidence, sequences, similarity
 
 
 def test_chunks_cover_a_very_long_text():
@@ -14,3 +16,23 @@ def test_chunks_cover_a_very_long_text():
 def test_null_blocks_are_one_block(spark):
     df = spark.createDataFrame([(1, "a b c", None), (2, "a b c", None), (3, "a b c", "x"), (4, "a b c", "x"), (5, "a b c", "")], "id long, text string, source string")
     assert sorted((r.left_id, r.right_id) for r in similarity.jaccard_join(df, "id", "text", 0.8, "source").collect()) == [(1, 2), (3, 4)]
+
+
+def test_spans_of_all_lengths_meet(spark):
+    rng = random.Random(4)
+    rows = [(i, rng.choice([1, 2, None]), s := rng.randrange(3000), s + int(2 ** (rng.random() * 12)) - (rng.random() < 0.05) * 2) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, g long, s long, e long")
+    want = set()
+    for i, g, s, e in rows:
+        for j, h, t, f in rows:
+            if i < j and g is not None and g == h and e > s and f > t and min(e, f) - max(s, t) >= 0.3 * min(e - s, f - t) and min(e, f) > max(s, t):
+                want.add((i, j))
+    assert {(r.left_id, r.right_id) for r in evidence.overlapping(df, "g", "id", "s", "e", 0.3).collect()} == want
+    assert evidence.overlapping(df, "g", "id", "s", "e", 0.3).count() == len(want)
+
+
+def test_copies_pair_with_their_first(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(["a b c d e", "e d c b a", "A, b c d e!", "a b c d e f", "f e d c b a", "", None])], "id long, text string")
+    got = {(r.left_id, r.right_id, round(r.jaccard, 3)) for r in similarity.jaccard_join(df, "id", "text", 0.8, stars=True).collect()}
+    assert got == {(0, 1, 1.0), (0, 2, 1.0), (3, 4, 1.0), (0, 3, 0.833)}
+    assert similarity.jaccard_join(df, "id", "text", 0.8).count() == 3 + 1 + 6
