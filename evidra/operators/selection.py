@@ -40,6 +40,14 @@ def eligible(claims: DataFrame, key: str, least: int = 5) -> DataFrame:
     return claims.groupBy(key).agg(F.count("*").alias("n_claims")).where(F.col("n_claims") >= least)
 
 
+def in_state(claims: DataFrame, flagged: bool | None = None, verified: bool | None = None) -> DataFrame:
+    """Claims that are flagged and verified, or not, as asked; None leaves a state open."""
+    for name, wanted in (("is_flagged", flagged), ("is_verified", verified)):
+        if wanted is not None:
+            claims = claims.where(F.coalesce(F.col(name), F.lit(False)) == wanted)
+    return claims
+
+
 def validated(claims: DataFrame, results: DataFrame, key: str) -> DataFrame:
     """``is_flagged`` and ``is_verified`` after validation: every claim sent is verified, an answer missing means valid,
     answers for unknown claims are dropped."""

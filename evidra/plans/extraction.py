@@ -90,8 +90,9 @@ def full(episodes: DataFrame, kind: str = "numbered", settings: Settings | None
     return {"claims": claims.join(scores, "claim_id").where(F.col("final_confidence") >= s.least_confidence), "links": links}
 
 
-def short(episodes: DataFrame, kind: str = "numbered", settings: Settings | None = None) -> DataFrame:
-    """Claims of each whole text, without chunks or quotes."""
+def short(episodes: DataFrame, kind: str = "numbered", settings: Settings | None = None, embed=None) -> DataFrame:
+    """Claims of each whole text, without chunks or quotes; with their vectors if ``embed`` is given."""
     s = settings or Settings()
     joined = Q.full_text(Q.parsed(episodes, kind), "episode_id").withColumnRenamed("full_text", "text")
-    return C.judged_claims(C.sentence_rows(joined)).where("reason = 'valid'").select("episode_id", F.col("sentence").alias("claim"), F.lit(s.short_confidence).alias("confidence"))
+    made = C.judged_claims(C.sentence_rows(joined)).where("reason = 'valid'").select("episode_id", F.col("sentence").alias("claim"), F.lit(s.short_confidence).alias("confidence"))
+    return embed(made, "claim") if embed else made

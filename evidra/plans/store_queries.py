@@ -235,13 +235,62 @@ def transcript_formats(spark, sf_dir):
     return made
 
 
+def unmarked_transcripts(spark, sf_dir):
+    """Documents read as transcripts: without a marker, each is one segment of an unknown speaker."""
+    rows = Q.parsed(table(spark, sf_dir, "documents").select("doc_id", "text"), "lettered")
+    return rows.select("doc_id", "seg_no", "speaker", "seconds", "raw_start", "raw_end", F.md5("clean_text").alias("clean_md5"))
+
+
+def transcript_choice(spark, sf_dir):
+    """The first given of three transcripts, and its format."""
+    kind = F.col("event_type")
+    text, chosen = Q.chosen_transcript(F.when(kind == "view", "").when(kind != "click", kind), F.when(kind == "click", F.col("props")), F.when(kind != "signup", F.col("props")))
+    return table(spark, sf_dir, "events").select("event_id", text.alias("text"), chosen.alias("format"))
+
+
+def text_slices(spark, sf_dir):
+    """A stretch of each document; empty where it is out of range."""
+    start = F.length("source")
+    return table(spark, sf_dir, "documents").select("doc_id", Q.slice_text(F.col("text"), start, start + 200).alias("stretch"))
+
+
+def _shaped(column, shapes):
+    """One of some written shapes of a customer's name and segment, by the length of the name and the account."""
+    return F.element_at(F.array(*shapes), (F.abs(F.hash(column)) % len(shapes) + 1).cast("int"))
+
+
+def tolerant_lists(spark, sf_dir):
+    """Lists of two as models write them, read again."""
+    a, b = F.col("c_name"), F.col("c_mktsegment")
+
+    def put(*parts):
+        return F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+
+    shapes = [
+        put('["', a, '", "', b, '"]'), put("['", a, "', '", b, "']"), put(', ["', a, '", "', b, '"]'), put('[["', a, '", "', b, '"]]'),
+        put("Here they are:\n- ", a, "\n- ", b), put('The claims: ["', a, '", "', b, '"] as asked.'),
+    ]
+    return table(spark, sf_dir, "customer").select("c_custkey", F.array_join(X.json_list(_shaped(F.col("c_custkey"), shapes)), "|").alias("items"))
+
+
+def claims_cells(spark, sf_dir):
+    """Reviewed cells in the shapes that reviewers use, read as claims."""
+    a, b = F.col("c_name"), F.col("c_mktsegment")
+
+    def put(*parts):
+        return F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+
+    shapes = [put(a, "; ", b, "; etc."), put('["', a, '", "', b, '"]'), put('[{"claim": "', a, '"}, {"claim": "', b, '"}]'), put('broken {"claim": "', a, '"}, {"claim": "', b, '"')]
+    return table(spark, sf_dir, "customer").select("c_custkey", F.array_join(X.claims_cell(_shaped(F.col("c_custkey"), shapes)), "|").alias("claims"))
+
+
 _FORMATS = {"numbered": "%d (%dm 5s):\n%s", "named": "Guest %d:\n[1:%02d:07] %s", "lettered": "Speaker %s (1h %dm 9s):\n%s"}
 
 QUERIES = {f.__name__: f for f in (
     chunk_ids, claims_with_chunk_ids, merged_chunk_ids, episode_lookup, missing_ids, has_claims, selectable_episodes, latest_with_repeats, embedding_update, dry_run_count,
     claims_by_chunk, batch_summary, skip_reasons, batch_errors, funnel_averages, distinct_positions, cache_statistics, cache_keys, index_statistics, split_probes, split_artefacts,
     guests_shape, prompt_json, components_json, hybrid_score, judge_score, ad_judge_points, reviewed_chunks, reviewed_totals, reviewed_by, formatted_durations, scored_once,
-    cross_corpus_match, transcript_formats,
+    cross_corpus_match, transcript_formats, unmarked_transcripts, transcript_choice, text_slices, tolerant_lists, claims_cells,
 )}
 
 
@@ -292,6 +341,11 @@ def _oracles() -> dict[str, str]:
         "formatted_durations": f"WITH t AS (SELECT o_orderkey AS episode_id, 'Podcast ' || o_custkey AS podcast, CAST(floor(o_totalprice / 7) AS BIGINT) AS s FROM orders) SELECT episode_id, podcast, {dur} AS took, printf('%.3f → %.3f (%s%.3f)', 0.5::DOUBLE, (s % 8) / 8.0::DOUBLE, CASE WHEN s % 8 >= 4 THEN '+' ELSE '' END, (s % 8) / 8.0::DOUBLE - 0.5::DOUBLE) AS compared FROM t",
         "scored_once": "SELECT l_orderkey AS episode_id, l_linenumber AS line, l_partkey AS part, l_partkey % 5 = 0 AS is_ad FROM lineitem",
         "cross_corpus_match": f"{rows}, a AS (SELECT doc_id, pos, {token_set('s')} AS t FROM r), b AS (SELECT item_id, {token_set('text')} AS t FROM benchmark), j AS (SELECT doc_id, pos, item_id, len(list_intersect(a.t, b.t)) AS c, len(a.t) AS na, len(b.t) AS nb FROM a, b WHERE len(a.t) > 0 AND len(b.t) > 0 AND list_has_any(a.t, b.t)), k AS (SELECT *, row_number() OVER (PARTITION BY doc_id, pos ORDER BY c / (na + nb - c) DESC, item_id) AS n FROM j WHERE c / (na + nb - c) >= 0.1), f AS (SELECT * FROM k WHERE n <= 10 AND c / na >= 0.3 QUALIFY row_number() OVER (PARTITION BY doc_id, pos ORDER BY n) = 1) SELECT doc_id, CAST(pos AS INTEGER) AS pos, item_id, round(c / (na + nb - c), 6) AS jaccard, round(c / na, 6) AS relevance FROM f",
+        "unmarked_transcripts": f"WITH t AS (SELECT doc_id, text, {tidy.replace(clean, 'text')} AS c FROM documents) SELECT doc_id, CAST(0 AS BIGINT) AS seg_no, 'Speaker_Unknown' AS speaker, CAST(0 AS INTEGER) AS seconds, CAST(0 AS BIGINT) AS raw_start, length(text) AS raw_end, md5(c) AS clean_md5 FROM t WHERE c <> ''",
+        "transcript_choice": "SELECT event_id, CASE WHEN event_type IN ('view', 'click') THEN props ELSE event_type END AS text, CASE event_type WHEN 'view' THEN 'lettered' WHEN 'click' THEN 'named' ELSE 'numbered' END AS format FROM events",
+        "text_slices": "SELECT doc_id, CASE WHEN length(source) + 200 <= length(text) THEN trim(substr(text, length(source) + 1, 200), chr(32) || chr(9) || chr(10) || chr(13) || chr(12) || chr(11)) ELSE '' END AS stretch FROM documents",
+        "tolerant_lists": "SELECT c_custkey, c_name || '|' || c_mktsegment AS items FROM customer",
+        "claims_cells": "SELECT c_custkey, c_name || '|' || c_mktsegment AS claims FROM customer",
         "transcript_formats": f"SELECT conv_id, 'numbered' AS kind, {seg}, 'Speaker_' || turn AS speaker, CAST(turn * 60 + 5 AS INTEGER) AS seconds, {tidy} AS clean_text FROM conversations UNION ALL SELECT conv_id, 'named', {seg}, 'Guest ' || turn, CAST(3600 + turn * 60 + 7 AS INTEGER), {tidy} FROM conversations UNION ALL SELECT conv_id, 'lettered', {seg}, 'Speaker_' || substr('ABCDEFGHIJ', CAST(turn % 10 + 1 AS BIGINT), 1), CAST(3600 + turn * 60 + 9 AS INTEGER), {tidy} FROM conversations",
     }
 

@@ -58,6 +58,11 @@ def min_claims_eligible(spark, sf_dir):
     return S.eligible(_claims(spark, sf_dir).where("not is_verified or is_flagged"), "episode_id")
 
 
+def claims_in_state(spark, sf_dir):
+    """Claims of each episode that are neither flagged nor verified."""
+    return S.in_state(_claims(spark, sf_dir), flagged=False, verified=False).groupBy("episode_id").agg(F.count("*").alias("n_claims"))
+
+
 def flag_and_verify(spark, sf_dir):
     keyed = _claims(spark, sf_dir).withColumn("claim_id", F.col("episode_id") * 10 + F.col("line")).select("claim_id", "is_flagged", "is_verified")
     answers = keyed.where("claim_id % 7 = 0").select("claim_id", (F.col("claim_id") % 2 == 0).alias("is_valid"))
@@ -212,7 +217,7 @@ _DIST = "list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE
 
 QUERIES = {f.__name__: f for f in (
     latest_n_per_podcast, unprocessed_in_window, to_validate_in_window, unprocessed_all, to_validate_all, processing_stats, claim_counts_zero_fill,
-    min_claims_eligible, flag_and_verify, get_or_create_links, merge_links_anti, confidence_score, confidence_filter, confusion_metrics, fourway_metrics,
+    min_claims_eligible, claims_in_state, flag_and_verify, get_or_create_links, merge_links_anti, confidence_score, confidence_filter, confusion_metrics, fourway_metrics,
     judge_penalties, label_distribution, deterministic_split, segment_offsets, segment_join_text, span_overlap_pairs, quote_dedup_fold, quote_remap,
     cosine_self_join, cosine_topk, l2_knn_other_group, dup_components, merge_representative,
 )}
@@ -226,6 +231,7 @@ ORACLE_SQL = {
     "processing_stats": f"WITH {_EP}, n AS (SELECT episode_id, count(*) AS n FROM cl GROUP BY 1) SELECT count(*) AS total, count(n) AS processed, count(*) - count(n) AS unprocessed, CAST(coalesce(sum(n), 0) AS BIGINT) AS claims FROM ep LEFT JOIN n USING (episode_id)",
     "claim_counts_zero_fill": f"WITH {_EP} SELECT ep.episode_id, count(cl.episode_id) AS n_claims FROM ep LEFT JOIN cl USING (episode_id) GROUP BY ep.episode_id",
     "min_claims_eligible": f"WITH {_EP} SELECT episode_id, count(*) AS n_claims FROM cl WHERE NOT is_verified OR is_flagged GROUP BY 1 HAVING count(*) >= 5",
+    "claims_in_state": f"WITH {_EP} SELECT episode_id, count(*) AS n_claims FROM cl WHERE NOT is_flagged AND NOT is_verified GROUP BY 1",
     "flag_and_verify": f"WITH {_EP}, k AS (SELECT episode_id * 10 + line AS claim_id, is_flagged FROM cl) SELECT is_flagged OR (claim_id % 7 = 0 AND claim_id % 2 <> 0) AS is_flagged, true AS is_verified, count(*) AS n, CAST(sum(claim_id) AS BIGINT) AS id_sum FROM k GROUP BY 1, 2",
     "get_or_create_links": "WITH l AS (SELECT l_orderkey AS claim_id, l_partkey AS part, l_suppkey AS supp FROM lineitem), st AS (SELECT DISTINCT part, supp, part * 1000 + supp AS quote_id FROM l WHERE part % 3 = 0), fresh AS (SELECT part, supp FROM (SELECT DISTINCT part, supp FROM l) ANTI JOIN st USING (part, supp)), num AS (SELECT part, supp, (SELECT max(quote_id) FROM st) + row_number() OVER (ORDER BY md5(part || ':' || supp), part, supp) AS quote_id FROM fresh) SELECT claim_id, part, supp, quote_id FROM l JOIN (SELECT * FROM st UNION ALL SELECT * FROM num) USING (part, supp)",
     "merge_links_anti": "SELECT DISTINCT l_orderkey AS claim_id, l_partkey AS quote_id, 'cross_ep_rerank' AS match_type FROM lineitem WHERE l_partkey % 4 <> 0",
