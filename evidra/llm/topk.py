@@ -1,7 +1,8 @@
 """Exact top-k by integer inner product with no-random-access aggregation.
 
 Every dimension is a list of candidates sorted by their component.  A query reads all lists side by side from their
-profitable ends, a stretch of each at a time.  What it has read of a candidate adds up to a lower bound, with the worst end
+profitable ends, a stretch of each at a time (many queries read a stretch together, as a matrix product over its entries, and
+those that are done read no further).  What it has read of a candidate adds up to a lower bound, with the worst end
 of the lists that have not shown it yet; with their current levels, to an upper bound.  Candidates whose upper bound lies
 below the k-th lower one are left, and a query stops where few remain; their scores are then resolved exactly.
 
@@ -33,57 +34,75 @@ SCALE = 64
 #: Candidates in a block and queries in a chunk, at most about.
 BLOCK, CHUNK = 8192, 4096
 #: Share of each list read after each round.
-DEPTHS = (1 / 16, 1 / 4, 1 / 2, 3 / 4, 7 / 8, 1)
+DEPTHS = (1 / 8, 1 / 2, 3 / 4, 15 / 16, 1)
+#: Queries that read the lists together.
+TOGETHER = 256
 #: Candidates that may remain when a query stops: so many times k, or such a share of all.
 FEW, FEW_SHARE = 4, 1 / 64
 
 
 class Lists:
-    """The sorted lists of the dimensions of some candidates, and where each candidate stands in them."""
+    """The sorted lists of the dimensions of some candidates, cut into the stretches that are read one after the other."""
 
     def __init__(self, candidates):
         import numpy as np
 
-        self.order = np.ascontiguousarray(np.argsort(candidates, axis=0, kind="stable").T)  # a row per dimension
-        self.values = np.take_along_axis(np.ascontiguousarray(candidates.T), self.order, axis=1)
-        place = np.empty(self.order.shape, np.int32)
-        np.put_along_axis(place, self.order, np.arange(len(candidates), dtype=np.int32)[None, :], axis=1)
-        self.place = np.ascontiguousarray(place.T)
-
-
-def qualified(lists: Lists, query, own: int, k: int, bar: float):
-    """Candidates of which the ``k`` best are some, and how many entries were read; none lies below ``bar`` for certain.
-
-    The bounds of a candidate are ``lower`` and, with the gaps between level and worst end of the lists that it has not
-    come up in, the upper one.
+        self.candidates = candidates
+        n = len(candidates)
+        order = np.argsort(candidates, axis=0, kind="stable")
+        self.values = np.take_along_axis(candidates, order, axis=0)
+        place = np.empty(order.shape, np.int32)
+        np.put_along_axis(place, order, np.arange(n, dtype=np.int32)[:, None], axis=0)
+        self.steps = []  # how far the lists are read then, what a stretch adds (read from the smallest, from the largest), what is unread
+        done = 0
+        for depth in DEPTHS:
+            upto = min(n, max(done + 1, int(np.ceil(depth * n))))
+            if upto > done:
+                rising, falling = (place >= done) & (place < upto), (place >= n - upto) & (place < n - done)
+                self.steps.append((upto, np.where(rising, candidates, 0).T, np.where(falling, candidates, 0).T, (place >= upto).T.astype(np.float64), (place < n - upto).T.astype(np.float64)))
+            done = upto
+
+
+def qualified(lists: Lists, queries, own, k: int, bars):
+    """For each query the candidates of which its ``k`` best are some, and the share of the list entries that was read.
+
+    The queries read a stretch of all lists together, and each goes on until it has few candidates left: none of the others
+    can reach the ``k``-th best lower bound, or the query's ``bars``.
     """
     import numpy as np
 
-    dims, n = lists.values.shape
-    rising, falling = np.flatnonzero(query < 0), np.flatnonzero(query > 0)  # read from the smallest, or the largest component
-    worst, best = (np.where(query < 0, query * lists.values[:, at], query * lists.values[:, -1 - at]) for at in (-1, 0))
-    alive = np.delete(np.arange(n), own) if own >= 0 else np.arange(n)
-    if not len(rising) + len(falling) or best.sum() < bar:
-        return (alive if best.sum() >= bar else alive[:0]), 0
-    lower = np.full(n, worst.sum())
-    done = read = 0
-    for depth in DEPTHS:
-        upto = min(n, max(done + 1, int(np.ceil(depth * n))))
-        for side, stretch in ((rising, slice(done, upto)), (falling, slice(n - upto, n - done))):
-            seen, value = lists.order[side, stretch], lists.values[side, stretch]
-            lower += np.bincount(seen.ravel(), (value * query[side, None] - worst[side, None]).ravel(), n)
-            read += seen.size
-        done = upto
-        level = np.where(query < 0, query * lists.values[:, done - 1], query * lists.values[:, n - done])
-        if len(alive) >= k:
-            bar = max(bar, np.partition(lower[alive], len(alive) - k)[len(alive) - k])
-        alive = alive[lower[alive] + (level - worst).sum() >= bar]  # even with every list unread
-        place = lists.place[alive]
-        unread = np.where(query < 0, place >= done, place < n - done)
-        alive = alive[lower[alive] + unread @ (level - worst) >= bar]
-        if done == n or len(alive) <= max(FEW * k, n * FEW_SHARE):
+    n = len(lists.values)
+    rise, fall = np.minimum(queries, 0), np.maximum(queries, 0)  # read from the smallest, and from the largest component
+    least, most = lists.values[0], lists.values[-1]
+    bars = bars.copy()
+    alive: list = [None] * len(queries)
+    read = np.zeros(len(queries))
+    todo = np.flatnonzero((rise @ least + fall @ most) >= bars)  # the others cannot reach their bar in any list
+    seen = np.zeros((len(queries), n))
+    for upto, rising, falling, below, above in lists.steps:
+        r, f = rise[todo], fall[todo]
+        seen[todo] += r @ rising + f @ falling
+        read[todo] = upto / n
+        lower = seen[todo] + (r * most) @ below + (f * least) @ above
+        rows = np.flatnonzero(own[todo] >= 0)
+        lower[rows, own[todo][rows]] = -np.inf
+        if n >= k:
+            bars[todo] = np.maximum(bars[todo], np.partition(lower, n - k, axis=1)[:, n - k])
+        level_r, level_f = lists.values[upto - 1], lists.values[n - upto]
+        # while a candidate that no list has shown could still qualify, many can
+        ready = np.flatnonzero(((r @ level_r + f @ level_f) < bars[todo]) | (upto == n))
+        if not len(ready):
+            continue
+        upper = lower[ready] + (r[ready] * (level_r - most)) @ below + (f[ready] * (level_f - least)) @ above
+        stays = np.ones(len(todo), bool)
+        for i, bound in zip(ready, upper, strict=True):
+            left = np.flatnonzero((bound >= bars[todo[i]]) & (bound > -np.inf))
+            if upto == n or len(left) <= max(FEW * k, n * FEW_SHARE):
+                alive[todo[i]], stays[i] = left, False
+        todo = todo[stays]
+        if not len(todo):
             break
-    return alive, read
+    return [np.zeros(0, np.int64) if x is None else x for x in alive], read
 
 
 def search(queries, candidates, own, ids, k: int = K, bars=None):
@@ -96,17 +115,19 @@ def search(queries, candidates, own, ids, k: int = K, bars=None):
 
     out: list[tuple] = []
     lists = Lists(candidates)
+    bars = np.full(len(queries), -np.inf) if bars is None else bars
     rank = np.argsort(np.argsort(ids, kind="stable"), kind="stable")
-    for i, one in enumerate(queries):
-        bar = -np.inf if bars is None else bars[i]
-        rest, _ = qualified(lists, one, int(own[i]), k, bar)
-        score = candidates[rest] @ one
-        keep = score >= bar
-        if keep.sum() > k:
-            keep &= score >= np.partition(score, len(score) - k)[len(score) - k]
-        rest, score = rest[keep], score[keep]
-        top = np.lexsort((rank[rest], -score))[:k]
-        out += [(i, int(rest[b]), int(score[b])) for b in top]
+    for at in range(0, len(queries), TOGETHER):
+        part = slice(at, at + TOGETHER)
+        found, _ = qualified(lists, queries[part], own[part], k, bars[part])
+        for i, rest in enumerate(found, at):
+            score = candidates[rest] @ queries[i]
+            keep = score >= bars[i]
+            if keep.sum() > k:
+                keep &= score >= np.partition(score, len(score) - k)[len(score) - k]
+            rest, score = rest[keep], score[keep]
+            top = np.lexsort((rank[rest], -score))[:k]
+            out += [(i, int(rest[b]), int(score[b])) for b in top]
     return out
 
 

@@ -76,15 +76,17 @@ def candidates(labelled: DataFrame) -> tuple[list[str], int, int]:
     def stems(k: int):
         return F.transform(F.filter(F.col("w"), lambda x: F.length(x) >= k), lambda x: F.concat(F.substring(x, 1, k), F.lit("*")))
 
-    def counted(toxic: int, name: str) -> DataFrame:
+    def counted(toxic: int, name: str, only: DataFrame | None = None) -> DataFrame:
         each = labelled.where(F.col("toxic") == toxic).select(words.alias("w")).select(F.explode(F.array_distinct(F.concat("w", *map(stems, STEMS)))).alias("term"))
+        if only is not None:  # terms that cannot become candidates do not move
+            each = each.join(only.select("term"), "term", "left_semi")
         return each.groupBy("term").agg(F.count("*").alias(name))
 
     def part(x, total):
         return F.when(x > 0, x * F.log(x / (F.col("a") + F.col("b")) / (total / (bad + good)))).otherwise(0.0)
 
     often = sized(counted(1, "a").where(F.col("a") >= max(3, bad // 400)))
-    both = often.join(counted(0, "b"), "term", "left").select("term", "a", F.coalesce("b", F.lit(0)).alias("b"))
+    both = often.join(counted(0, "b", often), "term", "left").select("term", "a", F.coalesce("b", F.lit(0)).alias("b"))
     gain = part(F.col("a"), bad) + part(F.col("b"), good)
     return [r.term for r in both.where(F.col("a") >= 4 * F.col("b")).orderBy(gain.desc(), "term").limit(CANDIDATES).collect()], bad, good
 
@@ -339,7 +341,7 @@ def fitted(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
 
     known = labels.where(F.col("toxic").isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     train = known.where(~held_out("key"))
-    lexicon, bad, good = candidates(stored(docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(train, "key").select("text", "toxic"), "labelled"))
+    lexicon, bad, good = candidates(stored(docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(train.hint("merge"), "key").select("text", "toxic"), "labelled"))
     if not bad or not good:
         return Model(Voters([]), [], None), None
     voters = Voters(lexicon)

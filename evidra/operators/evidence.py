@@ -37,29 +37,48 @@ def overlapping(spans: DataFrame, group: str, key: str, start: str = "start_pos"
 QUOTE = "quote_id long, start_pos long, end_pos long, text string, score double, speaker string, ts long"
 
 
-def fold_quotes(rows: list[dict], overlap: float = 0.5, similar: float = 0.8, window: int = 0) -> list[dict]:
+def fold_quotes(rows: list[dict], overlap: float = 0.5, similar: float = 0.8) -> list[dict]:
     """Keeps quotes from left to right: each joins the first kept one that it overlaps or resembles, which grows, or is
-    kept itself.  The result carries ``merged``, the ids it absorbed, and comes by falling score."""
+    kept itself.  The result carries ``merged``, the ids it absorbed, and comes by falling score.
+
+    Only kept quotes that reach beyond a quote's start, or have one of as many of its rarest words as a similar one must
+    have, are looked at.  ``overlap`` and ``similar`` are above zero.
+    """
+    import math
     import re
+    from collections import defaultdict
 
     def bag(text: str) -> frozenset:
         return frozenset(re.sub(r"\s+", " ", re.sub(r"[^\w\s]", "", text.lower())).split())
 
     kept: list[dict] = []
+    reaching: set[int] = set()
+    having: dict[str, set[int]] = defaultdict(set)
     for row in sorted(rows, key=lambda r: (r["start_pos"], r["quote_id"])):
         row = dict(row, merged=[row["quote_id"]], bag=bag(row["text"]))
-        for k in kept:
+        reaching -= {i for i in reaching if kept[i]["end_pos"] <= row["start_pos"]}
+        near = set(reaching)
+        for word in sorted(row["bag"], key=lambda w: len(having[w]))[: len(row["bag"]) - math.ceil(similar * len(row["bag"])) + 1]:
+            near |= having[word]
+        for at in sorted(near):
+            k = kept[at]
             shorter = min(k["end_pos"] - k["start_pos"], row["end_pos"] - row["start_pos"])
             shared = max(0, min(k["end_pos"], row["end_pos"]) - max(k["start_pos"], row["start_pos"]))
             union = len(k["bag"] | row["bag"])
             if (shorter > 0 and shared / shorter >= overlap) or (k["bag"] and row["bag"] and len(k["bag"] & row["bag"]) / union >= similar):
                 first = k if k["start_pos"] <= row["start_pos"] else row
                 longer = k if len(k["text"]) >= len(row["text"]) else row
+                for word in k["bag"] - longer["bag"]:
+                    having[word].discard(at)
                 k.update(text=longer["text"], bag=longer["bag"], score=max(k["score"], row["score"]), speaker=first["speaker"], ts=first["ts"], merged=k["merged"] + row["merged"])
                 k.update(start_pos=min(k["start_pos"], row["start_pos"]), end_pos=max(k["end_pos"], row["end_pos"]))
                 break
         else:
+            at, k = len(kept), row
             kept.append(row)
+        for word in k["bag"]:
+            having[word].add(at)
+        reaching.add(at)
     kept.sort(key=lambda r: (-r["score"], r["start_pos"], r["quote_id"]))
     return kept
 

@@ -53,10 +53,13 @@ def test_lists_are_left_early_where_bounds_allow():
     c = np.floor(rng.normal(0, 2, (4000, 12)))
     c[:, 0] = np.floor(rng.normal(0, 200, 4000))  # one dimension decides
     lists = topk.Lists(c)
-    q = np.array([9.0] + [1.0] * 11)
-    alive, read = topk.qualified(lists, q, -1, 20, -np.inf)
-    best = np.argsort(-(c @ q))[:20]
-    assert set(best) <= set(alive) and len(alive) < 200 and read < c.size / 2
-    assert topk.qualified(lists, q, -1, 20, 1e9)[1] == 0  # no candidate can reach the bar: nothing is read
-    alive, read = topk.qualified(lists, q, int(best[0]), 20, float(np.sort(c @ q)[-15]))
+    q = np.array([[9.0] + [1.0] * 11])
+    none, never = np.array([-1]), np.array([-np.inf])
+    (alive,), (read,) = topk.qualified(lists, q, none, 20, never)
+    score = c @ q[0]
+    best = np.argsort(-score)[:20]
+    assert set(best) <= set(alive) and len(alive) < 200 and read < 0.6
+    (alive,), (read,) = topk.qualified(lists, q, none, 20, np.array([1e9]))  # no candidate can reach the bar: nothing is read
+    assert not len(alive) and read == 0
+    (alive,), _ = topk.qualified(lists, q, best[:1], 20, np.array([np.sort(score)[-15]]))
     assert best[0] not in alive and set(best[1:15]) <= set(alive)

@@ -36,3 +36,21 @@ def test_copies_pair_with_their_first(spark):
     got = {(r.left_id, r.right_id, round(r.jaccard, 3)) for r in similarity.jaccard_join(df, "id", "text", 0.8, stars=True).collect()}
     assert got == {(0, 1, 1.0), (0, 2, 1.0), (3, 4, 1.0), (0, 3, 0.833)}
     assert similarity.jaccard_join(df, "id", "text", 0.8).count() == 3 + 1 + 6
+
+
+def test_links_follow_folded_quotes_in_both_ways(spark):
+    quotes = [
+        (1, 10, 0, 50, "alpha beta gamma delta", 0.5),
+        (1, 11, 20, 60, "alpha beta gamma delta epsilon", 0.9),  # overlaps 10, which grows and takes the longer text
+        (1, 12, 100, 120, "quite another thing", 0.4),
+        (1, 13, 100, 120, "quite another thing", 0.3),  # the same span: absorbed, yet of a span that is kept
+        (2, 20, 100, 120, "of a second episode", 0.4),
+    ]
+    schema = "episode_id long, quote_id long, start_pos long, end_pos long, text string, score double"
+    df = spark.createDataFrame(quotes, schema).selectExpr("*", "'s' AS speaker", "cast(1 AS bigint) AS ts")
+    links = spark.createDataFrame([(7, 10), (7, 11), (8, 11), (8, 12), (9, 13), (9, 20)], "claim_id long, quote_id long")
+    kept = evidence.folded(df, "episode_id")
+    spans = {r.quote_id: (r.start_pos, r.end_pos, r.text, r.score, sorted(r.merged)) for r in kept.collect()}
+    assert spans == {10: (0, 60, "alpha beta gamma delta epsilon", 0.9, [10, 11]), 12: (100, 120, "quite another thing", 0.4, [12, 13]), 20: (100, 120, "of a second episode", 0.4, [20])}
+    assert {tuple(r) for r in evidence.remapped(links, df, kept, "episode_id").collect()} == {(7, 10), (8, 10), (8, 12), (9, 12), (9, 20)}
+    assert {tuple(r) for r in evidence.remapped(links, df, kept, "episode_id", "exact").collect()} == {(8, 12), (9, 12), (9, 20)}
