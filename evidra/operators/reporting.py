@@ -152,7 +152,7 @@ def reviewed_by(rows: DataFrame, who: str, claims: str) -> DataFrame:
 
 
 def duration(seconds: Column) -> Column:
-    """``30s``, ``2m 30s``, ``1h 15m``."""
+    """``45s``, ``3m 5s``, ``2h 10m``."""
     whole = F.floor(seconds).cast("long")
     part = lambda x: x.cast("string")
     return (
@@ -163,7 +163,7 @@ def duration(seconds: Column) -> Column:
 
 
 def comparison(before: Column, after: Column) -> Column:
-    """``0.650 → 0.890 (+0.240)``."""
+    """``0.500 → 0.250 (-0.250)``."""
     return F.format_string("%.3f → %.3f (%s%.3f)", before, after, F.when(after >= before, F.lit("+")).otherwise(""), after - before)
 
 

@@ -66,8 +66,8 @@ def test_batches(spark):
 
 
 def test_formats(spark):
-    row = spark.range(1).select(R.duration(F.lit(150)), R.duration(F.lit(3665)), R.duration(F.lit(9.9)), R.comparison(F.lit(0.65), F.lit(0.89)), R.comparison(F.lit(0.5), F.lit(0.25)), R.podcast_name(F.lit(7))).first()
-    assert tuple(row) == ("2m 30s", "1h 1m", "9s", "0.650 → 0.890 (+0.240)", "0.500 → 0.250 (-0.250)", "Podcast 7")
+    row = spark.range(1).select(R.duration(F.lit(185)), R.duration(F.lit(7805)), R.duration(F.lit(9.9)), R.comparison(F.lit(0.25), F.lit(0.375)), R.comparison(F.lit(0.5), F.lit(0.25)), R.podcast_name(F.lit(7))).first()
+    assert tuple(row) == ("3m 5s", "2h 10m", "9s", "0.250 → 0.375 (+0.125)", "0.500 → 0.250 (-0.250)", "Podcast 7")
     assert R.run_folder(spark, "claims").startswith("models/claims_20")
 
 
