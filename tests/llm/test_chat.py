@@ -55,3 +55,10 @@ def test_nulls_empties_repeats(spark):
     back = {r.conv_id: [(x.role, x.text) for x in r.back] for r in made.select("conv_id", chat.read_back(made.formatted).alias("back")).collect()}
     assert back == {None: [("user", "a")], 1: [("", ""), ("user", "b"), ("user", "b")], 2: [("assistant", "x" * 300_000)]}
     assert chat.formatted(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_very_many_turns_of_one_number(spark):
+    rows = [(1, None, "user" if i % 3 else "assistant", f"text {i:05d}") for i in range(4000)] + [(1, 5, "user", "last")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = chat.formatted(df).select(chat.read_back(chat.F.col("formatted")).alias("t")).first().t
+    assert [(x.role, x.text) for x in out] == [(r, t) for _, _, r, t in sorted(rows[:-1], key=lambda r: (r[2], r[3]))] + [("user", "last")]

@@ -45,3 +45,22 @@ def test_thresholds_follow_each_group(spark):
     odd = [(9999, " ".join(f"w{rng.randrange(10**6)} |" for _ in range(60)), "en", "quiet", "")]
     out = {r.doc_id: r.kept for r in quality.judged(spark.createDataFrame(quiet + code + odd, SCHEMA)).collect()}
     assert not out.pop(9999) and all(out.values())
+
+
+def test_no_size_of_a_group_is_a_limit(spark):
+    rng = random.Random(7)
+
+    def doc(i, marks, source):
+        return (i, " ".join(f"w{rng.randrange(10**6)}{' |' * (k % 10 < marks)}" for k in range(60)), "en", source, "")
+
+    many = [doc(i, 0, "plain") for i in range(500)]
+    own = [doc(1000 + i, 4, "tables") for i in range(260)]
+    fences = []
+    for n in (150, 199, 200, 201, 260):
+        df = spark.createDataFrame(many + own[:n], SCHEMA)
+        counted = quality.text_counts(df.select("doc_id", "text", "lang", "source")).withColumn("base_failed", quality.base_failed())
+        scored = counted.withColumn("__s", quality.F.struct(*[c.alias(k) for k, c in quality._signals().items()]))
+        found = {r["__source"]: r["__fences"]["symbols"] for r in quality.thresholds(quality.sketches(scored, "lang", "source")).collect()}
+        fences.append(found["tables"])
+    assert fences[1] == fences[2] == fences[3]  # around what was a limit once
+    assert fences == sorted(fences)  # the more documents say so, the more their own marks are taken as usual
