@@ -113,7 +113,10 @@ def tree_links(values: list[int], radius: int = RADIUS) -> list[tuple[int, int]]
 
 def links(distinct: DataFrame) -> DataFrame:
     """(u, v) links that span every group of the distinct ``fp``; each pair within the radius is in one group."""
-    shards = distinct.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in shard_masks()])).alias("mask", "shard"))
+    spark = distinct.sparkSession
+    # fingerprints are so small that adaptive execution would put very many into a task, which then makes 21 rows of each
+    spread = distinct.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism))
+    shards = spread.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in shard_masks()])).alias("mask", "shard"))
     full = shards.groupBy("mask", "shard").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1).select("fps")
 
     def search(batches: Iterator) -> Iterator:
