@@ -56,10 +56,10 @@ ROWS_AT_ONCE = 256
 BROADCAST_ROWS = 20_000
 
 
-def sized(df: DataFrame) -> DataFrame:
-    """``df`` computed, and marked for broadcast if it has at most ``BROADCAST_ROWS`` rows; else it joins by shuffle."""
+def sized(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` computed, and marked for broadcast if it has at most ``most`` rows; else it joins by shuffle."""
     df = cut(df)
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -35,6 +35,9 @@ SAMPLE = 10_000
 #: Terms looked at, and terms that become voters.
 CANDIDATES, VOTERS = 600, 160
 STEMS = (4, 5, 6, 7)
+#: Terms in enough toxic texts (some 30 bytes each) that may go to every task; there are at most 400 times as many as a toxic
+#: text has on average.
+TERMS = 500_000
 THRESHOLD = 0.3
 #: Distinct words a worker remembers.
 MEMO = 500_000
@@ -85,7 +88,7 @@ def candidates(labelled: DataFrame) -> tuple[list[str], int, int]:
     def part(x, total):
         return F.when(x > 0, x * F.log(x / (F.col("a") + F.col("b")) / (total / (bad + good)))).otherwise(0.0)
 
-    often = sized(counted(1, "a").where(F.col("a") >= max(3, bad // 400)))
+    often = sized(counted(1, "a").where(F.col("a") >= max(3, bad // 400)), TERMS)
     both = often.join(counted(0, "b", often), "term", "left").select("term", "a", F.coalesce("b", F.lit(0)).alias("b"))
     gain = part(F.col("a"), bad) + part(F.col("b"), good)
     return [r.term for r in both.where(F.col("a") >= 4 * F.col("b")).orderBy(gain.desc(), "term").limit(CANDIDATES).collect()], bad, good
