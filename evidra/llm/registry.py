@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("quality", "chat", "toxicity", "bpe", "simhash", "topk", "pii", "warc", "mixing", "langid", "planes", "codebooks")
+MODULES = ("quality", "chat", "toxicity", "bpe", "simhash", "topk", "pii", "warc", "mixing", "langid", "planes", "codebooks", "alignment")
 
 
 def _merged(attribute: str) -> dict:
