@@ -120,7 +120,7 @@ def _sample(train: DataFrame, key: str, text: str, lang: str) -> DataFrame:
 
         for batch in batches:
             made = [grams(v) if v else None for v in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([None if c is None else np.minimum(c, 65535).astype("<u2").tobytes() for c in made], pa.binary())], names=["lang", "counts"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([None if c is None else c.astype("<u4").tobytes() for c in made], pa.binary())], names=["lang", "counts"])
 
     return picked.select("lang", "text").mapInArrow(convert, "lang string, counts binary").where("counts is not null")
 
@@ -176,7 +176,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
         import pyarrow as pa
 
         rows = sorted(table["counts"].to_pylist())
-        x = _vectors(np.stack([np.frombuffer(b, "<u2") for b in rows]).astype(np.float32), idf)
+        x = _vectors(np.stack([np.frombuffer(b, "<u4") for b in rows]).astype(np.float32), idf)
         c, mine, near = _clusters(x)
         least = [float(np.quantile(near[mine == k], REJECTED)) if (mine == k).any() else 0.0 for k in range(len(c))]
         return pa.table({"lang": pa.array([table["lang"][0].as_py()] * len(c), pa.string()), "k": pa.array(range(len(c)), pa.int32()), "centroid": pa.array([row.astype("<f4").tobytes() for row in c], pa.binary()), "least": pa.array(least, pa.float64())})

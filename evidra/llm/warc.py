@@ -14,15 +14,15 @@ Storage goes through pyarrow file systems (local, HDFS, object stores); the fold
 Defined results: a payload of any length is written whole; columns other than page_id, url and html take no part; a null
 payload is an empty one; a null url or id leaves its header out and reads back as null; repeated
 rows are records each, and of equal payloads with equal ids exactly one is the response; an empty table gives an archive
-without records.
+without records.  A file cut off within a record is an error, whatever part of the record is missing (the blank lines after
+the last one may be).  URLs are kept as header values: control characters in them are percent-encoded and read back so, and
+space around them is dropped.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import json
-import re
 import struct
 import uuid
 import zlib
@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualNullSafe, EqualTo, In, InputPartition, IsNotNull, IsNull, StringStartsWith, WriterCommitMessage
 
 from .common import shared_dir, table
+from .storage import file_system, manifests, publish
 
 SCHEMA = "record_type string, record_id string, page_id long, target_uri string, payload_bytes long, payload_digest string, refers_to long, payload binary"
 HEADERS = ("record_type", "record_id", "page_id", "target_uri", "payload_bytes", "payload_digest", "refers_to")
@@ -44,33 +45,12 @@ FILE_BYTES = 256 << 20
 WINDOW = 1 << 20
 #: Records and payload bytes in an Arrow batch.
 BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
-#: A commit writes one of these; readers take the files of all that no other one replaces.
-MANIFEST = re.compile(r"_manifest-[0-9a-f]{32}\.json")
 
 
 def base32_sha1(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def _fs(path: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(path)
-
-
-def _manifests(system, folder: str) -> dict[str, list[str]]:
-    """The valid manifests of a folder by name, with the files that each lists."""
-    from pyarrow import fs
-
-    told = {}
-    for info in system.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
-        if MANIFEST.fullmatch(info.base_name):
-            with system.open_input_file(info.path) as file:
-                told[info.base_name] = json.loads(file.read())
-    gone = {name for x in told.values() for name in x["replaces"]}
-    return {name: x["files"] for name, x in told.items() if name not in gone}
-
-
 def _header_text(value) -> str:
     """A value as it may stand in a header line: control characters are percent-encoded."""
     return "".join(f"%{ord(c):02X}" if ord(c) < 32 or ord(c) == 127 else c for c in str(value))
@@ -109,7 +89,7 @@ class WarcWriter(DataSourceWriter):
         self.path, self.overwrite = path, overwrite
 
     def write(self, rows: Iterator) -> Written:
-        system, folder = _fs(self.path)
+        system, folder = file_system(self.path)
         files: list[str] = []
         out, size = None, 0
         for r in rows:
@@ -130,19 +110,15 @@ class WarcWriter(DataSourceWriter):
 
     def commit(self, messages: list) -> None:
         """One new manifest makes all files visible; of an overwrite, it replaces the older ones, whose files then go."""
-        system, folder = _fs(self.path)
+        system, folder = file_system(self.path)
         system.create_dir(folder, recursive=True)
-        older = _manifests(system, folder) if self.overwrite else {}
-        told = {"files": sorted(f for m in messages if m for f in m.files), "replaces": sorted(older)}
-        name = f"{folder}/_manifest-{uuid.uuid4().hex}.json"
-        with system.open_output_stream(f"{name}.new", compression=None) as out:
-            out.write(json.dumps(told).encode())
-        system.move(f"{name}.new", name)
+        older = manifests(system, folder) if self.overwrite else {}
+        publish(system, folder, sorted(f for m in messages if m for f in m.files), older)
         for path in (x for files in older.values() for x in files):
             system.delete_file(f"{folder}/{path}")
 
     def abort(self, messages: list) -> None:
-        system, folder = _fs(self.path)
+        system, folder = file_system(self.path)
         for name in (f for m in messages if m for f in m.files):
             system.delete_file(f"{folder}/{name}")
 
@@ -179,53 +155,96 @@ def _payload(h: dict[str, str], block: bytes) -> bytes:
     return block.partition(b"\r\n\r\n")[2] if h.get("content-type", "").startswith("application/http") else block
 
 
+def _cut_off() -> ValueError:
+    return ValueError("the archive ends within a record")
+
+
+def _plain_record(window: _Window, at: int) -> tuple[bytes, int]:
+    """The headers of a record that is not compressed, and where its block begins."""
+    n = 4096
+    while (end := (head := window.get(at, min(n, window.size - at))).find(b"\r\n\r\n")) < 0:
+        if at + n >= window.size:
+            raise _cut_off()
+        n *= 2
+    return head[:end], at + end + 4
+
+
+class _Member:
+    """A gzip member, inflated as far as it is asked for."""
+
+    def __init__(self, window: _Window, at: int):
+        self.window, self.at = window, at
+        start = window.get(at, min(24, window.size - at))
+        #: The whole length, if the member tells it.
+        self.size = struct.unpack("<I", start[16:20])[0] if len(start) == 24 and start[3] == 4 and start[12:14] == b"sl" else 0
+        if at + self.size > window.size:
+            raise _cut_off()
+        self.inflate, self.fetched, self.data = zlib.decompressobj(31), 0, b""
+
+    def more(self, most: int = 0) -> None:
+        """Inflates further: up to ``most`` bytes, or all that a fetched stretch gives."""
+        data = self.inflate.unconsumed_tail
+        if not data:
+            step = min(WINDOW if self.fetched else 8192, (self.size or self.window.size - self.at) - self.fetched)
+            if step <= 0:
+                raise _cut_off()
+            data = self.window.get(self.at + self.fetched, step)
+            self.fetched += step
+        self.data += self.inflate.decompress(data, most)
+
+    def headers(self) -> int:
+        """Where the headers end, once they are inflated."""
+        while (end := self.data.find(b"\r\n\r\n")) < 0:
+            if self.inflate.eof:
+                raise ValueError("a record without the end of its headers")
+            self.more(4096)
+        return end
+
+    def rest(self) -> None:
+        parts = [self.data]
+        while not self.inflate.eof:
+            self.data = b""
+            self.more()
+            parts.append(self.data)
+        self.data = b"".join(parts)
+
+    def end(self) -> int:
+        return self.at + (self.size or self.fetched - len(self.inflate.unused_data))
+
+
 def records(window: _Window, wanted) -> Iterator[tuple[dict, bytes | None]]:
     """Columns and payload of each record that ``wanted(columns)`` takes: 2 with the payload, 1 without; 0 skips it."""
     at = 0
     while at < window.size:
         start = window.get(at, min(24, window.size - at))
-        if start[:2] != b"\x1f\x8b":  # a plain record
-            n = 4096
-            while (end := (head := window.get(at, min(n, window.size - at))).find(b"\r\n\r\n")) < 0:
-                if at + n >= window.size:
-                    return
-                n *= 2
-            h = _parse(head[:end])
+        if start[:2] != b"\x1f\x8b":
+            if blank := len(start) - len(start.lstrip(b"\r\n")):
+                at += blank
+                continue
+            head, block = _plain_record(window, at)
+            h = _parse(head)
             length = int(h["content-length"])
-            take = wanted(cols := _columns(h))
-            if take:
-                yield cols, _payload(h, window.get(at + end + 4, length)) if take == 2 else None
-            at += end + 4 + length + 4
+            if block + length > window.size:
+                raise _cut_off()
+            if take := wanted(cols := _columns(h)):
+                yield cols, _payload(h, window.get(block, length)) if take == 2 else None
+            at = block + length + 4
             continue
-        size = struct.unpack("<I", start[16:20])[0] if start[3] == 4 and start[12:14] == b"sl" else 0
-        inflate = zlib.decompressobj(31)
-        fetched = min(size or WINDOW, 8192, window.size - at)
-        data = inflate.decompress(window.get(at, fetched), 4096)
-        while (end := data.find(b"\r\n\r\n")) < 0 and not inflate.eof:
-            more = inflate.unconsumed_tail
-            if not more:
-                step = min(WINDOW, window.size - at - fetched)
-                more = window.get(at + fetched, step)
-                fetched += step
-            data += inflate.decompress(more, 4096)
-        h = _parse(data[:end])
+        member = _Member(window, at)
+        end = member.headers()
+        h = _parse(member.data[:end])
         take = wanted(cols := _columns(h))
-        if take == 2 or not size:
-            parts = [data, inflate.decompress(inflate.unconsumed_tail)]
-            while not inflate.eof:
-                step = min((size or fetched + WINDOW) - fetched, window.size - at - fetched)
-                if step <= 0:
-                    raise ValueError("the archive ends within a record")
-                parts.append(inflate.decompress(window.get(at + fetched, step)))
-                fetched += step
-            if take:
-                length = int(h["content-length"])
-                yield cols, _payload(h, b"".join(parts)[end + 4 : end + 4 + length]) if take == 2 else None
-            at += size or fetched - len(inflate.unused_data)
-        else:
+        if take == 2 or not member.size:
+            member.rest()
+            length = int(h["content-length"])
+            block = member.data[end + 4 : end + 4 + length]
+            if len(block) < length:
+                raise _cut_off()
             if take:
-                yield cols, None
-            at += size
+                yield cols, _payload(h, block) if take == 2 else None
+        elif take:
+            yield cols, None
+        at = member.end()
 
 
 class WarcReader(DataSourceReader):
@@ -249,8 +268,8 @@ class WarcReader(DataSourceReader):
     def partitions(self):
         from pyarrow import fs
 
-        system, folder = _fs(self.path)
-        if told := _manifests(system, folder):
+        system, folder = file_system(self.path)
+        if told := manifests(system, folder):
             names = [f"{folder}/{x}" for files in told.values() for x in files]
         else:
             names = [x.path for x in system.get_file_info(fs.FileSelector(folder)) if x.path.endswith((".warc", ".warc.gz"))]
@@ -269,7 +288,7 @@ class WarcReader(DataSourceReader):
 
         if not part.name:
             return
-        system, _ = _fs(self.path)
+        system, _ = file_system(self.path)
         schema = pa.schema([(n, pa.int64() if n in ("page_id", "payload_bytes", "refers_to") else pa.string()) for n in HEADERS] + [("payload", pa.binary())])
         rows: list[dict] = []
         held = 0

@@ -3,6 +3,7 @@ import gzip
 import hashlib
 import os
 
+import pytest
 from pyspark.sql.datasource import EqualTo, StringContains
 
 from evidra.llm import warc
@@ -108,3 +109,48 @@ def test_many_repeats_of_one_page_give_one_response(spark, tmp_path):
     back = warc.read_archive(spark, path).collect()
     assert len(back) == len(rows) and [(r.page_id, r.target_uri) for r in back if r.record_type == "response"] == [(7, "u")]
     assert {r.refers_to for r in back if r.record_type == "revisit"} == {7}
+
+
+def _read(path, data):
+    path.write_bytes(data)
+    with pytest.raises(ValueError, match="ends within a record"):
+        with open(path, "rb") as file:
+            list(warc.records(warc._Window(_Local(file), len(data)), lambda cols: 2))
+
+
+class _Local:
+    def __init__(self, file):
+        self.file = file
+
+    def read_at(self, n, at):
+        self.file.seek(at)
+        return self.file.read(n)
+
+
+def test_truncated_files(tmp_path):
+    """A cut anywhere in the last record is an error, whether it is compressed, with or without lengths, or plain."""
+    body = os.urandom(3000).hex().encode()
+    raw = warc.record("response", 1, "http://a", body, len(body), digest(body), None)
+    whole = warc.member(raw)
+    for before in (b"", warc.member(raw)):
+        for cut in (3, 15, 20, 30, 60, 200, len(whole) // 2, len(whole) - 1):
+            _read(tmp_path / "cut.gz", before + whole[:cut])
+    foreign = gzip.compress(raw)
+    for cut in (3, 15, 60, 200, len(foreign) // 2, len(foreign) - 1):
+        _read(tmp_path / "cut.gz", foreign + foreign[:cut])
+    for cut in (1, 40, raw.index(b"\r\n\r\n") + 2, raw.index(b"\r\n\r\n") + 4, 3000, len(raw) - 5):
+        _read(tmp_path / "cut", raw + raw[:cut])
+    for kept in (raw, raw[:-4], raw + b"\r\n", raw + b"\r\n" * 30):  # only blank lines are missing, or too many
+        (tmp_path / "ok").write_bytes(kept)
+        with open(tmp_path / "ok", "rb") as file:
+            assert [p for _, p in warc.records(warc._Window(_Local(file), len(kept)), lambda cols: 2)] == [body]
+
+
+def test_truncated_table(spark, tmp_path):
+    pages = spark.createDataFrame([(k, f"http://{k}", "text " * 900 + str(k)) for k in range(5)], "page_id long, url string, html string").coalesce(1)
+    warc.write_pages(pages, f"file://{tmp_path}/w")
+    name = next(x for x in os.listdir(tmp_path / "w") if x.endswith(".gz"))
+    data = (tmp_path / "w" / name).read_bytes()
+    (tmp_path / "w" / name).write_bytes(data[:-40])
+    with pytest.raises(Exception, match="ends within a record"):
+        warc.read_archive(spark, f"file://{tmp_path}/w", "none").collect()
