@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES: tuple[str, ...] = ("plans.text_queries", "plans.table_queries", "plans.sequence_queries", "plans.store_queries")
+MODULES: tuple[str, ...] = ("plans.text_queries", "plans.table_queries", "plans.sequence_queries", "plans.store_queries", "plans.vector_queries")
 
 
 def _merged(attribute: str) -> dict:

@@ -47,6 +47,14 @@ def embed(df: DataFrame, text: str = "text", out: str = "embedding", dims: int =
     return base.select(*[F.col(f"`{c}`") for c in base.columns], slots.alias("slots of the tokens")).mapInArrow(run, schema)
 
 
+def letters(df: DataFrame, text: str = "text", out: str = "embedding") -> DataFrame:
+    """How often each letter from a to z stands in a text, scaled to unit length: a small embedding in expressions only."""
+    counts = F.array(*[(F.length(text) - F.length(F.translate(F.col(text), c + c.upper(), ""))).cast("double") for c in map(chr, range(97, 123))])
+    made = df.withColumn(out, counts)
+    norm = F.sqrt(F.aggregate(out, F.lit(0.0), lambda a, x: a + x * x))
+    return made.withColumn("__norm", norm).withColumn(out, F.when(F.col("__norm") > 0, F.transform(out, lambda x: x / F.col("__norm"))).otherwise(F.col(out))).drop("__norm")
+
+
 def rerank(df: DataFrame, claim: str = "claim", quote: str = "quote", out: str = "relevance") -> DataFrame:
     """Share of the claim's tokens that the quote has."""
     a, b = X.token_set(F.col(claim)), X.token_set(F.col(quote))

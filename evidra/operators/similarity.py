@@ -64,16 +64,6 @@ def cross_match(left: DataFrame, right: DataFrame, threshold: float, k: int, rel
 BLOCK = 4096
 
 
-def _cells(left: DataFrame, right: DataFrame, blocks_l: int, blocks_r: int, same: bool, run, schema: str) -> DataFrame:
-    """Every (left block, right block) as one co-grouped cell; of a self-join only the upper half."""
-    first = F.col("bl") if same else F.lit(0)
-    lefts = left.withColumn("bl", F.pmod(F.xxhash64("id"), F.lit(blocks_l)).cast("int")).withColumn("br", F.explode(F.sequence(first, F.lit(blocks_r - 1)))).withColumn("br", F.col("br").cast("int"))
-    last = F.col("br") if same else F.lit(blocks_l - 1)
-    rights = right.withColumn("br", F.pmod(F.xxhash64("id"), F.lit(blocks_r)).cast("int")).withColumn("bl", F.explode(F.sequence(F.lit(0), last))).withColumn("bl", F.col("bl").cast("int"))
-    rights = rights.select(*[F.col(c).alias(c) for c in rights.columns])  # of a self-join, columns of its own
-    return lefts.groupBy("bl", "br").cogroup(rights.groupBy("bl", "br")).applyInArrow(run, schema)
-
-
 def _unit(table):
     import numpy as np
 
@@ -82,74 +72,6 @@ def _unit(table):
     return x, np.divide(x, n, out=np.zeros_like(x), where=n > 0)
 
 
-def _blocks(df: DataFrame) -> tuple[DataFrame, int]:
-    return df, max(1, -(-df.count() // BLOCK))
-
-
-def cosine_self_join(vectors: DataFrame, key: str, vector: str, threshold: float) -> DataFrame:
-    """(left_id, right_id, cosine) of all pairs with cosine at or above ``threshold``; block products, nothing broadcast."""
-    rows, n = _blocks(vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v")))
-
-    def run(left, right):
-        import numpy as np
-        import pyarrow as pa
-
-        ids_l, ids_r = np.array(left["id"], np.int64), np.array(right["id"], np.int64)
-        out = [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
-        if len(ids_l) and len(ids_r):
-            score = _unit(left)[1] @ _unit(right)[1].T
-            i, j = np.nonzero(score >= threshold - 1e-12)
-            ordered = ids_l[i] < ids_r[j] if left["bl"][0].as_py() == left["br"][0].as_py() else np.ones(len(i), bool)
-            i, j = i[ordered], j[ordered]
-            out = [np.minimum(ids_l[i], ids_r[j]), np.maximum(ids_l[i], ids_r[j]), np.clip(score[i, j], 0, 1)]
-        return pa.table({"left_id": out[0], "right_id": out[1], "cosine": out[2]})
-
-    return _cells(rows, rows, n, n, True, run, "left_id long, right_id long, cosine double")
-
-
-def nearest(queries: DataFrame, vectors: DataFrame, key: str, vector: str, k: int, metric: str = "cosine", group: str | None = None, within: float | None = None) -> DataFrame:
-    """(query_id, vec_id, score, rank): the ``k`` best of ``vectors`` per query, other than itself (and, with ``group``, of
-    other groups only); ``within`` bounds an l2 distance.  Block products keep k per cell; a window merges the cells."""
-
-    def shaped(df):
-        return df.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v"), (F.col(group).cast("long") if group else F.lit(0).cast("long")).alias("g"))
-
-    left, nl = _blocks(shaped(queries))
-    right, nr = _blocks(shaped(vectors))
-    sign = -1 if metric == "cosine" else 1
-
-    def run(a, b):
-        import numpy as np
-        import pyarrow as pa
-
-        ids_a, ids_b = np.array(a["id"], np.int64), np.array(b["id"], np.int64)
-        out = [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
-        if len(ids_a) and len(ids_b):
-            (xa, ua), (xb, ub) = _unit(a), _unit(b)
-            if metric == "cosine":
-                score = np.clip(ua @ ub.T, 0, 1)
-            else:
-                score = np.stack([np.sqrt(np.square(xb - row).sum(axis=1)) for row in xa])
-            bad = ids_a[:, None] == ids_b[None, :]
-            if group:
-                bad |= np.array(a["g"], np.int64)[:, None] == np.array(b["g"], np.int64)[None, :]
-            if within is not None:
-                bad |= score >= within
-            order = np.where(bad, np.inf, sign * score)
-            kth = min(k, len(ids_b)) - 1
-            bars = np.partition(order, kth, axis=1)[:, kth]
-            near = [np.flatnonzero(row <= bar) for row, bar in zip(order, bars, strict=True)]  # the k best and what ties with the last
-            top = [x[np.lexsort((ids_b[x], row[x]))][:k] for x, row in zip(near, order, strict=True)]
-            i, j = np.repeat(np.arange(len(ids_a)), [len(x) for x in top]), np.concatenate(top)
-            good = np.isfinite(order[i, j])
-            out = [ids_a[i[good]], ids_b[j[good]], score[i[good], j[good]]]
-        return pa.table({"query_id": out[0], "vec_id": out[1], "score": out[2]})
-
-    found = _cells(left, right, nl, nr, False, run, "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy(sign * F.col("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-
-
 def _group_cells(left: DataFrame, right: DataFrame, run, schema: str) -> DataFrame:
     """Every (left block, right block) of each group ``g`` as one co-grouped cell; blocks hold about ``BLOCK`` rows."""
     parts = lambda df, name: df.groupBy("g").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))

@@ -1,18 +1,17 @@
 """Tables of episodes, chunks, claims, quotes and links: ids in input order, lookups, writes from one lineage, updates.
 
-A write goes to a version of its own; readers of a table see the version that the last finished commit names.
+A write makes a version of its own; readers of a table see the newest one.
 """
 
 from __future__ import annotations
 
-import json
 import time
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import versions
 from .ranking import ordered_rank
 
 
@@ -96,25 +95,17 @@ def would_change(table: DataFrame, ids: DataFrame, key: str, changes: Column) ->
     return table.where(changes).join(ids.select(key).distinct(), key, "left_semi").agg(F.count("*").alias("n"))
 
 
-def commit(tables: dict[str, DataFrame], path: str) -> str:
-    """Writes all tables as one version below ``path``; only its manifest, written last, makes it the one that is read."""
-    version = uuid.uuid4().hex
-    spark = next(iter(tables.values())).sparkSession
-    for name, df in tables.items():
-        df.write.parquet(f"{path}/{version}/{name}")
-    told = json.dumps({"version": version, "tables": sorted(tables)})
-    stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    spark.range(1).coalesce(1).select(stamp.alias("at"), F.lit(told).alias("told")).write.mode("append").parquet(f"{path}/_versions")
-    return version
+def commit(tables: dict[str, DataFrame], path: str) -> int:
+    """Writes all tables below ``path`` as one new version (see ``versions``), and gives its number."""
+    return versions.write(tables, path)
 
 
 def current(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """A table of the last committed version."""
-    told = spark.read.parquet(f"{path}/_versions").orderBy(F.desc("at")).first()["told"]
-    return spark.read.parquet(f"{path}/{json.loads(told)['version']}/{name}")
+    """A table of the newest version."""
+    return versions.read(spark, path, name)
 
 
-def save(claims: DataFrame, quotes: DataFrame, links: DataFrame, path: str) -> str:
+def save(claims: DataFrame, quotes: DataFrame, links: DataFrame, path: str) -> int:
     """Claims (embeddings still null), quotes and links of one run, as one version."""
     bare = claims.withColumn("embedding", F.lit(None).cast("array<float>")) if "embedding" not in claims.columns else claims
     return commit({"claims": bare, "quotes": quotes, "links": links.dropDuplicates(["claim_id", "quote_id"])}, path)

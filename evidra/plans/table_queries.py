@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import evidence as E
 from ..operators import metrics as M
 from ..operators import selection as S
+from ..operators import metric as D
 from ..operators import similarity as V
 from .common import table
 
@@ -174,26 +175,26 @@ def _vectors(spark, sf_dir):
 
 
 def cosine_self_join(spark, sf_dir):
-    out = V.cosine_self_join(_vectors(spark, sf_dir), "vec_id", "embedding", 0.3)
+    out = D.similar_pairs(_vectors(spark, sf_dir), "vec_id", "embedding", 0.3)
     return out.withColumn("cosine", F.round("cosine", 6))
 
 
 def cosine_topk(spark, sf_dir):
     vectors = _vectors(spark, sf_dir)
-    out = V.nearest(vectors.where("vec_id % 20 = 0"), vectors, "vec_id", "embedding", 30)
+    out = D.nearest(vectors.where("vec_id % 20 = 0"), vectors, "vec_id", "embedding", 30)
     return out.select("query_id", "rank", "vec_id", F.round("score", 6).alias("cosine"))
 
 
 def l2_knn_other_group(spark, sf_dir):
     vectors = _vectors(spark, sf_dir)
-    out = V.nearest(vectors, vectors, "vec_id", "embedding", 10, "l2", "label", 1.3)
+    out = D.nearest(vectors, vectors, "vec_id", "embedding", 10, "l2", "label", 1.3)
     return out.select("query_id", "rank", "vec_id", F.round("score", 6).alias("distance"))
 
 
 def dup_components(spark, sf_dir):
     vectors = _vectors(spark, sf_dir)
-    pairs = V.cosine_self_join(vectors, "vec_id", "embedding", 0.36)
-    return V.link_components(vectors.select(F.col("vec_id").alias("node")), pairs.select(F.col("left_id").alias("u"), F.col("right_id").alias("v"))).withColumnRenamed("node", "vec_id")
+    links = D.similar_links(vectors, "vec_id", "embedding", 0.36)
+    return V.link_components(vectors.select(F.col("vec_id").alias("node")), links).withColumnRenamed("node", "vec_id")
 
 
 def merge_representative(spark, sf_dir):

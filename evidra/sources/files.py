@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import json
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..operators import versions
 
 
 def examples(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -62,15 +62,11 @@ def write_result(spark: SparkSession, result: dict, path: str) -> None:
     spark.createDataFrame([(json.dumps(result),)], "value string").coalesce(1).write.mode("append").text(path)
 
 
-def snapshot(df: DataFrame, path: str) -> str:
-    """Writes a new version beside the older ones; the list of versions names it once it is complete."""
-    spark = df.sparkSession
-    target = f"{path}/version={uuid.uuid4().hex}"
-    df.write.parquet(target)
-    spark.range(1).coalesce(1).select(F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at"), F.lit(target).alias("target")).write.mode("append").parquet(f"{path}/_versions")
-    return target
+def snapshot(df: DataFrame, path: str) -> int:
+    """Writes a new version beside the older ones, and gives its number."""
+    return versions.write({"snapshot": df}, path)
 
 
 def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """The last complete version."""
-    return spark.read.parquet(spark.read.parquet(f"{path}/_versions").orderBy(F.desc("at")).first()["target"])
+    return versions.read(spark, path, "snapshot")
