@@ -45,7 +45,14 @@ ASCII_MARKS = r"!-/:-@\[-`{-~"
 STRETCH = f"[{SPACE}]*+(?:[^\\W_]++(?:(?=[{ASCII_MARKS}])|[^{SPACE}]*+)|[^{SPACE}]++)|[{SPACE}]+"
 
 
-class _Memo(dict):
+def byte_characters() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for: printable ones for themselves, others from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [x for x in range(256) if x not in set(shown)]
+    return {chr(x): x for x in shown} | {chr(256 + k): x for k, x in enumerate(rest)}
+
+
+class Memo(dict):
     """Values made on first use, up to so many bytes; of the generation before, those asked for again survive."""
 
     def __init__(self, make, size_of):
@@ -98,8 +105,8 @@ class Codec:
         self.shorter = [-1] * self.ids  # the longest token that a token begins with
         for text in merging:
             self.shorter[self.whole[text]] = next((self.whole[text[:k]] for k in range(len(text) - 1, 0, -1) if text[:k] in merging), -1)
-        self.pairs = _Memo(self._adjacent, lambda key, value: ENTRY_BYTES + 32)
-        self.known = _Memo(self._stretch, lambda key, value: ENTRY_BYTES + 100 + len(key) + len(value) if len(key) <= MEMO_CHARS else 0)
+        self.pairs = Memo(self._adjacent, lambda key, value: ENTRY_BYTES + 32)
+        self.known = Memo(self._stretch, lambda key, value: ENTRY_BYTES + 100 + len(key) + len(value) if len(key) <= MEMO_CHARS else 0)
 
     @classmethod
     def load(cls, path: str, pattern: str) -> Codec:

@@ -10,9 +10,9 @@ the network once, ids never.  A task holds one block and the document table of o
 their first keys, adds up where each begins and publishes one manifest; files of lost or repeated tasks are in no manifest
 and never read.  Reading takes a task per file, files being of bounded size.
 
-Encoding keeps a memo of bounded bytes per Python worker from stretches of text (white space, then a word or the rest) to
-their ids, which join to those of the text because no piece of a byte-level tokenizer runs across a stretch; what the memo
-does not know goes to the tokenizers library, a batch of rows at once.  Texts that hold the string of an added token, and
+Encoding keeps two memos of bounded bytes per Python worker, from words and from the stretches in them (letters, or the rest)
+to their ids, which join to those of the text because no piece of a byte-level tokenizer runs across; what they do not know
+goes to the tokenizers library.  Texts that hold the string of an added token, and
 all texts of another kind of tokenizer, go to the library whole.
 
 Defined results: a null text is an empty one, and has the end id alone; a text of any length is encoded whole and may run
@@ -31,13 +31,14 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage
 
-from .bpe import ENTRY_BYTES, MEMO, MEMO_CHARS, STRETCH
+from .bpe import ENTRY_BYTES, MEMO_CHARS, STRETCH, Memo, byte_characters
 from .common import arrow_column, shared_dir, table
 from .storage import file_system, manifests, publish
 
@@ -48,6 +49,12 @@ LEVEL = 3
 #: Ids in an Arrow batch that is read, about.
 BATCH_IDS = 1 << 21
 END_ID = 2
+#: Letters before this one are letters in every version of Unicode.
+LETTERS = "\u0250"
+
+
+def _size(key: str, value: bytes) -> int:
+    return 2 * ENTRY_BYTES + len(key) + len(value) if len(key) <= MEMO_CHARS else 0
 
 
 class Encoder:
@@ -63,42 +70,37 @@ class Encoder:
         self.added = [x["content"] for x in spec.get("added_tokens", [])]
         self.cuts = not spec.get("normalizer") and not spec.get("truncation") and not spec.get("padding") and (kind.get("type"), kind.get("use_regex"), kind.get("add_prefix_space")) == ("ByteLevel", True, False)
         self.stretches = re.compile(STRETCH).findall
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.held = 0
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [array("I", x.ids).tobytes() for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, wanted: set[str]) -> dict[str, bytes]:
-        """The ids of stretches that the memo does not hold; it keeps those that are short, in two generations."""
-        found = {x: self.older[x] for x in wanted if x in self.older}
-        new = [x for x in wanted if x not in found]
-        found.update(zip(new, self._library(new), strict=True))
-        kept = {k: v for k, v in found.items() if len(k) <= MEMO_CHARS}
-        size = sum(2 * ENTRY_BYTES + len(k) + len(v) for k, v in kept.items())
-        if self.held + size > MEMO:
-            self.older, self.known, self.held = self.known, {}, 0
-        self.held += size
-        self.known.update(kept)
-        return found
-
-    def packed(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, four bytes each."""
-        whole = [not self.cuts or any(a in x for a in self.added) for x in texts]
-        parts = [[] if w else self.stretches(x) for x, w in zip(texts, whole, strict=True)]
-        get = self.known.__getitem__
+        self.words, self.parts = Memo(self._word, _size), Memo(self._part, _size)
+        self.letters = {byte: char for char, byte in byte_characters().items()}
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _part(self, text: str) -> bytes:
+        """Letters with at most a space before them are one piece, which goes to the merges at once."""
+        core = text[1:] if text[:1] == " " else text
+        if core.isalpha() and max(core) < LETTERS:
+            return array("I", [t.id for t in self.library.model.tokenize(text.encode().decode("latin-1").translate(self.letters))]).tobytes()
+        return self._whole(text)
+
+    def _text(self, text: str) -> bytes:
+        return b"".join(map(self.parts.__getitem__, self.stretches(text)))
+
+    def _word(self, text: str) -> bytes:
+        """The ids of a space and a word that begins with no white space."""
+        if not text or text[0].isspace():
+            raise KeyError(text)
+        return self._text(" " + text)
+
+    def packed(self, text: str) -> bytes:
+        """The ids of ``text``, four bytes each."""
+        if not self.cuts or any(a in text for a in self.added):
+            return self._whole(text)
+        words = text.split(" ")  # a space goes to the character after it, if that is no white space; so a text may be cut before it
         try:
-            made = [b"".join(map(get, x)) for x in parts]
+            return self._text(words[0]) + b"".join(map(self.words.__getitem__, islice(words, 1, None)))
         except KeyError:
-            seen = set().union(*parts)
-            held = {x: self.known[x] for x in seen if x in self.known}  # a new generation may begin meanwhile
-            held.update(self._learn(seen - held.keys()))
-            made = [b"".join(map(held.__getitem__, x)) for x in parts]
-        if any(whole):
-            rest = iter(self._library([x for x, w in zip(texts, whole, strict=True) if w]))
-            made = [next(rest) if w else x for x, w in zip(made, whole, strict=True)]
-        return made
+            return self._text(text)
 
 
 _LOADED: dict[str, Encoder] = {}
@@ -125,7 +127,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", end:
         import numpy as np
         import pyarrow as pa
 
-        made = [x + last for x in encoder(path).packed([v or "" for v in values])]
+        made = [encoder(path).packed(v or "") + last for v in values]
         offsets = np.zeros(len(made) + 1, np.int32)
         np.cumsum([len(x) // 4 for x in made], out=offsets[1:])
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(made), np.int32)))
