@@ -42,7 +42,7 @@ def fold_quotes(rows: list[dict], overlap: float = 0.5, similar: float = 0.8) ->
     kept itself.  The result carries ``merged``, the ids it absorbed, and comes by falling score.
 
     Only kept quotes that reach beyond a quote's start, or have one of as many of its rarest words as a similar one must
-    have, are looked at.  ``overlap`` and ``similar`` are above zero.
+    have, are looked at.  ``overlap`` and ``similar`` are above zero.  Rows may bring their ``bag`` of words.
     """
     import math
     import re
@@ -55,7 +55,7 @@ def fold_quotes(rows: list[dict], overlap: float = 0.5, similar: float = 0.8) ->
     reaching: set[int] = set()
     having: dict[str, set[int]] = defaultdict(set)
     for row in sorted(rows, key=lambda r: (r["start_pos"], r["quote_id"])):
-        row = dict(row, merged=[row["quote_id"]], bag=bag(row["text"]))
+        row = dict(row, merged=[row["quote_id"]], bag=frozenset(row["bag"]) if "bag" in row else bag(row["text"]))
         reaching -= {i for i in reaching if kept[i]["end_pos"] <= row["start_pos"]}
         near = set(reaching)
         for word in sorted(row["bag"], key=lambda w: len(having[w]))[: len(row["bag"]) - math.ceil(similar * len(row["bag"])) + 1]:
@@ -83,21 +83,70 @@ def fold_quotes(rows: list[dict], overlap: float = 0.5, similar: float = 0.8) ->
     return kept
 
 
-def folded(quotes: DataFrame, group: str) -> DataFrame:
-    """``fold_quotes`` per group; a group is the quotes of one episode."""
+#: Quotes of an episode that are folded in one task; larger episodes are cut into islands.
+FOLDED_AT_ONCE = 20_000
+#: Characters of an episode in which islands are told apart by one task.
+STRETCH = 1 << 16
 
-    def run(table):
-        import pyarrow as pa
 
-        rows = table.to_pylist()
-        out = [{k: v for k, v in r.items() if k != "bag"} | {group: rows[0][group]} for r in fold_quotes(rows)]
-        return pa.Table.from_pylist(out, schema)
+def islands(quotes: DataFrame, group: str, similar: float = 0.8) -> DataFrame:
+    """``quotes`` with ``island``: quotes of different islands of a group never meet while the group is folded.
 
+    A kept quote has the words of one of the quotes that it absorbed and reaches from the first to the last of them.  So quotes
+    that resemble each other, directly or in a chain, are put together with all that lies between them: each such
+    component spans a stretch of the episode, and stretches that overlap are one island.
+    """
+    from .similarity import jaccard_join, link_components
+
+    rows = quotes.withColumn("node", F.struct(F.col(group).alias("g"), F.col("quote_id").alias("q")))
+    pairs = jaccard_join(rows, "node", "text", similar, group, stars=True).select(F.col("left_id").alias("u"), F.col("right_id").alias("v"))
+    linked = link_components(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), pairs)
+    whole = rows.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    hulls = whole.groupBy("component").agg(F.min("start_pos").alias("s"), F.max("end_pos").alias("e")).withColumn("e", F.greatest("s", "e"))
+    # An island begins where nothing before reaches: the farthest end so far, by stretches and then within each.
+    told = hulls.withColumn("g", F.col("component.g")).withColumn("at", F.floor(F.col("s") / STRETCH))
+    order = [F.col("s"), F.col("e"), F.col("component")]
+    ends = told.groupBy("g", "at").agg(F.max("e").alias("far"))
+    in_turn = Window.partitionBy("g").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    before = ends.select(F.col("g").alias("bg"), F.col("at").alias("bat"), F.max("far").over(in_turn).alias("reached"))
+    in_order = Window.partitionBy("g", "at").orderBy(*order)
+    same = F.col("g").eqNullSafe(F.col("bg")) & (F.col("at") == F.col("bat"))
+    seen = told.join(before, same).drop("bg", "bat")
+    seen = seen.withColumn("reached", F.greatest("reached", F.max("e").over(in_order.rowsBetween(Window.unboundedPreceding, -1))))
+    starts = seen.withColumn("own", F.when(F.col("reached").isNull() | (F.col("reached") <= F.col("s")), F.struct("s", "component")))
+    # The island of a stretch of text is the last one that began at or before it.
+    latest = starts.groupBy("g", "at").agg(F.max("own").alias("last"))
+    carried = latest.select(F.col("g").alias("bg"), F.col("at").alias("bat"), F.last("last", True).over(in_turn).alias("open"))
+    named = starts.join(carried, same).drop("bg", "bat")
+    island = F.coalesce(F.last("own", True).over(in_order.rowsBetween(Window.unboundedPreceding, 0)), F.col("open"))
+    found = named.select("component", island["component"].alias("island"))
+    return whole.join(found, "component").drop("component", "node")
+
+
+def folded(quotes: DataFrame, group: str, overlap: float = 0.5, similar: float = 0.8) -> DataFrame:
+    """``fold_quotes`` per group; a group is the quotes of one episode.  Large groups fold island by island, with the same result."""
     import pyarrow as pa
 
+    from .similarity import checkpoint_folder
+
     kinds = {"quote_id": pa.int64(), "start_pos": pa.int64(), "end_pos": pa.int64(), "text": pa.string(), "score": pa.float64(), "speaker": pa.string(), "ts": pa.int64()}
     schema = pa.schema([(group, pa.int64()), *kinds.items(), ("merged", pa.list_(pa.int64()))])
-    return quotes.select(F.col(group).cast("long").alias(group), *kinds).groupBy(group).applyInArrow(run, f"{group} long, {QUOTE}, merged array<long>")
+
+    def run(table):
+        rows = [{k: v for k, v in r.items() if k != "island"} for r in table.to_pylist()]
+        out = [{k: v for k, v in r.items() if k != "bag"} | {group: rows[0][group]} for r in fold_quotes(rows, overlap, similar)]
+        return pa.Table.from_pylist(out, schema)
+
+    told = f"{group} long, {QUOTE}, merged array<long>"
+    rows = quotes.select(F.col(group).cast("long").alias(group), *[F.col(c).cast(str(k).replace("int64", "long")) if k == pa.int64() else F.col(c) for c, k in kinds.items()], X.token_set(F.col("text")).alias("bag"))
+    checkpoint_folder(quotes.sparkSession)
+    rows = rows.checkpoint()
+    sizes = rows.groupBy(group).agg(F.count("*").alias("__n")).where(F.col("__n") > FOLDED_AT_ONCE).select(F.col(group).alias("__large")).checkpoint()
+    if sizes.isEmpty():
+        return rows.groupBy(group).applyInArrow(run, told)
+    is_large = F.col(group).eqNullSafe(F.col("__large"))
+    small, large = rows.join(sizes, is_large, "left_anti"), rows.join(sizes, is_large, "left_semi")
+    return small.groupBy(group).applyInArrow(run, told).unionByName(islands(large, group, similar).groupBy(group, "island").applyInArrow(run, told))
 
 
 def remapped(links: DataFrame, originals: DataFrame, kept: DataFrame, group: str, mode: str = "lineage") -> DataFrame:

@@ -9,7 +9,7 @@ from ..operators import metrics as M
 from ..operators import selection as S
 from ..operators import metric as D
 from ..operators import similarity as V
-from .common import table
+from .common import table, token_set
 
 LATEST = 3
 
@@ -160,7 +160,7 @@ def span_overlap_pairs(spark, sf_dir):
 
 def quote_dedup_fold(spark, sf_dir):
     quotes = _spans(spark, sf_dir).select("conv_id", "quote_id", "start_pos", "end_pos", "text", (F.col("quote_id") % 10 / 10.0).alias("score"), F.col("role").alias("speaker"), F.col("start_pos").alias("ts"))
-    return E.folded(quotes, "conv_id").select("conv_id", "quote_id", "start_pos", "end_pos", "score", "merged")
+    return E.folded(quotes, "conv_id").select("conv_id", "quote_id", "start_pos", "end_pos", "score", F.array_join("merged", ",").alias("merged"))
 
 
 def quote_remap(spark, sf_dir):
@@ -213,6 +213,21 @@ _R = "round(coalesce(({a}) / nullif(CAST({b} AS DOUBLE), 0), 0), 6)"
 _FOUR = "['SUPPORTS', 'RELATED', 'NEUTRAL', 'CONTRADICTS']"
 _OFF = "off AS (SELECT conv_id, turn, role, text, CAST(coalesce(sum(length(coalesce(text, '')) + 2) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_pos, length(coalesce(text, '')) AS size FROM conversations)"
 _SPAN = f"{_OFF}, sp AS (SELECT conv_id, conv_id * 100 + turn AS id, CAST(floor(start_pos * 0.7::DOUBLE) AS BIGINT) AS s, start_pos + size AS e FROM off)"
+
+
+def _fold(score: str) -> str:
+    """DuckDB CTEs that end in ``kept``: quotes folded one by one, the kept ones of a conversation in a list."""
+    near = "(least(k.e - k.s, q.e - q.s) > 0 AND greatest(0, least(k.e, q.e) - greatest(k.s, q.s)) / CAST(least(k.e - k.s, q.e - q.s) AS DOUBLE) >= 0.5) OR (len(k.bag) > 0 AND len(q.bag) > 0 AND len(list_intersect(k.bag, q.bag)) / CAST(len(k.bag) + len(q.bag) - len(list_intersect(k.bag, q.bag)) AS DOUBLE) >= 0.8)"
+    grown = "{'id': k.id, 's': least(k.s, q.s), 'e': greatest(k.e, q.e), 'n': greatest(k.n, q.size), 'bag': CASE WHEN k.n >= q.size THEN k.bag ELSE q.bag END, 'score': greatest(k.score, q.score), 'merged': list_append(k.merged, q.id)}"
+    fresh = "{'id': q.id, 's': q.s, 'e': q.e, 'n': q.size, 'bag': q.bag, 'score': q.score, 'merged': [q.id]}"
+    return f"""WITH RECURSIVE {_SPAN.replace("SELECT conv_id, conv_id * 100", "SELECT text, size, conv_id, conv_id * 100")},
+q AS (SELECT *, {score} AS score, {token_set("coalesce(text, '')")} AS bag, row_number() OVER (PARTITION BY conv_id ORDER BY s, id) AS turn FROM sp),
+f AS (SELECT conv_id, CAST(0 AS BIGINT) AS turn, list_filter([{{'id': CAST(0 AS BIGINT), 's': CAST(0 AS BIGINT), 'e': CAST(0 AS BIGINT), 'n': CAST(0 AS BIGINT), 'bag': ['']::VARCHAR[], 'score': 0::DOUBLE, 'merged': [CAST(0 AS BIGINT)]}}], lambda k: false) AS kept FROM (SELECT DISTINCT conv_id FROM q)
+UNION ALL SELECT conv_id, turn, CASE WHEN coalesce(spot, 0) = 0 THEN list_append(kept, {fresh.replace("q.", "")}) ELSE list_transform(kept, lambda k, i: CASE WHEN i = spot THEN {grown.replace("q.", "")} ELSE k END) END
+FROM (SELECT q.*, f.kept, list_position(list_transform(f.kept, lambda k: {near}), true) AS spot FROM f JOIN q ON q.conv_id = f.conv_id AND q.turn = f.turn + 1)),
+kept AS (SELECT conv_id, unnest(kept) AS k FROM (SELECT conv_id, arg_max(kept, turn) AS kept FROM f GROUP BY conv_id))"""
+
+
 _COS = "list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))"
 _DIST = "list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))"
 
@@ -246,6 +261,8 @@ ORACLE_SQL = {
     "segment_offsets": f"WITH {_OFF} SELECT conv_id, turn, start_pos, start_pos + size AS end_pos FROM off",
     "segment_join_text": "SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS full_text FROM conversations GROUP BY conv_id",
     "span_overlap_pairs": f"WITH {_SPAN}, o AS (SELECT a.id AS left_id, b.id AS right_id, (least(a.e, b.e) - greatest(a.s, b.s)) / CAST(least(a.e - a.s, b.e - b.s) AS DOUBLE) AS ov FROM sp a JOIN sp b ON a.conv_id = b.conv_id AND a.id < b.id AND a.s < b.e AND b.s < a.e AND a.e > a.s AND b.e > b.s) SELECT left_id, right_id, round(ov, 6) AS overlap FROM o WHERE ov >= 0.25",
+    "quote_dedup_fold": f"{_fold('(id % 10) / 10.0::DOUBLE')} SELECT conv_id, k.id AS quote_id, k.s AS start_pos, k.e AS end_pos, k.score, array_to_string(k.merged, ',') AS merged FROM kept",
+    "quote_remap": f"{_fold('0.5::DOUBLE')} SELECT DISTINCT m % 7 AS claim_id, kept_id FROM (SELECT k.id AS kept_id, unnest(k.merged) AS m FROM kept)",
     "cosine_self_join": f"SELECT a.vec_id AS left_id, b.vec_id AS right_id, round({_COS}, 6) AS cosine FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id WHERE {_COS} >= 0.3",
     "cosine_topk": f"SELECT a.vec_id AS query_id, CAST(row_number() OVER w AS INTEGER) AS rank, b.vec_id, round(greatest(0, least(1, {_COS})), 6) AS cosine FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0 WINDOW w AS (PARTITION BY a.vec_id ORDER BY greatest(0, least(1, {_COS})) DESC, b.vec_id) QUALIFY row_number() OVER w <= 30",
     "l2_knn_other_group": f"SELECT a.vec_id AS query_id, CAST(row_number() OVER w AS INTEGER) AS rank, b.vec_id, round({_DIST}, 6) AS distance FROM embeddings a JOIN embeddings b ON a.label <> b.label WHERE {_DIST} < 1.3 WINDOW w AS (PARTITION BY a.vec_id ORDER BY {_DIST}, b.vec_id) QUALIFY row_number() OVER w <= 10",
