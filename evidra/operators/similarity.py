@@ -12,28 +12,38 @@ from ..functions import text as X
 def jaccard_join(df: DataFrame, key: str, text: str, threshold: float, block: str | None = None, stars: bool = False) -> DataFrame:
     """(left_id, right_id, jaccard) of all pairs of rows, in a block, at or above ``threshold``.
 
-    A pair at the threshold shares a token among the rarest few of each row, so only those are joined on.  A null block
-    is a block of its own.  With ``stars``, rows of equal token sets are not expanded into all pairs: the smallest key
+    A pair at the threshold shares a token among the rarest few of each row, so only those are joined on, and pairs that
+    cannot share enough by their lengths and the places of that token are left.  A null block is a block of its own.  With ``stars``, rows of equal token sets are not expanded into all pairs: the smallest key
     stands for them in all others, and pairs with each of them (1.0).
     """
     blocks = F.struct(F.col(block).isNull().alias("none"), F.col(block).alias("value")) if block else F.lit(0)
-    sets = df.select(key, blocks.alias("__block"), X.token_set(F.col(text)).alias("set")).where(F.size("set") > 0)
+    words = df.select(F.col(key).alias("__key"), blocks.alias("__block"), F.explode(X.tokens(X.normalized(F.col(text)))).alias("token")).distinct()
+    checkpoint_folder(df.sparkSession)
+    words = words.checkpoint()
+    # Tokens of a block become numbers, which sets of any size compare by hashing.
+    common = words.groupBy("__block", "token").agg(F.count("*").alias("df")).withColumn("id", F.monotonically_increasing_id()).checkpoint()
+    each = words.join(common, ["__block", "token"]).select("__key", "__block", "id", "df")
+    sets = each.groupBy("__key", "__block").agg(F.sort_array(F.collect_list(F.struct("df", "id"))).alias("set")).select("__key", "__block", F.col("set.id").alias("set"))
     copies = None
     if stars:
-        sorted_sets = sets.select(key, "__block", F.array_sort("set").alias("set"))
-        firsts = sorted_sets.groupBy("__block", "set").agg(F.min(key).alias("first"), F.count("*").alias("n"))
+        firsts = sets.groupBy("__block", "set").agg(F.min("__key").alias("first"), F.count("*").alias("n")).checkpoint()
         again = firsts.where("n > 1").select("__block", "set", "first")
-        copies = sorted_sets.join(again, ["__block", "set"]).where(F.col(key) != F.col("first")).select(F.col("first").alias("left_id"), F.col(key).alias("right_id"), F.lit(1.0).alias("jaccard"))
-        sets = firsts.select(F.col("first").alias(key), "__block", "set")
-    each = sets.select(key, "__block", F.size("set").alias("n"), F.explode("set").alias("token"))
-    common = each.groupBy("__block", "token").agg(F.count("*").alias("df"))
-    rarest = Window.partitionBy(key).orderBy("df", "token")
-    prefix = each.join(common, ["__block", "token"]).withColumn("k", F.row_number().over(rarest)).where(F.col("k") <= F.col("n") - F.ceil(F.col("n") * threshold) + 1)
-    a = prefix.select(F.col(key).alias("left_id"), "__block", "token", F.col("n").alias("na"))
-    b = prefix.select(F.col(key).alias("right_id"), "__block", "token", F.col("n").alias("nb"))
-    pairs = a.join(b, ["__block", "token"]).where((F.col("left_id") < F.col("right_id")) & (F.least("na", "nb") >= threshold * F.greatest("na", "nb"))).select("left_id", "right_id").distinct()
-    left, right = (sets.select(F.col(key).alias(f"{side}_id"), F.col("set").alias(f"{side}_set")) for side in ("left", "right"))
-    scored = pairs.join(left, "left_id").join(right, "right_id").select("left_id", "right_id", X.jaccard(F.col("left_set"), F.col("right_set")).alias("jaccard"))
+        copies = sets.join(again, ["__block", "set"]).where(F.col("__key") != F.col("first")).select(F.col("first").alias("left_id"), F.col("__key").alias("right_id"), F.lit(1.0).alias("jaccard"))
+        sets = firsts.select(F.col("first").alias("__key"), "__block", "set")
+    else:
+        sets = sets.checkpoint()
+    # Sets stand in one order, rarest tokens first; of a pair, one of as many as may be missing and one more is shared.
+    n = F.size("set")
+    prefix = sets.select("__key", n.alias("n"), F.posexplode(F.slice("set", F.lit(1), (n - F.ceil(n * threshold) + 1).cast("int"))).alias("pos", "id"))
+    a = prefix.select(F.col("__key").alias("left_id"), "id", F.col("n").alias("na"), F.col("pos").alias("pa"))
+    b = prefix.select(F.col("__key").alias("right_id"), "id", F.col("n").alias("nb"), F.col("pos").alias("pb"))
+    # What can be shared at most: a token before, this one, and as many after it as the shorter rest has.
+    most = F.least("pa", "pb") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    alike = (F.least("na", "nb") >= threshold * F.greatest("na", "nb")) & (most * (1 + threshold) >= threshold * (F.col("na") + F.col("nb")) - 1e-6)
+    pairs = a.join(b, "id").where((F.col("left_id") < F.col("right_id")) & alike).select("left_id", "right_id").distinct()
+    left, right = (sets.select(F.col("__key").alias(f"{side}_id"), F.col("set").alias(f"{side}_set")) for side in ("left", "right"))
+    shared = F.size(F.array_intersect("left_set", "right_set"))
+    scored = pairs.join(left, "left_id").join(right, "right_id").select("left_id", "right_id", (shared / (F.size("left_set") + F.size("right_set") - shared)).alias("jaccard"))
     found = scored.where(F.col("jaccard") >= threshold)
     return found.unionByName(copies) if stars else found
 
