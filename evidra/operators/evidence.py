@@ -179,3 +179,18 @@ def merged_groups(members: DataFrame, group: str, key: str, text: str, confidenc
     """One row per group: the member of highest confidence, then longest text, then smallest key, and all chunk ids."""
     best = F.struct(F.col(confidence), F.length(text), -F.col(key))
     return members.groupBy(group).agg(F.max_by(key, best).alias("representative"), F.max_by(text, best).alias("text"), F.sort_array(F.collect_set(chunk)).alias("chunks"), F.count("*").alias("n_members"))
+
+
+def merged_claims(claims: DataFrame, links: DataFrame, quotes: DataFrame, group: str) -> tuple[DataFrame, DataFrame]:
+    """Claims of a ``group`` as one, and their quotes united.
+
+    ``claims``: claim_id, ``group`` (a number), claim, confidence, chunk_id; ``links``: claim_id, quote_id; ``quotes``: as for
+    ``folded``.  Gives a row per group (the best claim, by confidence, then length, then smallest id; its chunk and all
+    chunks; how many claims, quotes before and after), and the folded quotes of each group.
+    """
+    united = links.join(claims.select("claim_id", group), "claim_id").join(quotes.drop(group), "quote_id")
+    kept = folded(united.select(group, *[c for c in quotes.columns if c != group]), group)
+    best = F.struct("confidence", F.length("claim").alias("n"), -F.col("claim_id"))
+    whole = claims.groupBy(F.col(group).cast("long").alias(group)).agg(F.max_by("claim_id", best).alias("claim_id"), F.max_by("claim", best).alias("claim"), F.max("confidence").alias("confidence"), F.max_by("chunk_id", best).alias("chunk_id"), F.sort_array(F.collect_set("chunk_id")).alias("chunks"), F.count("*").alias("merged_from"))
+    counts = kept.groupBy(group).agg(F.sum(F.size("merged")).alias("quotes_before"), F.count("*").alias("quotes_after"))
+    return whole.join(counts, group, "left").na.fill(0, ["quotes_before", "quotes_after"]), kept

@@ -67,11 +67,35 @@ def classify_ads(df: DataFrame, text: str = "claim") -> DataFrame:
     return df.withColumn("is_ad", F.coalesce(ad, F.lit(False))).withColumn("ad_confidence", F.when(F.col("is_ad"), 0.95).otherwise(0.0))
 
 
+#: The confidence of an answer that gives none.
+NO_CONFIDENCE_GIVEN = 0.8
+
+
 def entail(df: DataFrame, claim: str = "claim", quote: str = "quote", supports: float = 0.7, related: float = 0.3) -> DataFrame:
-    """``relationship`` by token containment; what cannot be told is NEUTRAL."""
+    """``relationship`` by token containment, with its ``entailment_score`` and a ``reasoning``; what cannot be told is NEUTRAL."""
     share = rerank(df, claim, quote, "__share")
     relation = F.when(F.col("__share") >= supports, "SUPPORTS").when(F.col("__share") >= related, "RELATED").otherwise("NEUTRAL")
-    return share.withColumn("relationship", relation).withColumn("entailment_score", F.col("__share")).drop("__share")
+    told = F.format_string("the quote has %.0f%% of the claim's words", F.col("__share") * 100)
+    return share.withColumn("relationship", relation).withColumn("reasoning", told).withColumn("entailment_score", F.col("__share")).drop("__share")
+
+
+def entailment_answers(df: DataFrame, answer: str = "answer", error: str | None = None) -> DataFrame:
+    """``relationship``, ``reasoning`` and ``entailment_score`` from a model's JSON answers.
+
+    An answer without a confidence has ``NO_CONFIDENCE_GIVEN``.  Where there is no answer, or none with a known relationship, or an
+    ``error``, the pair is NEUTRAL with confidence 0 and the reason why.
+    """
+    made = F.from_json(X.fenced(F.col(answer)), "relationship string, reasoning string, confidence string")
+    relation = F.upper(X.trimmed(made["relationship"]))
+    failed = F.col(error) if error else F.lit(None).cast("string")
+    good = failed.isNull() & F.coalesce(relation.isin("SUPPORTS", "RELATED", "NEUTRAL", "CONTRADICTS"), F.lit(False))
+    why = F.when(failed.isNotNull(), F.concat(F.lit("Error during validation: "), F.substring(failed, 1, 100))).otherwise("no readable answer")
+    score = F.coalesce(made["confidence"].try_cast("double"), F.lit(NO_CONFIDENCE_GIVEN))
+    return (
+        df.withColumn("relationship", F.when(good, relation).otherwise("NEUTRAL"))
+        .withColumn("reasoning", F.when(good, F.coalesce(made["reasoning"], F.lit(""))).otherwise(why))
+        .withColumn("entailment_score", F.when(good, F.greatest(F.lit(0.0), F.least(F.lit(1.0), score))).otherwise(0.0))
+    )
 
 
 def validate(df: DataFrame, text: str = "claim") -> DataFrame:

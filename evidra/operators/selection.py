@@ -69,3 +69,12 @@ def get_or_create(quotes: DataFrame, stored: DataFrame, keys: list[str], id_col:
 def new_links(links: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     """Links that do not exist yet, each once."""
     return links.dropDuplicates(keys).join(stored.select(*keys), keys, "left_anti")
+
+
+def merge_links(links: DataFrame, stored: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame, int]:
+    """All links after a merge, those that it added, and how many these are; what is stored already stays as it is."""
+    from .similarity import checkpoint_folder
+
+    checkpoint_folder(links.sparkSession)
+    added = new_links(links, stored, keys).checkpoint()
+    return stored.unionByName(added), added, added.count()
