@@ -42,3 +42,14 @@ def capped(claims: DataFrame, key: str, cap: int = 10) -> DataFrame:
 
 def valid_claims(df: DataFrame, key: str, text: str = "text", cap: int = 10) -> DataFrame:
     return capped(judged_claims(sentence_rows(df, text)).where("reason = 'valid'"), key, cap)
+
+
+def claims_from_answers(answers: DataFrame, key: str, answer: str = "answer", error: str | None = None, cap: int = 10) -> DataFrame:
+    """(key, pos, sentence) of a model's answers: the claims of each list, split ones joined again, those that are valid, the longest.
+
+    An answer that holds no list, an ``error`` or no answer at all gives no claims.
+    """
+    listed = F.coalesce(X.repaired_claims(F.filter(F.transform(X.json_list(X.fenced(F.col(answer))), X.trimmed), lambda x: x != "")), F.array().cast("array<string>"))
+    items = F.when(F.col(error).isNull(), listed).otherwise(F.array().cast("array<string>")) if error else listed
+    rows = answers.select(key, F.posexplode(items).alias("pos", "sentence"))
+    return capped(judged_claims(rows).where("reason = 'valid'"), key, cap).select(key, "pos", "sentence")

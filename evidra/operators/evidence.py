@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions import text as X
@@ -34,119 +35,112 @@ def overlapping(spans: DataFrame, group: str, key: str, start: str = "start_pos"
     return once.select(F.least("a.id", "b.id").alias("left_id"), F.greatest("a.id", "b.id").alias("right_id"), share.alias("overlap")).where(F.col("overlap") >= least)
 
 
-QUOTE = "quote_id long, start_pos long, end_pos long, text string, score double, speaker string, ts long"
+QUOTE = {"quote_id": "long", "start_pos": "long", "end_pos": "long", "text": "string", "score": "double", "speaker": "string", "ts": "long"}
+#: Quotes are the same if they share this much of the shorter, or this much of their words within so many characters.
+OVERLAP, SIMILAR, NEAR = 0.5, 0.8, 20
 
 
-def fold_quotes(rows: list[dict], overlap: float = 0.5, similar: float = 0.8) -> list[dict]:
-    """Keeps quotes from left to right: each joins the first kept one that it overlaps or resembles, which grows, or is
-    kept itself.  The result carries ``merged``, the ids it absorbed, and comes by falling score.
+def fold_quotes(rows: list[dict], overlap: float = OVERLAP, similar: float = SIMILAR, near: int = NEAR, carried: tuple[str, ...] = ()) -> list[dict]:
+    """Keeps quotes from left to right: each joins the first kept one that is the same, which grows, or is kept itself.
 
-    Only kept quotes that reach beyond a quote's start, or have one of as many of its rarest words as a similar one must
-    have, are looked at.  ``overlap`` and ``similar`` are above zero.  Rows may bring their ``bag`` of words.
+    The longer text, the higher score and both ends' reach are kept, the speaker and time of the first, and of ``carried`` columns those of the
+    quote with the higher score.  The result has ``merged``, the ids it absorbed, and comes by falling score.  Only kept quotes that
+    reach beyond a quote's start, or begin less than ``near`` before it, are looked at.  Rows may bring their ``bag`` of words.
     """
-    import math
     import re
-    from collections import defaultdict
 
-    def bag(text: str) -> frozenset:
-        return frozenset(re.sub(r"\s+", " ", re.sub(r"[^\w\s]", "", text.lower())).split())
+    def bag(text: str | None) -> frozenset:
+        return frozenset(re.sub(r"\s+", " ", re.sub(r"[^\w\s]", "", (text or "").lower())).split())
 
     kept: list[dict] = []
-    reaching: set[int] = set()
-    having: dict[str, set[int]] = defaultdict(set)
+    open_to: list[int] = []  # kept ones that later quotes may still join, in order
     for row in sorted(rows, key=lambda r: (r["start_pos"], r["quote_id"])):
-        row = dict(row, merged=[row["quote_id"]], bag=frozenset(row["bag"]) if "bag" in row else bag(row["text"]))
-        reaching -= {i for i in reaching if kept[i]["end_pos"] <= row["start_pos"]}
-        near = set(reaching)
-        for word in sorted(row["bag"], key=lambda w: len(having[w]))[: len(row["bag"]) - math.ceil(similar * len(row["bag"])) + 1]:
-            near |= having[word]
-        for at in sorted(near):
-            k = kept[at]
-            shorter = min(k["end_pos"] - k["start_pos"], row["end_pos"] - row["start_pos"])
-            shared = max(0, min(k["end_pos"], row["end_pos"]) - max(k["start_pos"], row["start_pos"]))
-            union = len(k["bag"] | row["bag"])
-            if (shorter > 0 and shared / shorter >= overlap) or (k["bag"] and row["bag"] and len(k["bag"] & row["bag"]) / union >= similar):
-                first = k if k["start_pos"] <= row["start_pos"] else row
+        row = dict(row, merged=[row["quote_id"]], bag=frozenset(row["bag"]) if "bag" in row else bag(row["text"]), text=row["text"] or "")
+        at, mine = row["start_pos"], row["bag"]
+        open_to = [i for i in open_to if kept[i]["end_pos"] > at or kept[i]["start_pos"] + near > at]
+        for i in open_to:
+            k = kept[i]
+            shorter = min(k["end_pos"] - k["start_pos"], row["end_pos"] - at)
+            shared = max(0, min(k["end_pos"], row["end_pos"]) - max(k["start_pos"], at))
+            alike = at - k["start_pos"] < near and k["bag"] and mine and len(k["bag"] & mine) / len(k["bag"] | mine) >= similar
+            if (shorter > 0 and shared / shorter >= overlap) or alike:
                 longer = k if len(k["text"]) >= len(row["text"]) else row
-                for word in k["bag"] - longer["bag"]:
-                    having[word].discard(at)
-                k.update(text=longer["text"], bag=longer["bag"], score=max(k["score"], row["score"]), speaker=first["speaker"], ts=first["ts"], merged=k["merged"] + row["merged"])
-                k.update(start_pos=min(k["start_pos"], row["start_pos"]), end_pos=max(k["end_pos"], row["end_pos"]))
+                better = k if k["score"] >= row["score"] else row
+                k.update(text=longer["text"], bag=longer["bag"], score=better["score"], merged=k["merged"] + row["merged"], end_pos=max(k["end_pos"], row["end_pos"]), **{c: better[c] for c in carried})
                 break
         else:
-            at, k = len(kept), row
+            open_to.append(len(kept))
             kept.append(row)
-        for word in k["bag"]:
-            having[word].add(at)
-        reaching.add(at)
     kept.sort(key=lambda r: (-r["score"], r["start_pos"], r["quote_id"]))
     return kept
 
 
+def same_quotes(quotes: DataFrame, group: str, key: str, overlap: float = OVERLAP, similar: float = SIMILAR, near: int = NEAR) -> DataFrame:
+    """(left_id, right_id) of quotes of a group that are the same: they overlap enough, or begin less than ``near`` apart with alike words."""
+    close = quotes.select(F.col(group).alias("g"), F.col(key).alias("id"), F.col("start_pos").alias("s"), X.token_set(F.col("text")).alias("bag")).where(F.size("bag") > 0)
+    place = F.floor(F.col("s") / near)
+    a = close.withColumn("bin", F.explode(F.array(place - 1, place, place + 1))).alias("a")
+    b = close.withColumn("bin", place).alias("b")
+    met = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.bin") == F.col("b.bin")) & (F.col("a.id") < F.col("b.id")) & (F.abs(F.col("a.s") - F.col("b.s")) < near))
+    alike = met.where(X.jaccard(F.col("a.bag"), F.col("b.bag")) >= similar).select(F.col("a.id").alias("left_id"), F.col("b.id").alias("right_id"))
+    return overlapping(quotes, group, key, least=overlap).select("left_id", "right_id").unionByName(alike).distinct()
+
+
 #: Quotes of an episode that are folded in one task; larger episodes are cut into islands.
 FOLDED_AT_ONCE = 20_000
 #: Characters of an episode in which islands are told apart by one task.
 STRETCH = 1 << 16
 
 
-def islands(quotes: DataFrame, group: str, similar: float = 0.8) -> DataFrame:
+def islands(quotes: DataFrame, group: str, near: int = NEAR) -> DataFrame:
     """``quotes`` with ``island``: quotes of different islands of a group never meet while the group is folded.
 
-    A kept quote has the words of one of the quotes that it absorbed and reaches from the first to the last of them.  So quotes
-    that resemble each other, directly or in a chain, are put together with all that lies between them: each such
-    component spans a stretch of the episode, and stretches that overlap are one island.
+    A kept quote reaches as far as the farthest of those that it absorbed, and is alike to none that begins ``near`` or more
+    after it.  So an island ends where no quote before reaches, by its end or by ``near``.
     """
-    from .similarity import jaccard_join, link_components
-
-    rows = quotes.withColumn("node", F.struct(F.col(group).alias("g"), F.col("quote_id").alias("q")))
-    pairs = jaccard_join(rows, "node", "text", similar, group, stars=True).select(F.col("left_id").alias("u"), F.col("right_id").alias("v"))
-    linked = link_components(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), pairs)
-    whole = rows.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    hulls = whole.groupBy("component").agg(F.min("start_pos").alias("s"), F.max("end_pos").alias("e")).withColumn("e", F.greatest("s", "e"))
-    # An island begins where nothing before reaches: the farthest end so far, by stretches and then within each.
-    told = hulls.withColumn("g", F.col("component.g")).withColumn("at", F.floor(F.col("s") / STRETCH))
-    order = [F.col("s"), F.col("e"), F.col("component")]
-    ends = told.groupBy("g", "at").agg(F.max("e").alias("far"))
-    in_turn = Window.partitionBy("g").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    before = ends.select(F.col("g").alias("bg"), F.col("at").alias("bat"), F.max("far").over(in_turn).alias("reached"))
-    in_order = Window.partitionBy("g", "at").orderBy(*order)
-    same = F.col("g").eqNullSafe(F.col("bg")) & (F.col("at") == F.col("bat"))
-    seen = told.join(before, same).drop("bg", "bat")
-    seen = seen.withColumn("reached", F.greatest("reached", F.max("e").over(in_order.rowsBetween(Window.unboundedPreceding, -1))))
-    starts = seen.withColumn("own", F.when(F.col("reached").isNull() | (F.col("reached") <= F.col("s")), F.struct("s", "component")))
-    # The island of a stretch of text is the last one that began at or before it.
-    latest = starts.groupBy("g", "at").agg(F.max("own").alias("last"))
-    carried = latest.select(F.col("g").alias("bg"), F.col("at").alias("bat"), F.last("last", True).over(in_turn).alias("open"))
-    named = starts.join(carried, same).drop("bg", "bat")
-    island = F.coalesce(F.last("own", True).over(in_order.rowsBetween(Window.unboundedPreceding, 0)), F.col("open"))
-    found = named.select("component", island["component"].alias("island"))
-    return whole.join(found, "component").drop("component", "node")
-
-
-def folded(quotes: DataFrame, group: str, overlap: float = 0.5, similar: float = 0.8) -> DataFrame:
+    rows = quotes.withColumn("__reach", F.greatest("end_pos", F.col("start_pos") + near)).withColumn("__at", F.floor(F.col("start_pos") / STRETCH))
+    # The farthest reach so far, by stretches (a row each) and then within each; likewise the last quote that began an island.
+    in_turn = Window.partitionBy(group).orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    in_order = Window.partitionBy(group, "__at").orderBy("start_pos", "quote_id")
+    before, upto = in_order.rowsBetween(Window.unboundedPreceding, -1), in_order.rowsBetween(Window.unboundedPreceding, 0)
+    same = F.col(group).eqNullSafe(F.col("__bg")) & (F.col("__at") == F.col("__bat"))
+
+    def carried(df: DataFrame, value: Column, window_of, name: str) -> DataFrame:
+        sums = df.groupBy(group, "__at").agg(value.alias("__sum"))
+        return df.join(sums.select(F.col(group).alias("__bg"), F.col("__at").alias("__bat"), window_of("__sum").over(in_turn).alias(name)), same).drop("__bg", "__bat")
+
+    reached = carried(rows, F.max("__reach"), F.max, "__reached")
+    reached = reached.withColumn("__reached", F.greatest("__reached", F.max("__reach").over(before)))
+    begins = F.col("__reached").isNull() | (F.col("__reached") <= F.col("start_pos"))
+    started = reached.withColumn("__own", F.when(begins, F.struct("start_pos", "quote_id")))
+    opened = carried(started, F.max("__own"), lambda c: F.last(c, True), "__open")
+    island = F.coalesce(F.last("__own", True).over(upto), F.col("__open"))
+    return opened.withColumn("island", island).select(*quotes.columns, "island")
+
+
+def folded(quotes: DataFrame, group: str, overlap: float = OVERLAP, similar: float = SIMILAR, near: int = NEAR, carried: tuple[str, ...] = ()) -> DataFrame:
     """``fold_quotes`` per group; a group is the quotes of one episode.  Large groups fold island by island, with the same result."""
     import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
 
     from .similarity import checkpoint_folder
 
-    kinds = {"quote_id": pa.int64(), "start_pos": pa.int64(), "end_pos": pa.int64(), "text": pa.string(), "score": pa.float64(), "speaker": pa.string(), "ts": pa.int64()}
-    schema = pa.schema([(group, pa.int64()), *kinds.items(), ("merged", pa.list_(pa.int64()))])
+    shape = T.StructType([T.StructField(group, T.LongType()), *[T.StructField(c, T._parse_datatype_string(k)) for c, k in QUOTE.items()], *[quotes.schema[c] for c in carried], T.StructField("merged", T.ArrayType(T.LongType()))])
+    names = [c for c in shape.names if c != "merged"]
 
     def run(table):
-        rows = [{k: v for k, v in r.items() if k != "island"} for r in table.to_pylist()]
-        out = [{k: v for k, v in r.items() if k != "bag"} | {group: rows[0][group]} for r in fold_quotes(rows, overlap, similar)]
-        return pa.Table.from_pylist(out, schema)
+        rows = table.select([*names, "bag"]).to_pylist()
+        out = [{k: v for k, v in r.items() if k != "bag"} for r in fold_quotes(rows, overlap, similar, near, carried)]
+        return pa.Table.from_pylist(out, to_arrow_schema(shape))
 
-    told = f"{group} long, {QUOTE}, merged array<long>"
-    rows = quotes.select(F.col(group).cast("long").alias(group), *[F.col(c).cast(str(k).replace("int64", "long")) if k == pa.int64() else F.col(c) for c, k in kinds.items()], X.token_set(F.col("text")).alias("bag"))
     checkpoint_folder(quotes.sparkSession)
-    rows = rows.checkpoint()
-    sizes = rows.groupBy(group).agg(F.count("*").alias("__n")).where(F.col("__n") > FOLDED_AT_ONCE).select(F.col(group).alias("__large")).checkpoint()
-    if sizes.isEmpty():
-        return rows.groupBy(group).applyInArrow(run, told)
+    rows = quotes.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in shape if f.name != "merged"], X.token_set(F.coalesce("text", F.lit(""))).alias("bag")).checkpoint()
+    large = rows.groupBy(group).agg(F.count("*").alias("__n")).where(F.col("__n") > FOLDED_AT_ONCE).select(F.col(group).alias("__large")).checkpoint()
+    if large.isEmpty():
+        return rows.groupBy(group).applyInArrow(run, shape)
     is_large = F.col(group).eqNullSafe(F.col("__large"))
-    small, large = rows.join(sizes, is_large, "left_anti"), rows.join(sizes, is_large, "left_semi")
-    return small.groupBy(group).applyInArrow(run, told).unionByName(islands(large, group, similar).groupBy(group, "island").applyInArrow(run, told))
+    cut = islands(rows.join(large, is_large, "left_semi"), group, near)
+    return rows.join(large, is_large, "left_anti").groupBy(group).applyInArrow(run, shape).unionByName(cut.groupBy(group, "island").applyInArrow(run, shape))
 
 
 def remapped(links: DataFrame, originals: DataFrame, kept: DataFrame, group: str, mode: str = "lineage") -> DataFrame:

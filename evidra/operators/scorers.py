@@ -115,3 +115,14 @@ def keywords(df: DataFrame, key: str, text: str, topics: list[str], most: int =
     made = ranked.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct((-F.col("weight")).alias("w"), "word"))), lambda x: x["word"]).alias("keywords"))
     named = df.select(key, F.array_intersect(X.token_set(F.col(text)), F.array(*map(F.lit, topics)) if topics else F.array().cast("array<string>")).alias("topics"))
     return named.join(made, key, "left")
+
+
+#: What stands before the name of a guest, and a name: two to four capitalised words.
+GUEST_CUE = r"(?:[Gg]uests?:? (?:is |are )?|[Ww]elcome,? (?:back,? )?|[Jj]oined by |[Ff]eaturing |[Ii]nterview with )"
+NAME = r"\p{Lu}[\p{L}'-]+(?: \p{Lu}[\p{L}'-]+){1,3}"
+
+
+def guests(df: DataFrame, text: str = "text", out: str = "guests") -> DataFrame:
+    """``guests``: names that a text gives after a cue such as "Guest:" or "joined by", each once, in order; without links."""
+    names = F.array_distinct(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"{GUEST_CUE}({NAME})"), F.lit(1)))
+    return df.withColumn(out, F.transform(names, lambda n: F.struct(n.alias("name"), F.array().cast("array<string>").alias("urls"))))

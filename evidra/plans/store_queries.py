@@ -286,11 +286,28 @@ def claims_cells(spark, sf_dir):
 
 _FORMATS = {"numbered": "%d (%dm 5s):\n%s", "named": "Guest %d:\n[1:%02d:07] %s", "lettered": "Speaker %s (1h %dm 9s):\n%s"}
 
+def claims_from_answers(spark, sf_dir):
+    """Claims of model answers: the sentences of each document as a JSON list, every seventh answer lost, every eleventh no list."""
+    sentences = C.sentence_rows(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    listed = sentences.groupBy("doc_id").agg(F.to_json(F.transform(F.sort_array(F.collect_list(F.struct("pos", "sentence"))), lambda x: x["sentence"])).alias("all"))
+    answer = F.when(F.col("doc_id") % 11 == 0, F.lit("I cannot say.")).otherwise(F.concat(F.lit("```json\n"), "all", F.lit("\n```")))
+    made = listed.select("doc_id", answer.alias("answer"), F.when(F.col("doc_id") % 7 == 0, F.lit("timeout")).alias("failed"))
+    return C.claims_from_answers(made, "doc_id", "answer", "failed").select("doc_id", F.length("sentence").alias("n_chars"), F.md5("sentence").alias("claim_md5"))
+
+
+def guest_names(spark, sf_dir):
+    """Guests named in texts: in documents, with an introduction before every third."""
+    docs = table(spark, sf_dir, "documents")
+    intro = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("Welcome back, Anna Lee Moore. Guest: Élise Dupont-Roy and joined by John O'Neil; "), F.coalesce("text", F.lit("")))).otherwise(F.col("text"))
+    made = M.guests(docs.select("doc_id", intro.alias("text")))
+    return made.where(F.size("guests") > 0).select("doc_id", F.array_join(F.transform("guests", lambda g: g["name"]), "|").alias("names"))
+
+
 QUERIES = {f.__name__: f for f in (
     chunk_ids, claims_with_chunk_ids, merged_chunk_ids, episode_lookup, missing_ids, has_claims, selectable_episodes, latest_with_repeats, embedding_update, dry_run_count,
     claims_by_chunk, batch_summary, skip_reasons, batch_errors, funnel_averages, distinct_positions, cache_statistics, cache_keys, index_statistics, split_probes, split_artefacts,
     guests_shape, prompt_json, components_json, hybrid_score, judge_score, ad_judge_points, reviewed_chunks, reviewed_totals, reviewed_by, formatted_durations, scored_once,
-    cross_corpus_match, transcript_formats, unmarked_transcripts, transcript_choice, text_slices, tolerant_lists, claims_cells,
+    cross_corpus_match, claims_from_answers, guest_names, transcript_formats, unmarked_transcripts, transcript_choice, text_slices, tolerant_lists, claims_cells,
 )}
 
 
@@ -341,6 +358,8 @@ def _oracles() -> dict[str, str]:
         "formatted_durations": f"WITH t AS (SELECT o_orderkey AS episode_id, 'Podcast ' || o_custkey AS podcast, CAST(floor(o_totalprice / 7) AS BIGINT) AS s FROM orders) SELECT episode_id, podcast, {dur} AS took, printf('%.3f → %.3f (%s%.3f)', 0.5::DOUBLE, (s % 8) / 8.0::DOUBLE, CASE WHEN s % 8 >= 4 THEN '+' ELSE '' END, (s % 8) / 8.0::DOUBLE - 0.5::DOUBLE) AS compared FROM t",
         "scored_once": "SELECT l_orderkey AS episode_id, l_linenumber AS line, l_partkey AS part, l_partkey % 5 = 0 AS is_ad FROM lineitem",
         "cross_corpus_match": f"{rows}, a AS (SELECT doc_id, pos, {token_set('s')} AS t FROM r), b AS (SELECT item_id, {token_set('text')} AS t FROM benchmark), j AS (SELECT doc_id, pos, item_id, len(list_intersect(a.t, b.t)) AS c, len(a.t) AS na, len(b.t) AS nb FROM a, b WHERE len(a.t) > 0 AND len(b.t) > 0 AND list_has_any(a.t, b.t)), k AS (SELECT *, row_number() OVER (PARTITION BY doc_id, pos ORDER BY c / (na + nb - c) DESC, item_id) AS n FROM j WHERE c / (na + nb - c) >= 0.1), f AS (SELECT * FROM k WHERE n <= 10 AND c / na >= 0.3 QUALIFY row_number() OVER (PARTITION BY doc_id, pos ORDER BY n) = 1) SELECT doc_id, CAST(pos AS INTEGER) AS pos, item_id, round(c / (na + nb - c), 6) AS jaccard, round(c / na, 6) AS relevance FROM f",
+        "claims_from_answers": f"{rows}, f AS (SELECT * FROM r WHERE reason = 'valid' AND doc_id % 7 <> 0 AND doc_id % 11 <> 0 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length(s) DESC, pos) <= 10) SELECT doc_id, CAST(length(s) AS INTEGER) AS n_chars, md5(s) AS claim_md5 FROM f",
+        "guest_names": "WITH t AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'Welcome back, Anna Lee Moore. Guest: Élise Dupont-Roy and joined by John O''Neil; ' || coalesce(text, '') ELSE text END AS text FROM documents), g AS (SELECT doc_id, regexp_extract_all(text, '(?:[Gg]uests?:? (?:is |are )?|[Ww]elcome,? (?:back,? )?|[Jj]oined by |[Ff]eaturing |[Ii]nterview with )(\\p{Lu}[\\p{L}''-]+(?: \\p{Lu}[\\p{L}''-]+){1,3})', 1) AS n FROM t) SELECT doc_id, array_to_string(n, '|') AS names FROM (SELECT doc_id, list_filter(n, lambda x, i: list_position(n, x) = i) AS n FROM g) WHERE len(n) > 0",
         "unmarked_transcripts": f"WITH t AS (SELECT doc_id, text, {tidy.replace(clean, 'text')} AS c FROM documents) SELECT doc_id, CAST(0 AS BIGINT) AS seg_no, 'Speaker_Unknown' AS speaker, CAST(0 AS INTEGER) AS seconds, CAST(0 AS BIGINT) AS raw_start, length(text) AS raw_end, md5(c) AS clean_md5 FROM t WHERE c <> ''",
         "transcript_choice": "SELECT event_id, CASE WHEN event_type IN ('view', 'click') THEN props ELSE event_type END AS text, CASE event_type WHEN 'view' THEN 'lettered' WHEN 'click' THEN 'named' ELSE 'numbered' END AS format FROM events",
         "text_slices": "SELECT doc_id, CASE WHEN length(source) + 200 <= length(text) THEN trim(substr(text, length(source) + 1, 200), chr(32) || chr(9) || chr(10) || chr(13) || chr(12) || chr(11)) ELSE '' END AS stretch FROM documents",

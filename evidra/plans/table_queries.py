@@ -158,6 +158,14 @@ def span_overlap_pairs(spark, sf_dir):
     return out.withColumn("overlap", F.round("overlap", 6))
 
 
+def same_quotes(spark, sf_dir):
+    """Turns that are the same quote: of overlapping spans, or beginning close by with alike words; and each turn said again at once."""
+    spans = _spans(spark, sf_dir)
+    again = spans.select("conv_id", (F.col("quote_id") + 50).alias("quote_id"), (F.col("end_pos") + 1).alias("start_pos"), (F.col("end_pos") + 1 + F.length("text")).alias("end_pos"), "text", "role")
+    short = F.length("text") < 25
+    return E.same_quotes(spans.where(~short).unionByName(spans.where(short)).unionByName(again.where(short)), "conv_id", "quote_id")
+
+
 def quote_dedup_fold(spark, sf_dir):
     quotes = _spans(spark, sf_dir).select("conv_id", "quote_id", "start_pos", "end_pos", "text", (F.col("quote_id") % 10 / 10.0).alias("score"), F.col("role").alias("speaker"), F.col("start_pos").alias("ts"))
     return E.folded(quotes, "conv_id").select("conv_id", "quote_id", "start_pos", "end_pos", "score", F.array_join("merged", ",").alias("merged"))
@@ -217,7 +225,7 @@ _SPAN = f"{_OFF}, sp AS (SELECT conv_id, conv_id * 100 + turn AS id, CAST(floor(
 
 def _fold(score: str) -> str:
     """DuckDB CTEs that end in ``kept``: quotes folded one by one, the kept ones of a conversation in a list."""
-    near = "(least(k.e - k.s, q.e - q.s) > 0 AND greatest(0, least(k.e, q.e) - greatest(k.s, q.s)) / CAST(least(k.e - k.s, q.e - q.s) AS DOUBLE) >= 0.5) OR (len(k.bag) > 0 AND len(q.bag) > 0 AND len(list_intersect(k.bag, q.bag)) / CAST(len(k.bag) + len(q.bag) - len(list_intersect(k.bag, q.bag)) AS DOUBLE) >= 0.8)"
+    near = "(least(k.e - k.s, q.e - q.s) > 0 AND greatest(0, least(k.e, q.e) - greatest(k.s, q.s)) / CAST(least(k.e - k.s, q.e - q.s) AS DOUBLE) >= 0.5) OR (q.s - k.s < 20 AND len(k.bag) > 0 AND len(q.bag) > 0 AND len(list_intersect(k.bag, q.bag)) / CAST(len(k.bag) + len(q.bag) - len(list_intersect(k.bag, q.bag)) AS DOUBLE) >= 0.8)"
     grown = "{'id': k.id, 's': least(k.s, q.s), 'e': greatest(k.e, q.e), 'n': greatest(k.n, q.size), 'bag': CASE WHEN k.n >= q.size THEN k.bag ELSE q.bag END, 'score': greatest(k.score, q.score), 'merged': list_append(k.merged, q.id)}"
     fresh = "{'id': q.id, 's': q.s, 'e': q.e, 'n': q.size, 'bag': q.bag, 'score': q.score, 'merged': [q.id]}"
     return f"""WITH RECURSIVE {_SPAN.replace("SELECT conv_id, conv_id * 100", "SELECT text, size, conv_id, conv_id * 100")},
@@ -234,7 +242,7 @@ _DIST = "list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE
 QUERIES = {f.__name__: f for f in (
     latest_n_per_podcast, unprocessed_in_window, to_validate_in_window, unprocessed_all, to_validate_all, processing_stats, claim_counts_zero_fill,
     min_claims_eligible, claims_in_state, flag_and_verify, get_or_create_links, merge_links_anti, confidence_score, confidence_filter, confusion_metrics, fourway_metrics,
-    judge_penalties, label_distribution, deterministic_split, segment_offsets, segment_join_text, span_overlap_pairs, quote_dedup_fold, quote_remap,
+    judge_penalties, label_distribution, deterministic_split, segment_offsets, segment_join_text, span_overlap_pairs, same_quotes, quote_dedup_fold, quote_remap,
     cosine_self_join, cosine_topk, l2_knn_other_group, dup_components, merge_representative,
 )}
 
@@ -261,6 +269,7 @@ ORACLE_SQL = {
     "segment_offsets": f"WITH {_OFF} SELECT conv_id, turn, start_pos, start_pos + size AS end_pos FROM off",
     "segment_join_text": "SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS full_text FROM conversations GROUP BY conv_id",
     "span_overlap_pairs": f"WITH {_SPAN}, o AS (SELECT a.id AS left_id, b.id AS right_id, (least(a.e, b.e) - greatest(a.s, b.s)) / CAST(least(a.e - a.s, b.e - b.s) AS DOUBLE) AS ov FROM sp a JOIN sp b ON a.conv_id = b.conv_id AND a.id < b.id AND a.s < b.e AND b.s < a.e AND a.e > a.s AND b.e > b.s) SELECT left_id, right_id, round(ov, 6) AS overlap FROM o WHERE ov >= 0.25",
+    "same_quotes": f"WITH {_SPAN.replace('SELECT conv_id, conv_id * 100', 'SELECT text, size, conv_id, conv_id * 100')}, q AS (SELECT conv_id, id, s, e, text FROM sp UNION ALL SELECT conv_id, id + 50, e + 1, e + 1 + length(text), text FROM sp WHERE length(text) < 25), t AS (SELECT *, {token_set('text')} AS bag FROM q) SELECT a.id AS left_id, b.id AS right_id FROM t a JOIN t b ON a.conv_id = b.conv_id AND a.id < b.id WHERE (a.e > a.s AND b.e > b.s AND a.s < b.e AND b.s < a.e AND (least(a.e, b.e) - greatest(a.s, b.s)) / CAST(least(a.e - a.s, b.e - b.s) AS DOUBLE) >= 0.5) OR (abs(a.s - b.s) < 20 AND len(a.bag) > 0 AND len(b.bag) > 0 AND len(list_intersect(a.bag, b.bag)) / CAST(len(a.bag) + len(b.bag) - len(list_intersect(a.bag, b.bag)) AS DOUBLE) >= 0.8)",
     "quote_dedup_fold": f"{_fold('(id % 10) / 10.0::DOUBLE')} SELECT conv_id, k.id AS quote_id, k.s AS start_pos, k.e AS end_pos, k.score, array_to_string(k.merged, ',') AS merged FROM kept",
     "quote_remap": f"{_fold('0.5::DOUBLE')} SELECT DISTINCT m % 7 AS claim_id, kept_id FROM (SELECT k.id AS kept_id, unnest(k.merged) AS m FROM kept)",
     "cosine_self_join": f"SELECT a.vec_id AS left_id, b.vec_id AS right_id, round({_COS}, 6) AS cosine FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id WHERE {_COS} >= 0.3",

@@ -127,7 +127,7 @@ def brute_fold(rows):
             short = min(k["e"] - k["s"], r["end_pos"] - r["start_pos"])
             inter = max(0, min(k["e"], r["end_pos"]) - max(k["s"], r["start_pos"]))
             a, b = bag(k["t"]), bag(r["text"])
-            if (short > 0 and inter >= 0.5 * short) or (a and b and len(a & b) >= 0.8 * len(a | b)):
+            if (short > 0 and inter >= 0.5 * short) or (r["start_pos"] - k["s"] < 20 and a and b and len(a & b) >= 0.8 * len(a | b)):
                 k["s"], k["e"] = min(k["s"], r["start_pos"]), max(k["e"], r["end_pos"])
                 k["t"] = k["t"] if len(k["t"]) >= len(r["text"]) else r["text"]
                 k["m"].append(r["quote_id"])

@@ -112,3 +112,13 @@ def test_a_database_table_in_ranges(spark, tmp_path):
     spark.range(100).select(F.col("id").alias("EPISODE"), (F.col("id") % 7).alias("PODCAST")).write.jdbc(url, "episodes", properties=driver)
     got = S.jdbc(spark, url, "episodes", "EPISODE", 0, 100, 4, **driver)
     assert got.rdd.getNumPartitions() == 4 and got.count() == 100 and got.where("PODCAST = 3").count() == 14
+
+
+def test_claims_of_answers(spark):
+    answers = ['["Anna Miller", "s firm in Boston grew by 5 percent", "too short"]', "- The market fell by 3 percent today", "nothing", None, '["The market fell by 3 percent today"]']
+    df = spark.createDataFrame([(i, a, "timeout" if i == 4 else None) for i, a in enumerate(answers)], "id int, answer string, failed string")
+    from evidra.operators import claims
+
+    got = [(r.id, r.sentence) for r in claims.claims_from_answers(df, "id", error="failed").collect()]
+    assert sorted(got) == [(0, "Anna Miller's firm in Boston grew by 5 percent"), (1, "The market fell by 3 percent today")]
+    assert claims.claims_from_answers(df, "id").count() == 3
