@@ -6,11 +6,11 @@ segments one after the other, all segment borders are borders of both tokenizers
 aligned once, however often it occurs.  Byte offsets where tokens of both end cut the tokens into groups; within one, the
 tokens whose byte ranges overlap are linked.
 
-Texts are read once, into bundles of bounded size: the distinct segments of some documents, and the documents as numbers of
-these.  Distinct segments of all bundles meet in one aggregation with their counts, are aligned there, and go back to the
-bundles that hold them; a bundle of bounded size with its alignments is all that a task holds.  Counts of linked id pairs are
-summed over distinct segments times their counts; pairs and segments meet in equi-joins whose one side is unique, so that
-adaptive execution can split frequent ones.  A lost executor repeats its tasks; the stages are stored.
+Texts are read once, into bundles of bounded size: some documents as numbers of their distinct segments, which are tokenized
+and aligned there.  What a bundle knows of its documents by itself is written at once; of the counts over the corpus it needs
+those of its distinct id pairs only, so these go out with their counts, are summed, and come back in equi-joins whose one
+side is unique, which adaptive execution can split where a pair is frequent.  A bundle with the counts of its pairs is all
+that a task holds.  A lost executor repeats its tasks; the stages are stored.
 
 Defined results: texts that are null, empty or hold U+2581 (which the second vocabulary takes for a space, so its bytes
 differ) have no tokens, and zeros; a text of any length is aligned whole, in a bundle of its own if it is longer than one;
@@ -24,18 +24,21 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
+from itertools import chain
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .bpe import byte_characters
 from .common import stored, table
+from .planes import joined, split
 
 #: Characters of the texts in a bundle, about; a longer text is a bundle of its own.
 BUNDLE = 8 << 20
-#: Distinct segments that are aligned together.
-TOGETHER = 2000
+#: Segments that are aligned together.
+TOGETHER = 16_384
 #: The character that stands for a space in pieces.
 MARK = "▁"
 #: White space before whose runs a text may be cut, if the vocabularies allow it.
@@ -46,6 +49,7 @@ class Aligner:
     """Two tokenizers, and where a text may be cut for both: a byte-level BPE file of the tokenizers library and a sentencepiece model."""
 
     def __init__(self, byte_level: str, pieces: str):
+        import numpy as np
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
@@ -63,6 +67,8 @@ class Aligner:
         self.bytes_a = {i: x.encode() if x in plain else bytes(map(back.__getitem__, x)) for x, i in self.a.get_vocab().items()}
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(x[3:5], 16)]) if self.b.is_byte(i) else x.replace(MARK, " ").encode() for i, x in enumerate(names)]
+        self.length_a, self.length_b = (np.array([len(x) for x in xs], np.int64) for xs in ([self.bytes_a[i] for i in range(max(self.bytes_a) + 1)], self.bytes_b))
+        self.text_a, self.text_b = (np.array([[f"{i}{mark}" for i in range(len(xs))] for mark in (",", last)], object) for xs, last in ((self.length_a, "|"), (self.length_b, ";")))
         self._verify(pieces, names)
         self.space = self.b.piece_to_id(MARK)
         self.cuts = "".join(c for c in CUTS if self._safe(c, [x for i, x in enumerate(names) if not self.b.is_byte(i)]))
@@ -98,38 +104,53 @@ class Aligner:
                 b = b[1:]
             yield a, b if text != " " else [self.space]
 
-    def align(self, segments: list[str]) -> Iterator[tuple[str, int, int, int, list[int]]]:
-        """Of each segment: its groups as text, the numbers of tokens and groups, and its links as packed id pairs."""
-        for text, (a, b) in zip(segments, self.tokens(segments), strict=True):
-            data = text.encode()
-            if b"".join(map(self.bytes_a.__getitem__, a)) != data or b"".join(map(self.bytes_b.__getitem__, b)) != data:
-                raise ValueError(f"the tokens of {text[:20]!r} do not have its bytes")
-            groups, links = [], []
-            i = j = from_a = from_b = 0
-            end_a, end_b = len(self.bytes_a[a[0]]), len(self.bytes_b[b[0]])
-            while True:
-                links.append(a[i] << 32 | b[j])
-                if end_a == end_b:
-                    i, j = i + 1, j + 1
-                    groups.append(",".join(map(str, a[from_a:i])) + "|" + ",".join(map(str, b[from_b:j])))
-                    if i == len(a):
-                        break
-                    from_a, from_b = i, j
-                    end_a, end_b = end_a + len(self.bytes_a[a[i]]), end_b + len(self.bytes_b[b[j]])
-                elif end_a < end_b:
-                    i += 1
-                    end_a += len(self.bytes_a[a[i]])
-                else:
-                    j += 1
-                    end_b += len(self.bytes_b[b[j]])
-            yield ";".join(groups), len(a), len(b), len(groups), links
-
-
-def byte_characters() -> dict[str, int]:
-    """The byte that each character of a byte-level vocabulary stands for: printable ones for themselves, others from 256 on."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [x for x in range(256) if x not in set(shown)]
-    return {chr(x): x for x in shown} | {chr(256 + k): x for k, x in enumerate(rest)}
+    def align(self, segments: list[str]) -> Aligned:
+        import numpy as np
+
+        made = [self._align(segments[at : at + TOGETHER]) for at in range(0, len(segments), TOGETHER)]
+        return Aligned([g for x in made for g in x.groups], *(np.concatenate([getattr(x, f.name) for x in made]) for f in fields(Aligned)[1:]))
+
+    def _align(self, segments: list[str]) -> Aligned:
+        """Some segments at once, as stretches of one long text."""
+        import numpy as np
+
+        both = list(self.tokens(segments))
+        sides = []
+        for k, length in ((0, self.length_a), (1, self.length_b)):
+            n = np.fromiter((len(x[k]) for x in both), np.int64, len(both))
+            ids = np.fromiter(chain.from_iterable(x[k] for x in both), np.int64, int(n.sum()))
+            sides.append((n, ids, np.cumsum(length[ids])))
+        (n_a, a, ends_a), (n_b, b, ends_b) = sides
+        told = np.cumsum(np.fromiter((len(x) if x.isascii() else len(x.encode()) for x in segments), np.int64, len(segments)))
+        for n, _, ends in sides:
+            if not (ends[np.cumsum(n) - 1] == told).all():
+                raise ValueError("the tokens of a segment do not have its bytes")
+        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        n_groups = np.diff(np.searchsorted(cuts, told, side="right"), prepend=0)
+        # The tokens of B that overlap one of A: from the first that ends after its start to the first that ends at its end or later.
+        first = np.searchsorted(ends_b, ends_a - self.length_a[a], side="right")
+        n_links = np.searchsorted(ends_b, ends_a, side="left") - first + 1
+        at = np.arange(n_links.sum()) - np.repeat(np.cumsum(n_links) - n_links, n_links) + np.repeat(first, n_links)
+        links = np.repeat(a, n_links) << 32 | b[at]
+        # Groups as text: every token with the mark that comes after it, those of A before those of B in each group.
+        group_a, group_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
+        written = np.concatenate([self.text_a[(ends_a == cuts[group_a]).astype(int), a], self.text_b[(ends_b == cuts[group_b]).astype(int), b]])
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        flat, ends = written[order].tolist(), np.cumsum(n_a + n_b).tolist()
+        groups = ["".join(flat[s:e]) for s, e in zip([0, *ends], ends, strict=False)]
+        return Aligned(groups, n_a, n_b, n_groups, np.add.reduceat(n_links, np.cumsum(n_a) - n_a), links)
+
+
+@dataclass
+class Aligned:
+    """Of each segment: its groups as text, with ";" after each, and the numbers of tokens, groups and links; all links as packed id pairs."""
+
+    groups: list[str]
+    n_a: object
+    n_b: object
+    n_groups: object
+    n_links: object
+    links: object
 
 
 _LOADED: dict[tuple[str, str], Aligner] = {}
@@ -148,8 +169,61 @@ def vocabularies() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
-def bundles(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
-    """Documents (key, text) in bundles: keys, the number of segments of each, all segments as numbers of the distinct ones, and these with counts."""
+class _Numbers(dict):
+    """Numbers by first use."""
+
+    def __missing__(self, key):
+        self[key] = len(self)
+        return len(self) - 1
+
+
+def _pack(numbers) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(split(numbers, "byte")))
+
+
+def _unpack(data: bytes):
+    import zstandard
+
+    whole = zstandard.ZstdDecompressor().decompress(data)
+    n = len(whole) // 4
+    return joined([whole[k * n : (k + 1) * n] for k in range(4)], n, "byte")
+
+
+#: What a bundle knows of its documents by itself, and what the counts of the corpus add.
+OWN, COUNTED = ("n_a", "n_b", "n_groups", "n_links"), ("n_best", "count_sum")
+
+
+def _bundle(number: int, keys, lengths: list[int], codes, segments: list[str], make: Aligner, whole: bool):
+    """A row of ``bundles``."""
+    import numpy as np
+    import pyarrow as pa
+
+    found = make.align(segments)
+    groups, sizes = found.groups, found.n_links
+    pairs, of = np.unique(found.links, return_inverse=True)
+    counts = np.bincount(of, np.repeat(np.bincount(codes, minlength=len(segments)), sizes), len(pairs)).astype(np.int64)
+    ends = np.cumsum(lengths)
+    starts = ends - lengths
+    own = [np.add.reduceat(x[codes], starts) for x in (found.n_a, found.n_b, found.n_groups, sizes)]
+    listed = codes.tolist()
+    texts = ("".join(map(groups.__getitem__, listed[s:e]))[:-1] for s, e in zip(starts.tolist(), ends.tolist(), strict=True))
+    texts = list(texts) if whole else [hashlib.sha256(x.encode()).hexdigest() for x in texts]
+    lists = [(keys, None), *((x, pa.int64()) for x in own), (texts, pa.string()), (lengths, pa.int32()), (pairs, pa.int64()), (counts, pa.int64())]
+    columns = [pa.array([number], pa.int64()), *(pa.array([_pack(x.astype(np.uint32))], pa.binary()) for x in (codes, sizes, of))]
+    for values, kind in lists:
+        values = values if kind is None else pa.array(values, kind)
+        columns.append(pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values))
+    return pa.RecordBatch.from_arrays(columns, names=["bundle", "codes", "sizes", "of", "keys", *OWN, "groups", "lengths", "pairs", "counts"])
+
+
+def bundles(docs: DataFrame, byte_level: str, pieces: str, whole: bool) -> DataFrame:
+    """Documents (key, text) in bundles.  Of the documents: keys, OWN sums, groups (or digests of them), numbers of segments.
+
+    ``codes`` are the segments of all documents as numbers of the distinct ones; these have ``sizes`` links each, which are
+    numbers (``of``) of the bundle's distinct ``pairs``, with the ``counts`` of these.
+    """
     kind = docs.schema["key"].dataType
 
     def run(batches: Iterator) -> Iterator:
@@ -157,17 +231,12 @@ def bundles(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
         import pyarrow as pa
         from pyspark import TaskContext
 
-        cut = aligner(byte_level, pieces).segments
+        make = aligner(byte_level, pieces)
         number = TaskContext.get().partitionId() << 32
-        keys, lengths, codes, seen, chars = [], [], [], {}, 0
+        keys, lengths, codes, seen, chars = [], [], [], _Numbers(), 0
 
         def made():
-            flat = np.concatenate(codes)
-            columns = [pa.array([number], pa.int64())]
-            for values, of in ((pa.concat_arrays(keys), None), (lengths, pa.int32()), (flat, pa.int32()), (list(seen), pa.string()), (np.bincount(flat, minlength=len(seen)), pa.int64())):
-                values = values if of is None else pa.array(values, of)
-                columns.append(pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values))
-            return pa.RecordBatch.from_arrays(columns, names=["bundle", "keys", "lengths", "codes", "segments", "counts"])
+            return _bundle(number, pa.concat_arrays(keys), lengths, np.concatenate(codes), list(seen), make, whole)
 
         for batch in batches:
             for i in range(batch.num_rows):
@@ -175,47 +244,26 @@ def bundles(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
                 if chars and chars + len(text) > BUNDLE:
                     yield made()
                     number += 1
-                    keys, lengths, codes, seen, chars = [], [], [], {}, 0
-                parts = cut(" " + text)
-                for x in set(parts) - seen.keys():
-                    seen[x] = len(seen)
-                codes.append(np.fromiter(map(seen.__getitem__, parts), np.int32, len(parts)))
+                    keys, lengths, codes, seen, chars = [], [], [], _Numbers(), 0
+                parts = make.segments(" " + text)
+                codes.append(np.fromiter(map(seen.__getitem__, parts), np.int64, len(parts)))
                 lengths.append(len(parts))
                 keys.append(batch.column(0).slice(i, 1))
                 chars += len(text)
         if chars:
             yield made()
 
-    schema = T.StructType([T.StructField("bundle", T.LongType()), T.StructField("keys", T.ArrayType(kind))])
-    for name, of in (("lengths", T.IntegerType()), ("codes", T.IntegerType()), ("segments", T.StringType()), ("counts", T.LongType())):
+    schema = T.StructType([T.StructField("bundle", T.LongType())])
+    for name in ("codes", "sizes", "of"):
+        schema = schema.add(name, T.BinaryType())
+    schema = schema.add("keys", T.ArrayType(kind))
+    for name, of in (*((c, T.LongType()) for c in OWN), ("groups", T.StringType()), ("lengths", T.IntegerType()), ("pairs", T.LongType()), ("counts", T.LongType())):
         schema = schema.add(name, T.ArrayType(of))
     return docs.mapInArrow(run, schema)
 
 
-def aligned_segments(segments: DataFrame, byte_level: str, pieces: str) -> DataFrame:
-    """Distinct ``segments`` (segment, n) with their alignments."""
-
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        make = aligner(byte_level, pieces)
-        for batch in batches:
-            for at in range(0, batch.num_rows, TOGETHER):
-                part = batch.slice(at, TOGETHER)
-                groups, n_a, n_b, n_groups, links = zip(*make.align(part.column(0).to_pylist()), strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(groups, pa.large_string()).cast(pa.string()), *(pa.array(x, pa.int32()) for x in (n_a, n_b, n_groups)), pa.array(links, pa.list_(pa.int64()))],
-                    names=["segment", "n", "groups", "n_a", "n_b", "n_groups", "links"],
-                )
-
-    return segments.mapInArrow(run, "segment string, n long, groups string, n_a int, n_b int, n_groups int, links array<long>")
-
-
-SUMS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
-
-
-def composed(rows: DataFrame, kind: T.DataType, whole: bool) -> DataFrame:
-    """Documents of bundles that came back with their ``entries`` (code, groups, and what of SUMS a segment adds)."""
+def composed(rows: DataFrame, kind: T.DataType, name: str) -> DataFrame:
+    """Documents of bundles that came back with the ``counted`` pairs (code, count, is_best)."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -223,20 +271,18 @@ def composed(rows: DataFrame, kind: T.DataType, whole: bool) -> DataFrame:
 
         for batch in batches:
             for r in range(batch.num_rows):
-                keys, lengths, codes, entries = (batch.column(i)[r].values for i in range(4))
-                field = {f.name: entries.field(k) for k, f in enumerate(entries.type)}
-                place = np.empty(len(entries), np.int64)
-                place[field["code"].to_numpy()] = np.arange(len(entries))
-                at = place[codes.to_numpy()]
-                sizes = lengths.to_numpy()
-                ends = np.cumsum(sizes)
-                sums = [np.add.reduceat(field[c].to_numpy()[at], ends - sizes) for c in SUMS]
-                groups, listed = field["groups"].to_pylist(), at.tolist()
-                texts = (";".join(map(groups.__getitem__, listed[e - n : e])) for e, n in zip(ends.tolist(), sizes.tolist(), strict=True))
-                texts = list(texts) if whole else [hashlib.sha256(x.encode()).hexdigest() for x in texts]
-                yield pa.RecordBatch.from_arrays([keys, *(pa.array(x.astype(np.int64)) for x in sums), pa.array(texts, pa.string())], names=names)
-
-    schema = T.StructType([T.StructField("key", kind), *[T.StructField(c, T.LongType()) for c in SUMS], T.StructField("groups" if whole else "groups_sha256", T.StringType())])
+                row = {n: batch.column(k)[r] for k, n in enumerate(batch.schema.names)}
+                pairs = row["counted"].values
+                place = pairs.field("code").to_numpy()
+                weight = np.empty((2, len(place)), np.int64)
+                weight[0, place], weight[1, place] = pairs.field("is_best").to_numpy(zero_copy_only=False), pairs.field("count").to_numpy()
+                codes, sizes, of = (_unpack(row[c].as_py()).astype(np.int64) for c in ("codes", "sizes", "of"))
+                lengths = row["lengths"].values.to_numpy()
+                per_segment = np.add.reduceat(weight[:, of], np.cumsum(sizes) - sizes, axis=1)
+                sums = np.add.reduceat(per_segment[:, codes], np.cumsum(lengths) - lengths, axis=1)
+                yield pa.RecordBatch.from_arrays([row["keys"].values, *(row[c].values for c in OWN), *(pa.array(x) for x in sums), row["groups"].values], names=names)
+
+    schema = T.StructType([T.StructField("key", kind), *[T.StructField(c, T.LongType()) for c in (*OWN, *COUNTED)], T.StructField(name, T.StringType())])
     names = schema.names
     return rows.mapInArrow(run, schema)
 
@@ -250,24 +296,18 @@ class Alignment:
 
 
 def align(docs: DataFrame, byte_level: str, pieces: str, key: str = "doc_id", text: str = "text", whole: bool = False) -> Alignment:
-    """The sums of SUMS per document and a digest of its groups, or with ``whole`` the groups themselves."""
+    """The sums of OWN and COUNTED per document and a digest of its groups, or with ``whole`` the groups themselves."""
     each = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     sound = F.coalesce((F.col("text") != "") & ~F.contains("text", F.lit(MARK)), F.lit(False))
-    bundled = stored(bundles(each.where(sound), byte_level, pieces), "bundles")
-    parts = bundled.select("bundle", F.posexplode(F.arrays_zip("segments", "counts")).alias("code", "of")).select("bundle", "code", "of.segments", "of.counts")
-    distinct = parts.groupBy(F.col("segments").alias("segment")).agg(F.sum("counts").alias("n"))
-    known = stored(aligned_segments(distinct, byte_level, pieces).withColumn("id", F.monotonically_increasing_id()), "segments")
-    linked = known.select("id", "n", F.explode("links").alias("pair"))
-    counts = linked.groupBy("pair").agg(F.sum("n").alias("count"))
+    bundled = stored(bundles(each.where(sound), byte_level, pieces, whole), "bundles")
+    parts = bundled.select("bundle", F.posexplode(F.arrays_zip("pairs", "counts")).alias("code", "of")).select("bundle", "code", F.col("of.pairs").alias("pair"), "of.counts")
+    counts = parts.groupBy("pair").agg(F.sum("counts").alias("count"))
     b = F.col("pair").bitwiseAND(0xFFFFFFFF)
     best = counts.groupBy(b.alias("of")).agg(F.max("count").alias("most"))
     pairs = stored(counts.join(best, b == F.col("of")).select("pair", "count", (F.col("count") == F.col("most")).alias("is_best")), "pairs")
-    weights = linked.select("id", "pair").join(pairs, "pair").groupBy("id").agg(F.count("*").alias("n_links"), F.sum(F.col("is_best").cast("long")).alias("n_best"), F.sum("count").alias("count_sum"))
-    entries = known.select("id", "segment", "groups", "n_a", "n_b", "n_groups").join(weights, "id").drop("id")
-    back = parts.select("bundle", "code", F.col("segments").alias("segment")).join(entries, "segment").drop("segment")
-    listed = back.groupBy("bundle").agg(F.collect_list(F.struct("code", "groups", *SUMS)).alias("entries"))
-    rows = composed(bundled.select("bundle", "keys", "lengths", "codes").join(listed, "bundle").drop("bundle"), each.schema["key"].dataType, whole)
-    none = each.where(~sound).select("key", *[F.lit(0).cast("long").alias(c) for c in SUMS], F.lit("").alias(rows.columns[-1]))
+    counted = parts.select("bundle", "code", "pair").join(pairs, "pair").groupBy("bundle").agg(F.collect_list(F.struct("code", "count", "is_best")).alias("counted"))
+    rows = composed(bundled.drop("pairs", "counts").join(counted, "bundle"), each.schema["key"].dataType, "groups" if whole else "groups_sha256")
+    none = each.where(~sound).select("key", *[F.lit(0).cast("long").alias(c) for c in (*OWN, *COUNTED)], F.lit("").alias(rows.columns[-1]))
     told = pairs.select(F.shiftright("pair", 32).cast("int").alias("a"), b.cast("int").alias("b"), "count", "is_best")
     return Alignment(rows.unionByName(none).withColumnRenamed("key", key), told)
 
