@@ -48,11 +48,28 @@ def embed(df: DataFrame, text: str = "text", out: str = "embedding", dims: int =
 
 
 def letters(df: DataFrame, text: str = "text", out: str = "embedding") -> DataFrame:
-    """How often each letter from a to z stands in a text, scaled to unit length: a small embedding in expressions only."""
-    counts = F.array(*[(F.length(text) - F.length(F.translate(F.col(text), c + c.upper(), ""))).cast("double") for c in map(chr, range(97, 123))])
-    made = df.withColumn(out, counts)
-    norm = F.sqrt(F.aggregate(out, F.lit(0.0), lambda a, x: a + x * x))
-    return made.withColumn("__norm", norm).withColumn(out, F.when(F.col("__norm") > 0, F.transform(out, lambda x: x / F.col("__norm"))).otherwise(F.col(out))).drop("__norm")
+    """How often each letter from a to z stands in a text, scaled to unit length: a small embedding that SQL can spell out."""
+    base = df.drop(out)
+    names = [*base.columns, out]
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            values = batch.column(batch.num_columns - 1).to_pylist()
+            counts = np.zeros((len(values), 26))
+            for i, value in enumerate(values):
+                if value:
+                    found = np.bincount(np.frombuffer(value.encode(), np.uint8), minlength=256)
+                    counts[i] = found[97:123] + found[65:91]
+            norm = np.linalg.norm(counts, axis=1, keepdims=True)
+            unit = np.divide(counts, norm, out=counts, where=norm > 0)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1, dtype=np.int32) * 26), pa.array(unit.ravel()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], names=names)
+
+    schema = T.StructType([*base.schema.fields, T.StructField(out, T.ArrayType(T.DoubleType()))])
+    return base.select(*[F.col(f"`{c}`") for c in base.columns], F.col(text).alias("text whose letters count")).mapInArrow(run, schema)
 
 
 def rerank(df: DataFrame, claim: str = "claim", quote: str = "quote", out: str = "relevance") -> DataFrame:
