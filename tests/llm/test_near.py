@@ -52,6 +52,15 @@ def test_stage_keeps_one_of_each_group_at_the_threshold(spark):
     assert len(want) < len(rows) and sorted(r.doc_id for r in kept.collect()) == want
 
 
+def test_a_filter_that_lets_all_pass_changes_nothing(spark, monkeypatch):
+    monkeypatch.setattr(near, "FILTER_BITS", 64)
+    rng = random.Random(3)
+    items = [" ".join(f"w{rng.randrange(900)}" for _ in range(60)) for _ in range(80)]
+    items += [" ".join(edited(rng, t.split(), 2)) for t in items[:40]]
+    df = spark.createDataFrame(list(enumerate(items)), "doc_id long, text string").repartition(3)
+    assert sorted(r.doc_id for r in near.deduplicated(df).collect()) == brute_kept(list(enumerate(items)))
+
+
 def test_bucket_torn_by_its_star_is_compared_across(spark):
     rng = random.Random(9)
     base = [f"b{i}" for i in range(400)]
