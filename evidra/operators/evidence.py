@@ -88,6 +88,8 @@ def same_quotes(quotes: DataFrame, group: str, key: str, overlap: float = OVERLA
 
 #: Quotes of an episode that are folded in one task; larger episodes are cut into islands.
 FOLDED_AT_ONCE = 20_000
+#: Quotes of small episodes that one call folds, about.
+TOGETHER = 4096
 #: Characters of an episode in which islands are told apart by one task.
 STRETCH = 1 << 16
 
@@ -129,18 +131,25 @@ def folded(quotes: DataFrame, group: str, overlap: float = OVERLAP, similar: flo
     names = [c for c in shape.names if c != "merged"]
 
     def run(table):
-        rows = table.select([*names, "bag"]).to_pylist()
-        out = [{k: v for k, v in r.items() if k != "bag"} for r in fold_quotes(rows, overlap, similar, near, carried)]
+        parts: dict = {}
+        for r in table.select([*names, "bag", "island"]).to_pylist():
+            parts.setdefault((r[group], tuple((r.pop("island") or {}).values())), []).append(r)
+        out = [{k: v for k, v in r.items() if k != "bag"} for rows in parts.values() for r in fold_quotes(rows, overlap, similar, near, carried)]
         return pa.Table.from_pylist(out, to_arrow_schema(shape))
 
     checkpoint_folder(quotes.sparkSession)
     rows = quotes.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in shape if f.name != "merged"], X.token_set(F.coalesce("text", F.lit(""))).alias("bag")).checkpoint()
-    large = rows.groupBy(group).agg(F.count("*").alias("__n")).where(F.col("__n") > FOLDED_AT_ONCE).select(F.col(group).alias("__large")).checkpoint()
+    sizes = rows.groupBy(group).agg(F.count("*").alias("__n")).checkpoint()
+    large = sizes.where(F.col("__n") > FOLDED_AT_ONCE).select(F.col(group).alias("__large"))
+    whole = sizes.agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
+    none = F.lit(None).cast("struct<start_pos:bigint,quote_id:bigint>").alias("island")
     if large.isEmpty():
-        return rows.groupBy(group).applyInArrow(run, shape)
-    is_large = F.col(group).eqNullSafe(F.col("__large"))
-    cut = islands(rows.join(large, is_large, "left_semi"), group, near)
-    return rows.join(large, is_large, "left_anti").groupBy(group).applyInArrow(run, shape).unionByName(cut.groupBy(group, "island").applyInArrow(run, shape))
+        cut = rows.select("*", none)
+    else:
+        is_large = F.col(group).eqNullSafe(F.col("__large"))
+        cut = rows.join(large, is_large, "left_anti").select("*", none).unionByName(islands(rows.join(large, is_large, "left_semi"), group, near))
+    # Many small groups, or islands, to a task's call.
+    return cut.groupBy(F.pmod(F.xxhash64(group, "island"), F.lit(max(1, -(-whole // TOGETHER)))).alias("__bucket")).applyInArrow(run, shape)
 
 
 def remapped(links: DataFrame, originals: DataFrame, kept: DataFrame, group: str, mode: str = "lineage") -> DataFrame:

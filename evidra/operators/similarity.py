@@ -74,67 +74,87 @@ def cross_match(left: DataFrame, right: DataFrame, threshold: float, k: int, rel
 BLOCK = 4096
 
 
-def _unit(table):
+def _unit(column):
+    """The rows of a list column scaled to length 1; zeros stay."""
     import numpy as np
 
-    x = np.array(table["v"].to_pylist(), np.float64).reshape(len(table), -1)
+    x = np.asarray(column.combine_chunks().flatten(), np.float64).reshape(len(column), -1)
     n = np.linalg.norm(x, axis=1, keepdims=True)
-    return x, np.divide(x, n, out=np.zeros_like(x), where=n > 0)
+    return np.divide(x, n, out=np.zeros_like(x), where=n > 0)
 
 
-def _group_cells(left: DataFrame, right: DataFrame, run, schema: str) -> DataFrame:
-    """Every (left block, right block) of each group ``g`` as one co-grouped cell; blocks hold about ``BLOCK`` rows."""
-    parts = lambda df, name: df.groupBy("g").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
-    counts = parts(left, "nl").join(parts(right, "nr"), "g")
+def _group_cells(left: DataFrame, right: DataFrame, body, schema: str) -> DataFrame:
+    """``body(ids, units, ids, units)`` for every (left block, right block) of each group ``g``; it gives the arrays of a result.
+
+    Blocks hold about ``BLOCK`` rows.  Groups of one block meet many to a cell of about that size, so small groups cost no
+    task's start each; larger groups have a cell for each pair of blocks.
+    """
+    sizes = lambda df, name: df.groupBy("g").agg(F.count("*").alias(name))
+    counts = sizes(left, "a").join(sizes(right, "b"), "g").select("g", "a", "b", F.ceil(F.col("a") / BLOCK).cast("int").alias("nl"), F.ceil(F.col("b") / BLOCK).cast("int").alias("nr"))
+    checkpoint_folder(left.sparkSession)
+    counts = counts.checkpoint()
+    whole = counts.agg(F.coalesce(F.sum(F.greatest("a", "b")), F.lit(0))).first()[0]
+    small = (F.col("nl") == 1) & (F.col("nr") == 1)
+    cell = F.when(small, F.pmod(F.xxhash64("g"), F.lit(max(1, -(-whole // BLOCK))))).otherwise(F.xxhash64("g"))
+    named = counts.select("g", "nl", "nr", cell.alias("cell"))
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def dealt(df: DataFrame, own: str, n_own: str, other: str, n_other: str) -> DataFrame:
-        placed = df.join(counts, "g").withColumn(own, F.pmod(F.xxhash64("id"), F.col(n_own)).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), F.col(n_other) - 1)))
-        return placed.select(*[F.col(c).alias(c) for c in ("g", "id", "v", "bl", "br")])  # of a self-join, columns of its own
+        placed = df.join(named, "g").withColumn(own, F.pmod(F.xxhash64("id"), F.col(n_own)).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), F.col(n_other) - 1)))
+        return placed.select(*[F.col(c).alias(c) for c in ("cell", "g", "id", "v", "bl", "br")])  # of a self-join, columns of its own
+
+    def run(left, right):
+        import numpy as np
+        import pyarrow as pa
+
+        made = [tuple(np.zeros(0, k) for k in (np.int64, np.int64, np.float64))]
+        if len(left) and len(right):
+            codes: dict = {}
+            groups = [np.array([codes.setdefault(x, len(codes)) for x in t["g"].to_pylist()]) for t in (left, right)]
+            orders = [np.argsort(x, kind="stable") for x in groups]
+            ids = [t["id"].to_numpy()[o] for t, o in zip((left, right), orders, strict=True)]
+            units = [_unit(t["v"])[o] for t, o in zip((left, right), orders, strict=True)]
+            starts = [np.searchsorted(x[o], np.arange(len(codes) + 1)) for x, o in zip(groups, orders, strict=True)]
+            for k in range(len(codes)):
+                (i, j), (p, q) = ((int(s[k]), int(s[k + 1])) for s in starts)
+                if i < j and p < q:
+                    made.append(body(ids[0][i:j], units[0][i:j], ids[1][p:q], units[1][p:q]))
+        return pa.table({n: np.concatenate([x[c] for x in made]) for c, n in enumerate(names)})
 
     lefts, rights = dealt(left, "bl", "nl", "br", "nr"), dealt(right, "br", "nr", "bl", "nl")
-    return lefts.groupBy("g", "bl", "br").cogroup(rights.groupBy("g", "bl", "br")).applyInArrow(run, schema)
+    return lefts.groupBy("cell", "bl", "br").cogroup(rights.groupBy("cell", "bl", "br")).applyInArrow(run, schema)
 
 
 def similar_in_group(vectors: DataFrame, group: str, key: str, vector: str, threshold: float) -> DataFrame:
     """(left_id, right_id, cosine) of all pairs of a group with cosine at or above ``threshold``."""
-    rows = vectors.select(F.col(group).alias("g"), F.col(key).alias("id"), F.col(vector).alias("v"))
+    rows = vectors.where(F.col(vector).isNotNull()).select(F.col(group).alias("g"), F.col(key).alias("id"), F.col(vector).alias("v"))
 
-    def run(left, right):
+    def body(ids_a, a, ids_b, b):
         import numpy as np
-        import pyarrow as pa
 
-        ids_l, ids_r = np.array(left["id"], np.int64), np.array(right["id"], np.int64)
-        out = [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
-        if len(ids_l) and len(ids_r):
-            score = _unit(left)[1] @ _unit(right)[1].T
-            i, j = np.nonzero((score >= threshold - 1e-12) & (ids_l[:, None] < ids_r[None, :]))
-            out = [ids_l[i], ids_r[j], np.clip(score[i, j], 0, 1)]
-        return pa.table({"left_id": out[0], "right_id": out[1], "cosine": out[2]})
+        score = a @ b.T
+        i, j = np.nonzero((score >= threshold - 1e-12) & (ids_a[:, None] < ids_b[None, :]))
+        return ids_a[i], ids_b[j], np.clip(score[i, j], 0, 1)
 
-    return _group_cells(rows, rows, run, "left_id long, right_id long, cosine double")
+    return _group_cells(rows, rows, body, "left_id long, right_id long, cosine double")
 
 
 def nearest_in_group(queries: DataFrame, vectors: DataFrame, group: str, key: str, query_key: str, vector: str, k: int) -> DataFrame:
     """(query_id, vec_id, score, rank): the ``k`` of highest cosine in the query's group; ties to the smaller id."""
 
     def shaped(df: DataFrame, name: str) -> DataFrame:
-        return df.select(F.col(group).alias("g"), F.col(name).alias("id"), F.col(vector).alias("v"))
+        return df.where(F.col(vector).isNotNull()).select(F.col(group).alias("g"), F.col(name).alias("id"), F.col(vector).alias("v"))
 
-    def run(a, b):
+    def body(ids_a, a, ids_b, b):
         import numpy as np
-        import pyarrow as pa
 
-        ids_a, ids_b = np.array(a["id"], np.int64), np.array(b["id"], np.int64)
-        out = [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
-        if len(ids_a) and len(ids_b):
-            by_id = np.argsort(ids_b)  # then a stable order by score leaves ties to the smaller id
-            score = np.round(np.clip(_unit(a)[1] @ _unit(b)[1][by_id].T, 0, 1), 9)
-            top = np.argsort(-score, axis=1, kind="stable")[:, :k]
-            i = np.repeat(np.arange(len(ids_a)), top.shape[1])
-            out = [ids_a[i], ids_b[by_id][top.ravel()], score[i, top.ravel()]]
-        return pa.table({"query_id": out[0], "vec_id": out[1], "score": out[2]})
-
-    found = _group_cells(shaped(queries, query_key), shaped(vectors, key), run, "query_id long, vec_id long, score double")
+        by_id = np.argsort(ids_b)  # then a stable order by score leaves ties to the smaller id
+        score = np.round(np.clip(a @ b[by_id].T, 0, 1), 9)
+        top = np.argsort(-score, axis=1, kind="stable")[:, :k]
+        i = np.repeat(np.arange(len(ids_a)), top.shape[1])
+        return ids_a[i], ids_b[by_id][top.ravel()], score[i, top.ravel()]
+
+    found = _group_cells(shaped(queries, query_key), shaped(vectors, key), body, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
