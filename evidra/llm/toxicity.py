@@ -20,6 +20,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,11 +33,13 @@ from .common import held_out, sized, stored, table
 
 #: Labelled training rows on which voters are chosen and the classifier is fitted.
 SAMPLE = 10_000
-#: Terms looked at, and terms that become voters.
-CANDIDATES, VOTERS = 600, 160
+#: Log-likelihood (in nats) that a term must add to become a candidate, whatever the number of texts: a term that says nothing
+#: about its text passes about once in two thousand; what such terms vote is weighed by the label model and the classifier.
+LEAST_GAIN = 6.0
+#: Candidates, and voters among them, at most; None: all that pass.
+CANDIDATES, VOTERS = None, None
 STEMS = (4, 5, 6, 7)
-#: Terms in enough toxic texts (some 30 bytes each) that may go to every task; there are at most 400 times as many as a toxic
-#: text has on average.
+#: Terms in enough toxic texts (some 30 bytes each) that may go to every task; more are joined by a shuffle.
 TERMS = 500_000
 THRESHOLD = 0.3
 #: Distinct words a worker remembers.
@@ -60,6 +63,12 @@ PATTERNS = (
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+def words_of(text: str) -> list[str]:
+    """Runs of letters, lower-case."""
+    found = _WORD.findall(text.lower())  # letters, and a few signs that are counted as such
+    return found if text.isascii() else [p for w in found for p in ([w] if w.isalpha() else "".join(c if c.isalpha() else " " for c in w).split())]
+
+
 def terms(word: str) -> list[str]:
     """The lexicon terms that a lower-case word stands for: itself, and its stems with an asterisk."""
     return [word, *[f"{word[:k]}*" for k in STEMS if len(word) >= k]]
@@ -68,7 +77,8 @@ def terms(word: str) -> list[str]:
 def candidates(labelled: DataFrame) -> tuple[list[str], int, int]:
     """Terms that mark toxic texts most, by log-likelihood ratio; with the numbers of toxic and other texts.
 
-    ``labelled`` has ``text`` and ``toxic``.  Only terms in enough toxic texts are counted in the others.
+    ``labelled`` has ``text`` and ``toxic``.  Terms must add ``LEAST_GAIN``; only those in so many toxic texts that they would if no
+    other text had them are counted in the others.
     """
     n = {r.toxic: r["count"] for r in labelled.groupBy("toxic").count().collect()}
     bad, good = n.get(1, 0), n.get(0, 0)
@@ -88,10 +98,11 @@ def candidates(labelled: DataFrame) -> tuple[list[str], int, int]:
     def part(x, total):
         return F.when(x > 0, x * F.log(x / (F.col("a") + F.col("b")) / (total / (bad + good)))).otherwise(0.0)
 
-    often = sized(counted(1, "a").where(F.col("a") >= max(3, bad // 400)), TERMS)
+    often = sized(counted(1, "a").where(F.col("a") * math.log((bad + good) / bad) >= LEAST_GAIN), TERMS)
     both = often.join(counted(0, "b", often), "term", "left").select("term", "a", F.coalesce("b", F.lit(0)).alias("b"))
     gain = part(F.col("a"), bad) + part(F.col("b"), good)
-    return [r.term for r in both.where(F.col("a") >= 4 * F.col("b")).orderBy(gain.desc(), "term").limit(CANDIDATES).collect()], bad, good
+    found = both.where(F.col("a") >= 4 * F.col("b")).withColumn("gain", gain).where(F.col("gain") >= LEAST_GAIN).orderBy(F.col("gain").desc(), "term")
+    return [r.term for r in (found if CANDIDATES is None else found.limit(CANDIDATES)).collect()], bad, good
 
 
 class Voters:
@@ -117,7 +128,7 @@ class Voters:
             return []
         memo, index = self.memo, self.index
         found: set[int] = set()
-        for word in set(_WORD.findall(text.lower())):
+        for word in set(words_of(text)):
             hit = memo.get(word)
             if hit is None:
                 hit = tuple(index[t] for t in terms(word) if t in index)
@@ -139,7 +150,7 @@ def _chosen(votes, toxic) -> list[int]:
     seen, size = np.zeros(len(bad)), bad.sum(axis=0)
     left_out = np.zeros(terms_only.shape[1], bool)
     picked: list[int] = []
-    while len(picked) < VOTERS:
+    while VOTERS is None or len(picked) < VOTERS:
         gain = bad[seen < 4].sum(axis=0) - cost
         gain[left_out] = -1
         best = int(gain.argmax()) if len(gain) else 0
