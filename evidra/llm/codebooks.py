@@ -141,8 +141,8 @@ def _padded(column, width: int):
     return out
 
 
-def _round(rows: DataFrame, books: list[Book], width: int, last: bool) -> DataFrame:
-    """One pass: codes, errors and bounds of all vectors, and after them a row with the sums of the task."""
+def _round(rows: DataFrame, books: list[Book], width: int, kind: str, last: bool) -> DataFrame:
+    """One pass: codes, errors and bounds of all vectors (integers of ``kind``), and after them a row with the sums of the task."""
     first = "codes" not in rows.columns
     parts, size = len(books), len(books[0].entries)
     d, groups = width // parts, [len(b.members) for b in books]
@@ -159,7 +159,7 @@ def _round(rows: DataFrame, books: list[Book], width: int, last: bool) -> DataFr
             kinds |= {k: batch.schema.field(k).type for k in ("key", "label")}
             if not batch.num_rows:
                 continue
-            vectors = _padded(batch.column("values"), width) if first else _matrix(batch.column("vector"), "<i8", width)
+            vectors = _padded(batch.column("values"), width) if first else _matrix(batch.column("vector"), kind, width).astype(np.int64)
             own = None if first else _matrix(batch.column("codes"), "u1", parts)
             bounds = None if first else np.split(_matrix(batch.column("bounds"), "<f4", sum(groups)), np.cumsum(groups)[:-1], axis=1)
             codes, error, low = np.empty((len(vectors), parts), np.uint8), np.zeros(len(vectors)), []
@@ -175,7 +175,7 @@ def _round(rows: DataFrame, books: list[Book], width: int, last: bool) -> DataFr
                 sums[p, used, d] += np.diff([*starts, len(best)])
             columns = [batch.column("key"), batch.column("label"), _binary(codes), pa.array(error.astype(np.int64))]
             if not last:
-                columns += [_binary(vectors.astype("<i8")), _binary(np.concatenate(low, axis=1).astype("<f4")), pa.nulls(len(vectors), pa.binary()), pa.nulls(len(vectors), pa.int64())]
+                columns += [_binary(vectors.astype(kind)), _binary(np.concatenate(low, axis=1).astype("<f4")), pa.nulls(len(vectors), pa.binary()), pa.nulls(len(vectors), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=names)
         if kinds and not last:
             yield pa.RecordBatch.from_arrays(
@@ -236,15 +236,16 @@ def compress(df: DataFrame, key: str = "vec_id", vector: str = "embedding", labe
     start = np.array([[*r[0], *[0] * (width - len(r[0]))] for r in whole.orderBy(F.col("key").asc_nulls_last(), "values").select("values").limit(entries).collect()], np.int64)
     books, rows, scanned = [clustered(x) for x in np.split(start, parts, axis=1)], whole, []
     shape = (parts, len(start), width // parts + 1)
+    kind = "<i2" if most < 1 << 15 else "<i4"  # the distances of larger components would leave 53 bits
     for _ in range(rounds):
-        rows = stored(_round(rows, books, width, False), "codebooks")
+        rows = stored(_round(rows, books, width, kind, False), "codebooks")
         sums, n = _added(rows, shape)
         scanned.append(n)
         used = sums[:, :, -1:] > 0
         means = np.floor_divide(sums[:, :, :-1], np.maximum(sums[:, :, -1:], 1))
         books = [b.moved(np.where(used[p], means[p], b.entries)) for p, b in enumerate(books)]
         rows = rows.where("sums is null")
-    return Codes(_round(rows, books, width, True), [b.entries for b in books], scanned)
+    return Codes(_round(rows, books, width, kind, True), [b.entries for b in books], scanned)
 
 
 def op13_codebooks(spark: SparkSession, sf_dir: str) -> DataFrame:

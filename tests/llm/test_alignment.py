@@ -82,6 +82,7 @@ def test_segments_compose():
     assert set(made.cuts) == set(" \n\t")
     rng = random.Random(6)
     texts = ["".join(rng.choice(BITS) for _ in range(rng.randrange(1, 30))) for _ in range(6000)]
+    texts += [f"{chr(c)} a{chr(c)}b" for c in (0xFFFD, 0xFFFE, 0xFFFF, 0x10FFFF, 0x1F600, 0x9FFF, 0xAC00)]
     texts += [f"x{chr(c)}y {chr(c)}{chr(c)}\n{chr(c)} " for c in [*range(0x3000), *range(0xE000, 0x11000, 7), *range(0x1F000, 0x1FA00, 5)] if chr(c) != alignment.MARK]
     for text in texts:
         parts = made.segments(" " + text)

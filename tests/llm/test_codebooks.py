@@ -77,6 +77,15 @@ def test_rows(spark):
     assert len(made.scanned) == 3 and made.scanned[-1] <= made.scanned[0]
 
 
+@pytest.mark.parametrize("scale", [1, 40, 4000])
+def test_components_of_all_sizes(spark, scale):
+    rng = np.random.default_rng(scale)
+    rows = [(i, [float(x) for x in rng.normal(0, scale, 4)], 1) for i in range(60)]
+    made = codebooks.compress(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), parts=2, entries=8, rounds=2)
+    codes, errors, books = plain(np.array([[math.floor(1024 * x) for x in r[1]] for r in rows], np.int64), 2, 8, 2)
+    assert sorted((r.key, bytes(r.codes), r.error) for r in made.rows.collect()) == [(i, bytes(c.tolist()), int(e)) for i, (c, e) in enumerate(zip(codes, errors, strict=True))]
+
+
 def test_few_and_none(spark):
     df = spark.createDataFrame([(2, [1.0, 2.0], 1), (1, [3.0, 4.0], 1)], "vec_id long, embedding array<float>, label int")
     made = codebooks.compress(df)
