@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from . import scorers as M
 from .claims import sentence_windows, top_by
+from .similarity import checkpoint_folder
 
 
 def batch_summary(results: DataFrame) -> DataFrame:
@@ -41,7 +42,8 @@ def run_batch(episodes: DataFrame, step: Callable[[DataFrame], DataFrame], key:
     good, bad = attempted(episodes, text)
     if not continue_on_error and (first := bad.first()) is not None:
         raise ValueError(f"{key} {first[key]!r}: {first['error']}")
-    made = step(good)
+    checkpoint_folder(episodes.sparkSession)
+    made = step(good).checkpoint()  # for its rows and for their numbers
     counts = made.groupBy(key).agg(F.count("*").alias("checked"))
     done = good.select(key).join(counts, key, "left").select(key, F.when(F.col("checked").isNull(), "skipped").otherwise("ok").alias("status"), F.when(F.col("checked").isNull(), "no claims").alias("reason"), F.coalesce("checked", F.lit(0)).alias("checked"))
     return made, done.unionByName(bad.select(key, F.lit("failed").alias("status"), F.col("error").alias("reason"), F.lit(0).cast("long").alias("checked")))
