@@ -14,24 +14,35 @@ from pyspark.sql import types as T
 
 from ..functions import text as X
 
+#: Bytes and rows of texts that are walked at a time.
+SLICE_BYTES, SLICE_ROWS = 1 << 22, 1024
+
 _ENDING = re.compile(r"[.!?]\s+")
 
 
 def exploded(df: DataFrame, column: str, schema: str, walk: Callable[[str | None], list[dict]]) -> DataFrame:
-    """``df`` without ``column``, a row for each dict that ``walk`` makes of it."""
+    """``df`` without ``column``, a row for each dict that ``walk`` makes of it; texts are walked some at a time."""
     rest = [c for c in df.columns if c != column]
     added = T._parse_datatype_string(schema)
 
     def run(batches: Iterator) -> Iterator:
+        import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         for batch in batches:
-            made = [walk(v) for v in batch.column(batch.num_columns - 1).to_pylist()]
-            index = pa.array([i for i, rows in enumerate(made) for _ in rows], pa.int64())
-            flat = [row for rows in made for row in rows]
-            kept = [c.take(index) for c in batch.columns[:-1]]
-            new = [pa.array([row[f.name] for row in flat], pa.string() if isinstance(f.dataType, T.StringType) else pa.int64()) for f in added]
-            yield pa.RecordBatch.from_arrays([*kept, *new], names=[*rest, *added.names])
+            ends = np.cumsum(pc.binary_length(batch.column(batch.num_columns - 1)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+            at = 0
+            while at < batch.num_rows:
+                upto = max(at + 1, min(at + SLICE_ROWS, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE_BYTES, side="right"))))
+                part = batch.slice(at, upto - at)
+                made = [walk(v) for v in part.column(part.num_columns - 1).to_pylist()]
+                index = pa.array([i for i, rows in enumerate(made) for _ in rows], pa.int64())
+                flat = [row for rows in made for row in rows]
+                kept = [c.take(index) for c in part.columns[:-1]]
+                new = [pa.array([row[f.name] for row in flat], pa.string() if isinstance(f.dataType, T.StringType) else pa.int64()) for f in added]
+                yield pa.RecordBatch.from_arrays([*kept, *new], names=[*rest, *added.names])
+                at = upto
 
     return df.select(*rest, column).mapInArrow(run, T.StructType([df.schema[c] for c in rest] + added.fields))
 
@@ -65,13 +76,13 @@ def chunk_spans(text: str | None, size: int = 16_000, overlap: int = 1000, margi
     return spans
 
 
-def chunks(df: DataFrame, text: str = "text", size: int = 16_000, overlap: int = 1000, margin: int = 500, drop_contained_tail: bool = False) -> DataFrame:
-    """chunk_no, chunk_text, clean_start, clean_end per chunk."""
+def chunks(df: DataFrame, text: str = "text", size: int = 16_000, overlap: int = 1000, margin: int = 500, drop_contained_tail: bool = False, texts: bool = True) -> DataFrame:
+    """chunk_no, chunk_text, clean_start, clean_end per chunk; without ``texts`` spans alone."""
 
     def walk(value: str | None) -> list[dict]:
-        return [{"chunk_no": i, "chunk_text": value[a:b], "clean_start": a, "clean_end": b} for i, (a, b) in enumerate(chunk_spans(value, size, overlap, margin, drop_contained_tail))]
+        return [{"chunk_no": i, "chunk_text": value[a:b] if texts else None, "clean_start": a, "clean_end": b} for i, (a, b) in enumerate(chunk_spans(value, size, overlap, margin, drop_contained_tail))]
 
-    return exploded(df, text, "chunk_no long, chunk_text string, clean_start long, clean_end long", walk)
+    return exploded(df, text, "chunk_no long, chunk_text string, clean_start long, clean_end long" if texts else "chunk_no long, clean_start long, clean_end long", walk)
 
 
 def shared_with_next(chunked: DataFrame, key: str) -> DataFrame:

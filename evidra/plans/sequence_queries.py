@@ -12,12 +12,12 @@ from .common import WS, table
 SIZE, OVERLAP, MARGIN = 1000, 100, 50
 
 
-def _chunked(spark, sf_dir):
-    return Q.chunks(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", SIZE, OVERLAP, MARGIN)
+def _chunked(spark, sf_dir, texts: bool = True):
+    return Q.chunks(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", SIZE, OVERLAP, MARGIN, texts=texts)
 
 
 def chunk_spans(spark, sf_dir):
-    return _chunked(spark, sf_dir).select("doc_id", "chunk_no", "clean_start", "clean_end")
+    return _chunked(spark, sf_dir, texts=False).select("doc_id", "chunk_no", "clean_start", "clean_end")
 
 
 def chunk_overlap_text(spark, sf_dir):
