@@ -10,7 +10,7 @@ the network once, ids never.  A task holds one block and the document table of o
 their first keys, adds up where each begins and publishes one manifest; files of lost or repeated tasks are in no manifest
 and never read.  Reading takes a task per file, files being of bounded size.
 
-Encoding keeps two memos of bounded bytes per Python worker, from words and from the stretches in them (letters, or the rest)
+Encoding keeps two memos of bounded bytes per task (workers outlive tasks and change roles), from words and from the stretches in them (letters, or the rest)
 to their ids, which join to those of the text because no piece of a byte-level tokenizer runs across; what they do not know
 goes to the tokenizers library.  Texts that hold the string of an added token, and
 all texts of another kind of tokenizer, go to the library whole.
@@ -92,6 +92,12 @@ class Encoder:
             raise KeyError(text)
         return self._text(" " + text)
 
+    def release(self) -> None:
+        """Empties the memos: a worker that waits or does other work holds the vocabulary alone."""
+        for memo in (self.words, self.parts):
+            memo.clear()
+            memo.older, memo.held = {}, 0
+
     def packed(self, text: str) -> bytes:
         """The ids of ``text``, four bytes each."""
         if not self.cuts or any(a in text for a in self.added):
@@ -132,7 +138,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", end:
         np.cumsum([len(x) // 4 for x in made], out=offsets[1:])
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(made), np.int32)))
 
-    return arrow_column(df, text, ids, "array<int>", convert, drop=True)
+    return arrow_column(df, text, ids, "array<int>", convert, drop=True, done=lambda: encoder(path).release())
 
 
 def split(ids, planes: str) -> list[bytes]:
