@@ -6,12 +6,12 @@ no room.  A file ends with a chunk index (place, number of ids, plane sizes and
 documents (key and number of ids), so a reader that wants some documents fetches the blocks that hold them and no others.
 
 Documents are dealt to tasks by ranges of their key, sorted there and encoded and written as they stream by: texts cross
-the network once, ids never.  A task holds one block and the document table of one file.  The commit orders the files by
+the network once, and go to the one Python worker that encodes and writes; ids never travel.  A task holds one block and the document table of one file.  The commit orders the files by
 their first keys, adds up where each begins and publishes one manifest; files of lost or repeated tasks are in no manifest
 and never read.  Reading takes a task per file, files being of bounded size.
 
-Encoding keeps two memos of bounded bytes per task (workers outlive tasks and change roles), from words and from the stretches in them (letters, or the rest)
-to their ids, which join to those of the text because no piece of a byte-level tokenizer runs across; what they do not know
+Encoding keeps two memos of bounded bytes per worker, from words and from the stretches in them (letters, or the rest)
+to their ids (``write_tokens`` keeps them from task to task, having one worker a task; ``encode`` empties them after a task, as its workers change roles with those of the next step), which join to those of the text because no piece of a byte-level tokenizer runs across; what they do not know
 goes to the tokenizers library.  Texts that hold the string of an added token, and
 all texts of another kind of tokenizer, go to the library whole.
 
@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage
 
 from .bpe import ENTRY_BYTES, MEMO_CHARS, STRETCH, Memo, byte_characters
-from .common import arrow_column, shared_dir, table
+from .common import ROWS_AT_ONCE, arrow_column, shared_dir, table
 from .storage import file_system, manifests, publish
 
 MAGIC = b"IDPLANE1"
@@ -67,6 +67,7 @@ class Encoder:
             spec = json.load(file)
         kind = spec.get("pre_tokenizer") or {}
         self.library = Tokenizer.from_file(path)
+        self.merged = self.library.model.tokenize
         self.added = [x["content"] for x in spec.get("added_tokens", [])]
         self.cuts = not spec.get("normalizer") and not spec.get("truncation") and not spec.get("padding") and (kind.get("type"), kind.get("use_regex"), kind.get("add_prefix_space")) == ("ByteLevel", True, False)
         self.stretches = re.compile(STRETCH).findall
@@ -79,8 +80,8 @@ class Encoder:
     def _part(self, text: str) -> bytes:
         """Letters with at most a space before them are one piece, which goes to the merges at once."""
         core = text[1:] if text[:1] == " " else text
-        if core.isalpha() and max(core) < LETTERS:
-            return array("I", [t.id for t in self.library.model.tokenize(text.encode().decode("latin-1").translate(self.letters))]).tobytes()
+        if core.isalpha() and (core.isascii() or max(core) < LETTERS):
+            return array("I", [t.id for t in self.merged(text.encode().decode("latin-1").translate(self.letters))]).tobytes()
         return self._whole(text)
 
     def _text(self, text: str) -> bytes:
@@ -90,7 +91,7 @@ class Encoder:
         """The ids of a space and a word that begins with no white space."""
         if not text or text[0].isspace():
             raise KeyError(text)
-        return self._text(" " + text)
+        return self.parts[" " + text] if text.isalpha() and text.isascii() else self._text(" " + text)
 
     def release(self) -> None:
         """Empties the memos: a worker that waits or does other work holds the vocabulary alone."""
@@ -119,26 +120,31 @@ def encoder(path: str) -> Encoder:
     return _LOADED[path]
 
 
+#: Encoders of the workers that write; their memos stay.
+_WRITING: dict[str, Encoder] = {}
+
+
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
 
 
-def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", end: int | None = END_ID) -> DataFrame:
-    """``df`` with the ids of each text, ``end`` after them, instead of the text."""
-    last = b"" if end is None else struct.pack("<I", end)
+def _lists(by: Encoder, values: list, end: int | None):
+    """An Arrow array of the ids of each text, ``end`` after them."""
+    import numpy as np
+    import pyarrow as pa
 
-    def convert(values: list):
-        import numpy as np
-        import pyarrow as pa
+    last = b"" if end is None else struct.pack("<I", end)
+    made = [by.packed(v or "") + last for v in values]
+    offsets = np.zeros(len(made) + 1, np.int32)
+    np.cumsum([len(x) // 4 for x in made], out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(made), np.int32)))
 
-        made = [encoder(path).packed(v or "") + last for v in values]
-        offsets = np.zeros(len(made) + 1, np.int32)
-        np.cumsum([len(x) // 4 for x in made], out=offsets[1:])
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(made), np.int32)))
 
-    return arrow_column(df, text, ids, "array<int>", convert, drop=True, done=lambda: encoder(path).release())
+def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", end: int | None = END_ID) -> DataFrame:
+    """``df`` with the ids of each text, ``end`` after them, instead of the text."""
+    return arrow_column(df, text, ids, "array<int>", lambda values: _lists(encoder(path), values, end), drop=True, done=lambda: encoder(path).release())
 
 
 def split(ids, planes: str) -> list[bytes]:
@@ -226,12 +232,25 @@ class Written(WriterCommitMessage):
 
 
 class PlaneWriter(DataSourceArrowWriter):
-    """Takes rows (key long, ids array<int>) whose keys ascend within a task and from task to task."""
+    """Takes rows (key long, ids array<int>), or with a ``vocabulary`` (key long, text string), whose keys ascend within a task and from task to task."""
 
-    def __init__(self, path: str, planes: str, overwrite: bool):
+    def __init__(self, path: str, planes: str, overwrite: bool, vocabulary: str | None = None, end: int | None = None):
         if planes not in ("byte", "bit"):
             raise ValueError(f"planes are of bytes or bits, not {planes!r}")
         self.path, self.planes, self.overwrite = path, planes, overwrite
+        self.vocabulary, self.end = vocabulary, end
+
+    def _with_ids(self, batches: Iterator) -> Iterator:
+        """Keys and lists of ids, a few texts at a time."""
+        for batch in batches:
+            if self.vocabulary is None:
+                yield batch.column(0).to_pylist(), batch.column(1)
+                continue
+            if self.vocabulary not in _WRITING:
+                _WRITING[self.vocabulary] = Encoder(self.vocabulary)
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                yield part.column(0).to_pylist(), _lists(_WRITING[self.vocabulary], part.column(1).to_pylist(), self.end)
 
     def write(self, batches: Iterator) -> Written:
         import numpy as np
@@ -239,8 +258,7 @@ class PlaneWriter(DataSourceArrowWriter):
 
         system, folder = file_system(self.path)
         files, out = [], None
-        for batch in batches:
-            keys, lists = batch.column(0).to_pylist(), batch.column(1)
+        for keys, lists in self._with_ids(batches):
             if lists.null_count:
                 raise ValueError("a list of ids is null")
             ends = lists.offsets.to_numpy().astype(np.int64)
@@ -410,7 +428,7 @@ def _open(file, size: int):
 
 
 class PlaneSource(DataSource):
-    """Options: path; planes ("byte" or "bit") for writing; ids ("true" or "false"), whether reading returns them."""
+    """Options: path; for writing, planes ("byte" or "bit"), and vocabulary and end where texts are written instead of ids; ids ("true" or "false"), whether reading returns them."""
 
     @classmethod
     def name(cls) -> str:
@@ -426,7 +444,8 @@ class PlaneSource(DataSource):
         return PlaneReader(self.options["path"], self._with_ids())
 
     def writer(self, schema, overwrite: bool) -> PlaneWriter:
-        return PlaneWriter(self.options["path"], self.options.get("planes", "byte"), overwrite)
+        end = self.options.get("end", "")
+        return PlaneWriter(self.options["path"], self.options.get("planes", "byte"), overwrite, self.options.get("vocabulary"), int(end) if end else None)
 
 
 def register(spark: SparkSession) -> None:
@@ -439,7 +458,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, key: str = "doc_id
     register(docs.sparkSession)
     rows = docs.select(F.col(key).cast(T.LongType()).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
     dealt = rows.repartitionByRange("key", "hash").sortWithinPartitions("key", "hash", "text").drop("hash")
-    encode(dealt, vocabulary, "text", "ids", end).write.format("idplanes").option("planes", planes).mode(mode).save(path)
+    dealt.write.format("idplanes").option("planes", planes).option("vocabulary", vocabulary).option("end", "" if end is None else str(end)).mode(mode).save(path)
 
 
 def read_tokens(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:

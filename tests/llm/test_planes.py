@@ -115,3 +115,21 @@ def test_small_files_and_blocks(tmp_path, monkeypatch):
     open(name, "wb").write(data)
     with pytest.raises(Exception, match=r"checksum|frame|decompress"):
         [b for p in reader.partitions() for b in reader.read(p)]
+
+
+def test_texts_are_encoded_where_they_are_written(spark, tmp_path):
+    """One Python worker a task: no step before the writer hands ids from process to process."""
+    docs = spark.createDataFrame([(k, f"words of {k}, and more") for k in range(40)], "doc_id long, text string")
+    plain = planes.PlaneWriter(f"file://{tmp_path}/w", "byte", False, planes.vocabulary(), planes.END_ID)
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2], pa.int64()), pa.array(["one two", None])], names=["key", "text"])
+    (keys, lists), = plain._with_ids(iter([batch]))
+    assert keys == [1, 2] and lists.to_pylist() == [x[4] for x in brute([(1, "one two"), (2, None)])]
+    called = []
+    whole, planes.encode = planes.encode, lambda *a, **k: called.append(a) or whole(*a, **k)
+    try:
+        planes.write_tokens(docs, f"file://{tmp_path}/t", planes.vocabulary())
+    finally:
+        planes.encode = whole
+    assert not called and planes.read_tokens(spark, f"file://{tmp_path}/t").count() == 40
