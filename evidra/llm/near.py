@@ -1,9 +1,11 @@
 """SimHash's wider setting: near-duplicates by the similarity of word shingles, where no fingerprint radius prunes.
 
-Two texts at a Jaccard similarity of 0.8 differ in about ten of 64 fingerprint bits, so shards of equal bits would hold most
-of the corpus.  ``simhash.deduplicated`` therefore comes here when it is asked for a similarity: shards are the buckets of
-MinHash bands, candidates are confirmed by their exact shingle sets.  A pair at 0.8 agrees in a band of four minima with
-probability 0.8**4, and in none of the 32 bands with less than 5e-8.
+``simhash.deduplicated`` comes here when it is asked for a similarity.  The method is the same: a SimHash fingerprint per
+text (of its distinct five-word shingles), the fingerprints in their shards, a BK-tree searched in each (``simhash.links``).
+What the trees link is confirmed by the exact shingle sets.  But two texts at a Jaccard similarity of 0.8 differ in about ten
+of 64 bits, where shards of equal bits would hold most of the corpus.  For what lies beyond the trees' radius, the buckets of
+MinHash bands give further candidates, confirmed alike.  A pair at 0.8 agrees in a band of four minima with
+probability 0.8**4, and in none of the 32 bands with less than 5e-8.  Texts that the trees tied are not compared again across their buckets.
 
 No bucket is gathered and no bucket's pairs are listed.  Texts with equal shingle sets are merged first.  Each bucket has a
 pivot, the member that meets most others over all bands, and every member is compared with its pivots: linear in the
@@ -25,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import simhash
 from .common import ROWS_AT_ONCE, cut, stored
 from .components import components
 
@@ -34,12 +37,12 @@ SEED = 42
 #: Bands of so many minima each.
 BANDS, BAND_ROWS = 32, 4
 #: Shingles whose minima are taken at once.
-SHINGLES_AT_ONCE = 1 << 12
+SHINGLES_AT_ONCE = 1 << 9
 #: Word hashes that a Python worker remembers.
 WORDS_KEPT = 1 << 17
 #: Classes of shingles whose frequency is counted, and how often the mean a common class comes (besides so many).
 CLASSES, COMMON, BESIDES = 1 << 17, 2, 64
-#: Bits of the filter on candidate texts for each of them, and at most; in rows of 64, which bounds what is broadcast.
+#: Bits of a filter on texts for each of those wanted, and at most; in rows of 64, which bounds what is broadcast.
 FILTER_SHARE, FILTER_BITS = 16, 1 << 26
 
 
@@ -83,23 +86,34 @@ def band_keys(shingles):
     least = np.full(len(salts), np.iinfo(np.uint64).max, np.uint64)
     odd = salts | np.uint64(1)
     for at in range(0, len(shingles), SHINGLES_AT_ONCE):
-        part = shingles[at : at + SHINGLES_AT_ONCE]
-        for i in range(len(salts)):
-            x = (part ^ salts[i]) * odd[i]
-            least[i] = min(least[i], ((x ^ (x >> np.uint64(32))) * odd[-1 - i]).min())
+        x = (shingles[at : at + SHINGLES_AT_ONCE] ^ salts[:, None]) * odd[:, None]
+        x ^= x >> np.uint64(32)
+        x *= odd[::-1, None]
+        np.minimum(least, x.min(axis=1), out=least)
     keys = np.arange(BANDS, dtype=np.uint64)
     for row in least.reshape(BANDS, BAND_ROWS).T:
         keys = _mixed(keys * np.uint64(0x9E3779B97F4A7C15) + row)
     return keys.view(np.int64)
 
 
+def set_fingerprint(shingles) -> int:
+    """SimHash of a shingle set: the bits that are 1 in over half of its hashes, as a signed integer; 0 for the empty set."""
+    import numpy as np
+
+    votes = np.zeros(64, np.int64)
+    for at in range(0, len(shingles), simhash.COUNT_AT_ONCE):
+        part = shingles[at : at + simhash.COUNT_AT_ONCE].astype("<u8", copy=False)
+        votes += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * votes > len(shingles), bitorder="little").view("<i8")[0])
+
+
 def with_sets(df: DataFrame, text: str, kind: str, within: str | None = None) -> DataFrame:
-    """``df`` with, of its text, ``set_id`` and ``bands``, or ``shingles`` themselves, as ``kind`` says.
+    """``df`` with, of its text, ``set_id``, ``fp`` (its SimHash) and ``bands``, or ``shingles`` themselves, as ``kind`` says.
 
     ``text`` is a column, which is left out, or a field of the struct ``within``, which stays and travels once.
     """
     base = [c for c in df.columns if within or c != text]
-    added = "set_id long, bands array<long>" if kind == "bands" else "shingles array<long>"
+    added = "set_id long, fp long, bands array<long>" if kind == "bands" else "shingles array<long>"
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -115,10 +129,10 @@ def with_sets(df: DataFrame, text: str, kind: str, within: str | None = None) ->
                 texts = pc.struct_field(part.column(base.index(within)), text) if within else part.column(part.num_columns - 1)
                 sets = [shingle_set(v, known) for v in texts.to_pylist()]
                 if kind == "bands":
-                    made = [pa.array(np.array([xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)), lists([band_keys(s) for s in sets])]
+                    made = [pa.array(np.array([xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)), pa.array([set_fingerprint(s) for s in sets], pa.int64()), lists([band_keys(s) for s in sets])]
                 else:
                     made = [lists([s.view(np.int64) for s in sets])]
-                yield pa.RecordBatch.from_arrays([*part.columns[: len(base)], *made], names=[*base, *(["set_id", "bands"] if kind == "bands" else ["shingles"])])
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(base)], *made], names=[*base, *(["set_id", "fp", "bands"] if kind == "bands" else ["shingles"])])
 
     schema = T.StructType([*df.select(*[F.col(f"`{c}`") for c in base]).schema.fields, *T._parse_datatype_string(added).fields])
     return df.select(*[F.col(f"`{c}`") for c in base], *([] if within else [F.col(f"`{text}`")])).mapInArrow(run, schema)
@@ -130,14 +144,20 @@ def _bit(x: str, bits: int) -> tuple[Column, Column]:
     return (at / 64).cast("int").alias("word"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64({x}), 64) as int))")
 
 
-def _sets_of(wanted: DataFrame, whole: DataFrame) -> DataFrame:
-    """(set_id, shingles) of the ``wanted`` set_id; texts that a filter rules out do not move.
+def _maybe(whole: DataFrame, wanted: DataFrame, by: str) -> tuple[DataFrame, Column]:
+    """``whole`` with the column ``bits`` of a filter on ``wanted``, and whether a row may be wanted; no wanted row is missed.
 
-    The filter grows with what is wanted, up to its bound; beyond that it lets more texts pass, and the joins after it decide as ever.
+    The filter grows with what is wanted, up to its bound; beyond that it lets more rows pass, and the joins after it decide as ever.
     """
-    word, bit = _bit("set_id", min(FILTER_BITS, max(64, FILTER_SHARE * wanted.count())))
+    word, bit = _bit(by, min(FILTER_BITS, max(64, FILTER_SHARE * wanted.count())))
     bits = wanted.groupBy(word).agg(F.bit_or(bit).alias("bits"))
-    likely = whole.withColumn("word", word).join(F.broadcast(bits), "word").where(F.col("bits").bitwiseAND(bit) != 0).select("set_id", "__row", "text")
+    return whole.withColumn("word", word).join(F.broadcast(bits), "word", "left"), F.coalesce(F.col("bits").bitwiseAND(bit) != 0, F.lit(False))
+
+
+def _sets_of(wanted: DataFrame, whole: DataFrame) -> DataFrame:
+    """(set_id, shingles) of the ``wanted`` set_id; texts that a filter rules out do not move."""
+    marked, likely = _maybe(whole, wanted, "set_id")
+    likely = marked.where(likely).select("set_id", "__row", "text")
     one = likely.select("set_id", "__row").groupBy("set_id").agg(F.min("__row").alias("__row")).join(wanted, "set_id", "left_semi")
     return stored(with_sets(likely.join(one.select("__row"), "__row", "left_semi").select("set_id", "text"), "text", "sets"), "sets")
 
@@ -164,6 +184,16 @@ def _stars(whole: DataFrame) -> DataFrame:
     return stored(members.select("band", F.col("set_id").alias("x")).join(stored(pivots, "pivots"), "band").where("x <> y").select("x", "y").distinct(), "stars")
 
 
+def _close(whole: DataFrame) -> DataFrame:
+    """(x, y) pairs of set_id that the BK-trees of SimHash's shards link, or that have one fingerprint; a star or less per group."""
+    prints = stored(whole.select("set_id", "fp").distinct(), "prints")
+    named = prints.groupBy("fp").agg(F.min("set_id").alias("named"))
+    same = prints.join(named, "fp").where("set_id <> named").select(F.col("set_id").alias("x"), F.col("named").alias("y"))
+    u, v = (named.select(F.col("fp").alias(a), F.col("named").alias(b)) for a, b in ("ux", "vy"))
+    linked = simhash.links(prints.select("fp").distinct()).distinct()
+    return stored(same.unionAll(linked.join(u, "u").join(v, "v").select("x", "y")), "close")
+
+
 def _rare_first(shingles: Column, sets: DataFrame) -> Column:
     """``shingles`` in an order that is the same for all texts, with those of common classes last.
 
@@ -179,17 +209,18 @@ def _rare_first(shingles: Column, sets: DataFrame) -> Column:
 
 
 def links(whole: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(u, v) links between set_id that span every group; ``whole`` has set_id, bands, text and a unique __row."""
-    stars = _stars(whole)
+    """(u, v) links between set_id that span every group; ``whole`` has set_id, fp, bands, text and a unique __row."""
+    stars = _stars(whole).withColumn("star", F.lit(True)).unionAll(_close(whole).withColumn("star", F.lit(False)))
+    stars = stored(stars.groupBy("x", "y").agg(F.max("star").alias("star")), "compared")
     sets = _sets_of(cut(stars.select(F.explode(F.array("x", "y")).alias("set_id")).distinct()), whole)
     # a similar partner shares at least similarity * nx shingles with x; so many of those that y lacks need not be looked at
     own = _rare_first(F.array_except("sx", "sy"), sets)
     spared = F.greatest(F.ceil(similarity * F.col("nx") - F.col("shared") - 1e-9), F.lit(1)).cast("int")
-    told = _compared(stars, sets).select("x", "y", "shared", F.size("sx").alias("nx"), F.size("sy").alias("ny"), own.alias("own"))
-    seen = stored(told.select("x", "y", "shared", "nx", _similar(F.col("shared"), "nx", "ny", similarity).alias("near"), F.slice("own", F.lit(1), F.greatest(F.size("own") - spared + 1, F.lit(0))).alias("own")), "compared")
+    told = _compared(stars, sets).select("x", "y", "star", "shared", F.size("sx").alias("nx"), F.size("sy").alias("ny"), own.alias("own"))
+    seen = stored(told.select("x", "y", "star", "shared", "nx", _similar(F.col("shared"), "nx", "ny", similarity).alias("near"), F.slice("own", F.lit(1), F.greatest(F.size("own") - spared + 1, F.lit(0))).alias("own")), "compared")
     near = seen.where("near").select(F.col("x").alias("u"), F.col("y").alias("v"))
     tied = stored(components(near).select(F.col("node").alias("x"), "root"), "tied")
-    placed = stored(seen.join(tied, "x", "left").withColumn("root", F.coalesce("root", "x")), "placed")
+    placed = stored(seen.where("star").drop("star").join(tied, "x", "left").withColumn("root", F.coalesce("root", "x")), "placed")
     alone = placed.where("not near")
 
     apart = "root <> o_root and o_nx <= nx / {0} and nx <= o_nx / {0}".format(similarity)
@@ -209,9 +240,13 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     """One row of ``docs`` per group of near-duplicates: that of the smallest key; same columns."""
     marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.monotonically_increasing_id().alias("__row"))
     whole = stored(with_sets(marked, text, "bands", "doc"), "near")
-    lookup = whole.select("set_id", "bands", "__row", F.col("doc")[text].alias("text"))
+    lookup = whole.select("set_id", "fp", "bands", "__row", F.col("doc")[text].alias("text"))
     rows = whole.select(F.col("doc")[key].alias("key"), "set_id", "__row")
     tied = stored(components(links(lookup, similarity)).select(F.col("node").alias("set_id"), "root"), "groups")
-    root = rows.join(tied, "set_id", "left").select(F.coalesce("root", "set_id").alias("root"), "key", "__row")
+    root = stored(rows.join(tied, "set_id", "left").select(F.coalesce("root", "set_id").alias("root"), "key", "__row"), "roots")
     first = root.groupBy("root").agg(F.min(F.struct(F.col("key").isNull(), "key", "__row")).alias("first"))
-    return whole.join(first.select("first.__row"), "__row", "left_semi").select(*[F.col("doc")[c].alias(c) for c in docs.columns])
+    lost = stored(root.select("__row").join(first.select("first.__row"), "__row", "left_anti"), "lost")
+    # texts travel only if a filter says that they may be among the lost ones
+    marked, doubtful = _maybe(whole.select("doc", "__row"), lost, "__row")
+    kept = marked.where(~doubtful).select("doc").unionAll(marked.where(doubtful).select("doc", "__row").join(lost, "__row", "left_anti").select("doc"))
+    return kept.select(*[F.col("doc")[c].alias(c) for c in docs.columns])
