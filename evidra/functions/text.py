@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,8 +23,8 @@ def tokens(text: Column) -> Column:
 
 
 def any_of(text: Column, phrases: list[str]) -> Column:
-    """Whether ``text`` contains one of the phrases, as one regular expression."""
-    return text.rlike("|".join(map(re.escape, phrases)))
+    """Whether ``text`` contains one of the phrases; a search of bytes for each, as an expression of them all is tried anew at every character."""
+    return reduce(Column.__or__, [text.contains(p) for p in phrases])
 
 
 def sentences(text: Column) -> Column:
@@ -61,7 +61,7 @@ def quote_reason(text: Column) -> Column:
 
 
 def _has_word(low: Column, listed: list[str]) -> Column:
-    return F.concat(F.lit(" "), low, F.lit(" ")).rlike(f" ({'|'.join(map(re.escape, listed))}) ")
+    return any_of(F.concat(F.lit(" "), low, F.lit(" ")), [f" {w} " for w in listed])
 
 
 def quality_issue(claim: Column) -> Column:
