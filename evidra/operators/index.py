@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from . import metric as D
 from . import versions
+from .similarity import _few
 
 
 def _rows(df: DataFrame, key: str, vector: str, unit: bool, pivots) -> DataFrame:
@@ -26,13 +27,18 @@ def _rows(df: DataFrame, key: str, vector: str, unit: bool, pivots) -> DataFrame
     return D.placed(rows, pivots, unit).repartition("cell")
 
 
+def _summary(written: dict[str, DataFrame]) -> DataFrame:
+    """Of the lists as they were written, two columns of which are read."""
+    return D.summary(written["lists"]).coalesce(1)
+
+
 def build(df: DataFrame, path: str, key: str, vector: str, unit: bool = True) -> int:
     """An index of ``df`` (``key`` long, ``vector``, further columns) at ``path``; ``unit``: of directions, else of points."""
     spark = df.sparkSession
     pivots = D.pivots_of(D.shaped(df, key, vector), unit)
-    rows = D._settled(_rows(df, key, vector, unit, pivots))
+    rows = _rows(df, key, vector, unit, pivots)
     told = spark.createDataFrame([(k, p.tolist(), unit) for k, p in enumerate(pivots)], "n int, pivot array<double>, unit boolean")
-    return versions.write({"pivots": told.coalesce(1), "lists": rows, "cells": D.summary(rows).coalesce(1)}, path, folders={"lists": ["cell"]})
+    return versions.write({"pivots": told.coalesce(1), "lists": rows, "cells": _summary}, path, folders={"lists": ["cell"]})
 
 
 def _pivots(spark: SparkSession, path: str):
@@ -47,8 +53,7 @@ def _pivots(spark: SparkSession, path: str):
 def append(df: DataFrame, path: str, key: str, vector: str) -> int:
     """More rows in the lists of the pivots that there are; no file of the index is rewritten."""
     pivots, unit = _pivots(df.sparkSession, path)
-    rows = D._settled(_rows(df, key, vector, unit, pivots))
-    return versions.append({"lists": rows, "cells": D.summary(rows).coalesce(1)}, path)
+    return versions.append({"lists": _rows(df, key, vector, unit, pivots), "cells": _summary}, path)
 
 
 def rows_of(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
@@ -88,4 +93,4 @@ def search(spark: SparkSession, path: str, queries: DataFrame, key: str, vector:
         return found
     found = D._settled(found)
     some = found.select(F.col("vec_id").alias("id")).distinct()
-    return found.join(lists.select("id", "data").join(some, "id", "left_semi").withColumnRenamed("id", "vec_id"), "vec_id").select("query_id", "rank", "vec_id", "score", "data.*")
+    return found.join(lists.select("id", "data").join(_few(some), "id", "left_semi").withColumnRenamed("id", "vec_id"), "vec_id").select("query_id", "rank", "vec_id", "score", "data.*")

@@ -86,7 +86,21 @@ def _written(df: DataFrame, path: str, name: str, folders: list[str] | None = No
     return place
 
 
-def write(new: dict[str, DataFrame], path: str, after: int | None = None, folders: dict[str, list[str]] | None = None) -> int:
+#: Rows of a table, or a function that makes them of the tables written before it in the same version.
+Rows = DataFrame | Callable[[dict[str, DataFrame]], DataFrame]
+
+
+def _each_written(spark: SparkSession, new: dict[str, Rows], path: str, folders: dict[str, list[str] | None]):
+    """The name, place and rows of each table, written one after the other."""
+    made: dict[str, DataFrame] = {}
+    for name, rows in new.items():
+        df = rows(made) if callable(rows) else rows
+        place = _written(df, path, name, folders.get(name))
+        made[name] = spark.read.schema(df.schema).parquet(f"{path}/{place}")
+        yield name, place, df
+
+
+def write(new: dict[str, Rows], path: str, after: int | None = None, folders: dict[str, list[str]] | None = None) -> int:
     """All tables as one new version; tables that are not named stay as they are.  ``folders``: columns that a table is partitioned by.
 
     ``after`` is the version that the caller has seen, by default the newest as this begins: a version that another
@@ -95,10 +109,10 @@ def write(new: dict[str, DataFrame], path: str, after: int | None = None, folder
     spark = next(iter(new.values())).sparkSession
     seen = newest(spark, path) if after is None else after
     by = folders or {}
-    return commit(spark, path, {k: {"base": [_written(df, path, k, by.get(k))], "updates": [], "schema": df.schema.json(), "folders": by.get(k)} for k, df in new.items()}, seen)
+    return commit(spark, path, {k: {"base": [place], "updates": [], "schema": df.schema.json(), "folders": by.get(k)} for k, place, df in _each_written(spark, new, path, by)}, seen)
 
 
-def append(rows: dict[str, DataFrame], path: str, after: int | None = None) -> int:
+def append(rows: dict[str, Rows], path: str, after: int | None = None) -> int:
     """Rows beside those of tables, whose files stay, as one version.  Updates made before must not touch new rows, so they are folded in first."""
     spark = next(iter(rows.values())).sparkSession
     seen = newest(spark, path) if after is None else after
@@ -106,7 +120,7 @@ def append(rows: dict[str, DataFrame], path: str, after: int | None = None) -> i
         if tables(spark, path, seen)[name]["updates"]:
             seen = compact(spark, path, name, seen)
     now = tables(spark, path, seen)
-    return commit(spark, path, {k: now[k] | {"base": [*now[k]["base"], _written(df, path, k, now[k].get("folders"))]} for k, df in rows.items()}, seen)
+    return commit(spark, path, {k: now[k] | {"base": [*now[k]["base"], place]} for k, place, _ in _each_written(spark, rows, path, {k: now[k].get("folders") for k in rows})}, seen)
 
 
 def rollback(spark: SparkSession, path: str, version: int, after: int | None = None) -> int:

@@ -36,7 +36,7 @@ def _claims(spark, sf_dir) -> DataFrame:
 def cross_episode_match(spark, sf_dir):
     """The longest claim of every document, where another document has it already: l2 below 0.15, ten nearest, relevance from 0.9."""
     known = once(_claims(spark, sf_dir))
-    new = C.top_by(known, ["g"], [F.length("text").desc(), F.col("id")], 1)
+    new = once(C.top_by(known, ["g"], [F.length("text").desc(), F.col("id")], 1))
     out = D.matched(new, known, M.rerank)
     return out.select("claim_id", "existing_id", F.round("distance", 6).alias("distance"), F.round("relevance", 6).alias("relevance"))
 
@@ -44,7 +44,7 @@ def cross_episode_match(spark, sf_dir):
 def search_index_topk(spark, sf_dir):
     """The ten windows nearest to each benchmark text, from a stored index to which half of the windows were appended."""
     windows = C.sentence_windows(table(spark, sf_dir, "documents").select("doc_id", "text")).select((F.col("doc_id") * PER_DOC + F.col("window_no")).alias("id"), "doc_id", F.col("window_text").alias("text"))
-    rows = once(M.letters(windows, "text", "v"))
+    rows = V._tabled(M.letters(windows, "text", "v"), "windows")
     path = _place(spark, "index")
     I.build(rows.where("doc_id % 2 = 0"), path, "id", "v")
     I.append(rows.where("doc_id % 2 = 1"), path, "id", "v")
