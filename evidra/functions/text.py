@@ -57,7 +57,7 @@ def starts_lower(claim: Column) -> Column:
 
 def is_question(text: Column) -> Column:
     low = F.lower(text)
-    first = F.regexp_replace(F.coalesce(F.get(tokens(low), F.lit(0)), F.lit("")), r"^[.,!?;:\"']+|[.,!?;:\"']+$", "")
+    first = F.regexp_replace(F.coalesce(F.regexp_extract(low, rf"^{SPACE}*+([^{SPACE[1:]}*+)", 1), F.lit("")), r"^[.,!?;:\"']+|[.,!?;:\"']+$", "")
     return text.contains("?") | (first.isin(W.QUESTION_WORDS) & ~any_of(low, W.NOT_QUESTIONS))
 
 
@@ -65,8 +65,8 @@ def quote_reason(text: Column) -> Column:
     """Why a quote is rejected; ``valid`` if it is not.  The first promotional pattern names the reason."""
     low = F.lower(text)
     out = F.when(F.length(text) < 50, F.lit("Too short"))
-    for pattern, reason in W.PROMOTIONS:
-        out = out.when(low.rlike(pattern), reason)
+    for (pattern, reason), marks in zip(W.PROMOTIONS, W.PROMOTION_MARKS, strict=True):
+        out = out.when(any_of(low, marks) & low.rlike(pattern), reason)
     return out.otherwise("valid")
 
 

@@ -18,6 +18,8 @@ PROMOTIONS = [
     (r"brought\s+to\s+you\s+by", "Contains sponsorship mention"),
     (r"our\s+sponsor", "Contains sponsor mention"),
 ]
+#: Strings of which whatever a pattern of ``PROMOTIONS`` matches holds one.
+PROMOTION_MARKS = [[".com", ".io", ".org"], ["deal", "offer", "discount"], ["code", "promo"], ["sign"], ["subscribe"], ["subscribe"], ["notifications"], ["brought"], ["sponsor"]]
 
 PRONOUNS = ["he", "she", "they", "it", "him", "her", "them", "his", "hers", "their", "its", "he's", "she's", "they're", "it's"]
 VAGUE = ["recently", "soon", "thing", "stuff", "someone", "something", "somehow", "very", "really", "quite"]

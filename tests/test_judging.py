@@ -33,3 +33,16 @@ def test_reasons_are_those_of_the_tokens(spark):
 def test_no_function_of_each_token_is_interpreted(spark):
     plan = spark.range(1).select(X.claim_reason(F.col("id").cast("string")))._jdf.queryExecution().optimizedPlan().toString()
     assert "lambda" not in plan
+
+
+def test_quotes_are_rejected_by_marked_patterns(spark):
+    pick = random.Random(5)
+    parts = ["visit", "go to", "check\tout", "site.com", "x.io", "Special", "exclusive", "deal", "offer", "use", "code", "promo", "sign  up", "now", "today", "Subscribe", "hit that subscribe button", "enable", "notifications", "brought to you by", "our", "sponsor", "who", "\"What", "word", "longer words that fill"]
+    texts = [" ".join(pick.choice(parts) for _ in range(12)) for _ in range(400)] + ["", " who asks", "?", "short"]
+    got = spark.createDataFrame(list(enumerate(texts)), "n int, t string").select("n", X.quote_reason(F.col("t")).alias("r"), X.is_question(F.col("t")).alias("q")).collect()
+    want = {n: "Too short" if len(t) < 50 else next((r for p, r in W.PROMOTIONS if re.search(p, t.lower())), "valid") for n, t in enumerate(texts)}
+    assert {r.n: r.r for r in got} == want and len(set(want.values())) > 6
+    asks = {n: "?" in t or ((t.lower().split() or [""])[0].strip(".,!?;:\"'") in W.QUESTION_WORDS and not any(x in t.lower() for x in W.NOT_QUESTIONS)) for n, t in enumerate(texts)}
+    assert {r.n: r.q for r in got} == asks
+    plan = spark.range(1).select(X.quote_reason(F.col("id").cast("string")), X.is_question(F.col("id").cast("string")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and plan.count("Contains(") + plan.count("Contains (") + plan.count("contains(") >= 13
