@@ -29,6 +29,7 @@ import struct
 import uuid
 import zlib
 from array import array
+from codecs import charmap_decode
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
@@ -72,7 +73,7 @@ class Encoder:
         self.cuts = not spec.get("normalizer") and not spec.get("truncation") and not spec.get("padding") and (kind.get("type"), kind.get("use_regex"), kind.get("add_prefix_space")) == ("ByteLevel", True, False)
         self.stretches = re.compile(STRETCH).findall
         self.words, self.parts = Memo(self._word, _size), Memo(self._part, _size)
-        self.letters = {byte: char for char, byte in byte_characters().items()}
+        self.letters = "".join(sorted(byte_characters(), key=byte_characters().get))  # by byte, as a table that decodes
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
@@ -80,18 +81,21 @@ class Encoder:
     def _part(self, text: str) -> bytes:
         """Letters with at most a space before them are one piece, which goes to the merges at once."""
         core = text[1:] if text[:1] == " " else text
-        if core.isalpha() and (core.isascii() or max(core) < LETTERS):
-            return array("I", [t.id for t in self.merged(text.encode().decode("latin-1").translate(self.letters))]).tobytes()
-        return self._whole(text)
+        return self._letters(text) if core.isalpha() and (core.isascii() or max(core) < LETTERS) else self._whole(text)
+
+    def _letters(self, text: str) -> bytes:
+        return array("I", [t.id for t in self.merged(charmap_decode(text.encode(), "strict", self.letters)[0])]).tobytes()
 
     def _text(self, text: str) -> bytes:
         return b"".join(map(self.parts.__getitem__, self.stretches(text)))
 
     def _word(self, text: str) -> bytes:
         """The ids of a space and a word that begins with no white space."""
+        if text.isalpha() and (text.isascii() or max(text) < LETTERS):  # one stretch, and known to be letters
+            return self.parts[" " + text]
         if not text or text[0].isspace():
             raise KeyError(text)
-        return self.parts[" " + text] if text.isalpha() and text.isascii() else self._text(" " + text)
+        return self._text(" " + text)
 
     def release(self) -> None:
         """Empties the memos: a worker that waits or does other work holds the vocabulary alone."""
