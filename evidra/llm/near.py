@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import simhash
-from .common import ROWS_AT_ONCE, cut, stored
+from .common import ROWS_AT_ONCE, cut, small_batches, stored
 from .components import components
 
 SHINGLE_WORDS = 5
@@ -112,6 +112,7 @@ def with_sets(df: DataFrame, text: str, kind: str, within: str | None = None) ->
 
     ``text`` is a column, which is left out, or a field of the struct ``within``, which stays and travels once.
     """
+    small_batches(df.sparkSession)
     base = [c for c in df.columns if within or c != text]
     added = "set_id long, fp long, bands array<long>" if kind == "bands" else "shingles array<long>"
 

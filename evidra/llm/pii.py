@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_column, replacing, table, unused
+from .common import arrow_column, replacing, small_batches, table, unused
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "url", "account", "secret")
@@ -227,7 +227,7 @@ def redact(df: DataFrame, text: str = "text", n_chars: str | None = "n_chars") -
         return pa.array([redacted(v) if v else v for v in values], pa.string())
 
     (made,) = unused(df, "redacted")
-    changed = arrow_column(df, text, made, "string", convert)
+    changed = arrow_column(df, text, made, "string", convert, drop=True)
     clean = {text: F.col(made)}
     if n_chars and n_chars in df.columns:
         clean[n_chars] = F.length(made).cast(df.schema[n_chars].dataType)
@@ -253,6 +253,7 @@ def digests(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
                 every.append(",".join(x for _, x in told))
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(t, pa.int64()) for t in tallies], pa.array(base, pa.string()), pa.array(every, pa.string())], names=[key, *counts, "base_sha256", "spans"])
 
+    small_batches(df.sparkSession)
     fields = [*[T.StructField(c, T.LongType()) for c in counts], T.StructField("base_sha256", T.StringType()), T.StructField("spans", T.StringType())]
     return replacing(df.select(key, text), *counts, "base_sha256", "spans").mapInArrow(run, T.StructType([df.schema[key], *fields]))
 
